@@ -562,8 +562,7 @@ WHERE end_time >= t - INTERVAL 1 HOUR""", "sessions", "event_end")
         f"SELECT {_PERFORMANCE} FROM performance ORDER BY total_revenue DESC, category LIMIT 4", "performance")
     q["performance_of_category"] = sql(
         f"SELECT {_PERFORMANCE} FROM performance WHERE category = 'PROMO'", "performance")
-    q["top_performers"] = sql("""SELECT CAST(NULL AS VARCHAR) AS product_id, CAST(NULL AS VARCHAR) AS product_name,
-  category, total_revenue, CAST(NULL AS BIGINT) AS units_sold FROM performance
+    q["top_performers"] = sql("""SELECT category, total_revenue FROM performance
 ORDER BY total_revenue DESC, category LIMIT 3""", "performance")
     q["dashboard"] = sql(f"""WITH today AS (SELECT sales.* FROM sales, event_end WHERE window_start >= date_trunc('day', t)),
 bought AS (SELECT purchases.* FROM purchases, event_end WHERE moment >= date_trunc('day', t))

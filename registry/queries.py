@@ -53,13 +53,18 @@ class Retail:
     def purchases(self) -> DataFrame:
         return self.given.purchases()
 
+    @cached_property
+    def purchase_times(self) -> DataFrame:
+        return self.given.purchase_times()
+
     @cached_property
     def daily_sales(self) -> DataFrame:
         return metrics.sales_metrics(self.transactions, "1 day", None)
 
     @cached_property
     def fact(self) -> DataFrame:
-        return warehouse.fact_sales(self.daily_sales, LOADED_AT)
+        # Tumbling windows never overlap, so there is nothing to filter.
+        return warehouse.fact_sales(self.daily_sales, LOADED_AT, non_overlapping=False)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -159,9 +164,9 @@ _queries(
     fact_inventory=lambda r: warehouse.fact_inventory(r.status, r.movements),
     view_metrics=lambda r: metrics.view_metrics(r.given.product_views(), "1 hour"),
     funnel_by_user=lambda r: metrics.funnel(
-        r.given.product_views(), r.cart, r.purchases, ["user_id"]),
+        r.given.product_views(), r.cart, r.purchase_times, ["user_id"]),
     funnel_by_user_product=lambda r: metrics.funnel(
-        r.given.product_views(), r.cart, r.purchases, ["user_id", "product_id"]),
+        r.given.product_views(), r.cart, r.purchase_times, ["user_id", "product_id"]),
     topic_rates=lambda r: r.topics,
 )
 
@@ -260,7 +265,7 @@ _queries(
 _queries(
     anomalies=lambda r: r.anomalies,
     rapid_transactions=lambda r: anomalies.rapid_transactions(
-        r.purchases, RULES.rapid_limit, RULES.rapid_window),
+        r.purchase_times, RULES.rapid_limit, RULES.rapid_window),
     anomaly_rows=lambda r: serving.anomaly_rows(r.anomalies),
     anomaly_rows_of_type=lambda r: serving.anomaly_rows(
         r.anomalies, "high_value", "1999-01-01", limit=200),
@@ -328,7 +333,8 @@ _queries(
         sessions.windowed_sessions(r.cart, "6 hours", unique_products=None)),
     cart_abandonment=lambda r: r.abandoned,
     cart_values=lambda r: sessions.cart_values(r.cart, r.given.products()),
-    unpurchased_carts=lambda r: sessions.unpurchased_carts(r.sessions, r.purchases, SESSION_GAP),
+    unpurchased_carts=lambda r: sessions.unpurchased_carts(
+        r.sessions, r.purchase_times, SESSION_GAP),
     abandonment_spike=lambda r: alerts.abandonment_spike(r.abandoned, r.event_end, rules=ALERTS),
     valuable_carts=lambda r: alerts.valuable_carts(
         sessions.cart_values(r.cart, r.given.products()), ALERTS),
@@ -353,7 +359,8 @@ _queries(
     performance_of_category=lambda r: serving.performance_rows(r.performance, category="PROMO"),
     top_performers=lambda r: serving.top_performers(r.performance, 3),
     dashboard=lambda r: serving.dashboard(
-        r.sales, anomalies.high_value(r.purchases, 100.0), r.performance, r.event_end, r.purchases),
+        r.sales, anomalies.high_value(r.purchase_times, 100.0), r.performance, r.event_end,
+        r.purchase_times),
     revenue_24h=lambda r: serving.revenue_since(r.sales, r.event_end),
     transactions_24h=lambda r: serving.transactions_since(r.sales, r.event_end),
     revenue_series=lambda r: serving.sales_series(

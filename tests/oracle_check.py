@@ -22,9 +22,7 @@ def sorted_rows(rows):
     return sorted((tuple(map(normal, row)) for row in rows), key=repr)
 
 
-def close(a, b) -> bool:
-    if type(a) is float and type(b) is float:
-        return a == b or math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12)
+def same(a, b) -> bool:
     return type(a) is type(b) and a == b
 
 
@@ -51,7 +49,7 @@ def difference(spark, db, folder: str, build, sql: str) -> str | None:
     if len(ours) != len(theirs):
         return f"{len(ours)} rows against {len(theirs)}"
     for a, b in zip(ours, theirs):
-        if not all(map(close, a, b)):
+        if not all(map(same, a, b)):
             return f"{names}\n  {a}\n  {b}"
     return None if ours else "EMPTY"
 

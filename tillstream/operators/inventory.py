@@ -74,13 +74,11 @@ def low_stock_alerts(
 
     One alert per product, at the movement that first brings it below `threshold`; with `repeat`,
     one at every movement that leaves it there. The first movement of an unknown product raises
-    none. Movements are already summed per window, so a best-seller's sort is as long as the
-    number of windows, not the number of sales.
+    none. `movements` holds one row per (window, product), so a best-seller's sort is as long as
+    the number of windows, not the number of sales.
     """
     in_order = Window.partitionBy("product_id").orderBy("window_start")
-    running = movements.groupBy("product_id", "window_start").agg(
-        F.sum("sold_quantity").alias("sold_quantity")
-    ).withColumn(
+    running = movements.select("product_id", "window_start", "sold_quantity").withColumn(
         "sold", F.sum("sold_quantity").over(
             in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ).withColumn("nth", F.row_number().over(in_order))

@@ -70,10 +70,10 @@ def gap_sessions(cart: DataFrame, gap_seconds: int = 120) -> DataFrame:
     slot = F.floor(F.unix_seconds("timestamp") / gap_seconds).alias("slot")
     slots = cart.filter("timestamp IS NOT NULL").groupBy("session_id", "user_id", slot).agg(*_counts())
     in_order = Window.partitionBy("session_id", "user_id").orderBy("slot")
-    pause = F.unix_micros("start_time") - F.unix_micros(F.lag("end_time").over(in_order))
-    opens = F.when(pause.isNull() | (pause > gap_seconds * 1_000_000), 1).otherwise(0)
-    numbered = slots.withColumn("opens", opens).withColumn(
-        "nth", F.sum("opens").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    pause = F.unix_micros("start_time") - F.unix_micros("previous")
+    stays = F.coalesce(pause <= gap_seconds * 1_000_000, F.lit(False))
+    numbered = slots.withColumn("previous", F.lag("end_time").over(in_order)).withColumn(
+        "nth", F.sum(F.when(stays, 0).otherwise(1)).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
     return numbered.groupBy("session_id", "user_id", "nth").agg(
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),

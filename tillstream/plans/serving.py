@@ -164,16 +164,10 @@ def performance_rows(
 
 
 def top_performers(performance: DataFrame, n: int = 10) -> DataFrame:
-    """The n best categories. Columns a category table lacks come out as NULL."""
-    wanted = {
-        "product_id": "string", "product_name": "string", "category": "string",
-        "total_revenue": None, "units_sold": "bigint",
-    }
+    """The n best entries. Fields that the performance table lacks are left out."""
+    wanted = ["product_id", "product_name", "category", "total_revenue", "units_sold"]
     rows = page(performance, [F.col("total_revenue").desc(), F.col("category").asc()], _checked(n, 100))
-    return rows.select(*[
-        F.col(c) if c in performance.columns else F.lit(None).cast(kind).alias(c)
-        for c, kind in wanted.items()
-    ])
+    return rows.select(*[c for c in wanted if c in performance.columns])
 
 
 # Anomalies and dashboard -----------------------------------------------------------------------

@@ -53,7 +53,9 @@ class Parsed:
 
 
 def _typed(raw: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
-    opened = raw.select("value", F.from_json("value", schema).alias("event"))
+    # As a generator the JSON is parsed once per line. As a plain column, the filters below would
+    # be pushed beneath it, each repeating the parse.
+    opened = raw.select("value", F.explode(F.array(F.from_json("value", schema))).alias("event"))
     stamped = opened.withColumn("at", F.try_to_timestamp("event.timestamp"))
     reason = F.when(F.col(f"event.{required[0]}").isNull(), "unreadable")
     for name in required[1:]:

@@ -98,6 +98,15 @@ class GivenTables:
             "k", F.get_json_object("props", "$.k").cast("int")
         )
 
+    def purchase_times(self) -> DataFrame:
+        """Purchases without country and category, which costs no join."""
+        return self._events("purchase").select(
+            F.col("event_id").cast("string").alias("transaction_id"),
+            F.col("user_id").cast("string").alias("user_id"),
+            F.col("ts").alias("timestamp"), _money("value").alias("total_amount"),
+            F.col("k").cast("string").alias("product_id"),
+        )
+
     def purchases(self) -> DataFrame:
         """Transactions with times to the second."""
         parts = self.table("part").select("p_partkey", "p_type")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tillstream.schemas import TABLES
 from tillstream.operators.ranking import latest_per_key
@@ -47,7 +48,9 @@ class TableStore:
         """The table, or an empty frame with its schema where it was never written."""
         if not self.exists(name):
             return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(self.path(name))
+        rows = self.spark.read.schema(TABLES[name]).parquet(self.path(name))
+        # Folder columns come last, and change logs have one more.
+        return rows.select(*TABLES[name].names)
 
     def overwrite(self, name: str, df: DataFrame) -> None:
         rows = conform(df, name)
@@ -72,7 +75,7 @@ class TableStore:
         if not self.exists(name):
             empty = self.spark.createDataFrame([], schema)
             return empty.withColumn("batch_id", F.lit(0).cast("bigint"))
-        with_batch = schema.add("batch_id", "bigint") if "batch_id" not in schema.names else schema
+        with_batch = StructType([*schema.fields, StructField("batch_id", LongType())])
         return self.spark.read.schema(with_batch).parquet(self.path(name))
 
     def current(self, name: str, keys: list[str], keep_first: list[str] = ()) -> DataFrame:
