@@ -622,6 +622,11 @@ QUALIFY row_number() OVER (PARTITION BY metadata ORDER BY timestamp DESC, metric
     q["own_containers"] = sql(f"SELECT {health} FROM health WHERE lower(metadata) LIKE '%c3%'", "health")
     q["system_alerts"] = sql(f"""SELECT {health}, CAST(90 AS DOUBLE) AS threshold FROM health
 WHERE metric_name IN ('cpu_usage', 'memory_usage') AND metric_value > 90""", "health")
+    q["red_gauges"] = sql(f"""SELECT {health}, CASE metric_name WHEN 'disk_usage' THEN CAST(85 AS DOUBLE)
+  ELSE CAST(80 AS DOUBLE) END AS threshold FROM health WHERE (metric_name IN ('cpu_usage', 'memory_usage')
+  AND metric_value > 80) OR (metric_name = 'disk_usage' AND metric_value > 85)""", "health")
+    q["numbers_from_text"] = sql(f"""SELECT event_type, {dbl('sum(k)')} AS k_total, CAST(0 AS BIGINT) AS numeric_types
+FROM ev GROUP BY event_type""", "ev")
     q["latest_event_per_user"] = f"""SELECT event_id, {ts('ts')} AS ts, user_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY events.ts DESC, event_id DESC) = 1"""
 

@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tillstream.functions.exact import as_number
 from tillstream.operators import (
     alerts, anomalies, categories, inventory, metrics, quality, ranking, rfm, sessions, trends,
     warehouse,
@@ -22,7 +23,7 @@ RULES = AnomalyRules(high_value=450_000.0, quantity=45, rapid_limit=2, rapid_win
 STOCK_THRESHOLD = 300
 SESSION_GAP = 6 * 3600
 ALERTS = AlertRules(anomaly_score=1.05, high_risk_score=1.08, urgent_score=1.1, carts_per_hour=0,
-                    cart_value=5000.0, cpu_percent=90.0, memory_percent=90.0)
+                    cart_value=5000.0)
 
 
 class Retail:
@@ -49,6 +50,11 @@ class Retail:
         """Transactions without their category, which costs no scan of line items."""
         return self.given.transactions(categories=False)
 
+    @cached_property
+    def order_amounts(self) -> DataFrame:
+        """Transactions without category and country, which costs no join."""
+        return self.given.transactions(categories=False, countries=False)
+
     @cached_property
     def purchases(self) -> DataFrame:
         return self.given.purchases()
@@ -76,7 +82,7 @@ class Retail:
 
     @cached_property
     def anomalies(self) -> DataFrame:
-        return anomalies.detect_anomalies(self.orders, RULES, lines=self.given.order_lines())
+        return anomalies.detect_anomalies(self.order_amounts, RULES, lines=self.given.order_lines())
 
     @cached_property
     def status(self) -> DataFrame:
@@ -326,6 +332,9 @@ _queries(
     session_metrics=lambda r: sessions.windowed_sessions(r.cart, "6 hours", unique_products=None),
     session_products=lambda r: sessions.windowed_sessions(
         r.cart, "1 day", unique_products="exact").select("session_id", "user_id", "unique_products"),
+    # No SQL: the other engine's approximate counts differ.
+    session_products_approx=lambda r: sessions.windowed_sessions(r.cart, "1 day").select(
+        "session_id", "user_id", "unique_products"),
     session_windows=lambda r: r.sessions,
     session_windows_native=lambda r: sessions.streamed_sessions(
         r.cart, SESSION_GAP, unique_products=None),
@@ -393,7 +402,11 @@ _queries(
     gauge_series=lambda r: serving.gauge_series(r.health, r.event_end),
     container_states=lambda r: serving.container_states(r.health),
     own_containers=lambda r: serving.own_containers(r.health, "C3"),
-    system_alerts=lambda r: alerts.system_alerts(r.health, ALERTS),
+    system_alerts=lambda r: alerts.system_alerts(r.health),
+    red_gauges=lambda r: alerts.system_alerts(r.health, alerts.RED_GAUGES),
+    numbers_from_text=lambda r: r.given.table("events").groupBy("event_type").agg(
+        F.sum(as_number(F.get_json_object("props", "$.k"))).alias("k_total"),
+        F.count(as_number("event_type")).alias("numeric_types")),
     latest_event_per_user=lambda r: ranking.latest_per_key(
         r.given.table("events").drop("props"), ["user_id"], "ts", tie=["event_id"]),
 )
@@ -404,7 +417,7 @@ _queries(
 @query
 def payment_history(r: Retail) -> DataFrame:
     """Type-2 history of each customer's payment method, observed once a day."""
-    daily = r.orders.groupBy("user_id", "timestamp").agg(F.max("payment_method").alias("payment_method"))
+    daily = r.order_amounts.groupBy("user_id", "timestamp").agg(F.max("payment_method").alias("payment_method"))
     return warehouse.history(daily, ["user_id"], ["payment_method"], "timestamp")
 
 

@@ -13,7 +13,7 @@ from tillstream.operators import (
     alerts, anomalies, categories, inventory, metrics, quality, ranking, rfm, sessions, trends,
     warehouse,
 )
-from tillstream.settings import AlertRules, RfmRules
+from tillstream.settings import RfmRules
 from tillstream.sources.events import product_lines
 
 T0 = datetime(2024, 1, 1)
@@ -132,6 +132,11 @@ def test_stock_equals_a_sequential_fold(spark, status, moves):
     assert {r.product_id: (r.current_stock, r.available_stock) for r in after} == levels
     found = inventory.low_stock_alerts(status_df, moves_df, repeat=True).collect()
     assert sorted((r.product_id, r.alert_time.minute, r.current_stock) for r in found) == raised
+    # Rolling the stock forward over the early movements first leaves the same levels.
+    early, late = moves_df.filter("minute(window_start) < 5"), moves_df.filter("minute(window_start) >= 5")
+    rolled = inventory.apply_stock_movements(status_df, early)
+    after = inventory.apply_stock_movements(rolled, late).collect()
+    assert {r.product_id: (r.current_stock, r.available_stock) for r in after} == levels
 
 
 def test_seeding_is_repeatable_and_skips_known(spark):
@@ -356,4 +361,5 @@ def test_system_alerts(spark):
     health = spark.createDataFrame(
         [("cpu_usage", Decimal("90.00")), ("cpu_usage", Decimal("90.01")), ("disk_usage", Decimal("99.00"))],
         "metric_name string, metric_value decimal(15,2)")
-    assert alerts.system_alerts(health, AlertRules()).count() == 1
+    assert alerts.system_alerts(health).count() == 1
+    assert alerts.system_alerts(health, alerts.RED_GAUGES).count() == 3

@@ -169,6 +169,9 @@ def test_view_job_and_dead_letters(spark, tmp_path):
     finish(jobs.watch_views(raw, store, str(tmp_path / "cp"), available_now=True))
     finish([jobs.keep_dead_letters(
         events.parse_product_views(raw).dead_letters, str(tmp_path / "dead"), str(tmp_path / "cp"), available_now=True)])
+    finish([jobs.archive_raw(raw, str(tmp_path / "raw"), str(tmp_path / "cp"), available_now=True)])
+    archived = spark.read.schema("value string, day date").parquet(str(tmp_path / "raw"))
+    assert archived.count() == 4 and archived.filter("day = '2024-01-01'").count() == 2
     assert [(r.views, r.total_duration, r.avg_duration) for r in store.read("view_metrics").collect()] == [(2, 60, 30.0)]
     assert spark.read.schema("value string, reason string").json(str(tmp_path / "dead")).first()[:] == ("{bad", "unreadable")
 

@@ -16,10 +16,6 @@ def as_timestamp(value: str | datetime | Column) -> Column:
     return as_column(value).cast("timestamp")
 
 
-def seconds_interval(seconds: int) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds).cast("decimal(18,6)"))
-
-
 def ratio(numerator, denominator) -> Column:
     """numerator / denominator in double, NULL where the denominator is 0 or NULL."""
     top, bottom = (F.col(c) if isinstance(c, str) else c for c in (numerator, denominator))
@@ -37,5 +33,11 @@ def growth_percent(current, previous) -> Column:
     return F.when(before.isNotNull(), F.try_divide(now - before, before) * 100).otherwise(F.lit(0.0))
 
 
+def as_number(column) -> Column:
+    """Numeric-looking text (or any decimal) as a double; NULL where it is not a number."""
+    value = F.col(column) if isinstance(column, str) else column
+    return value.cast("string").try_cast("double")
+
+
 def or_zero(column: Column) -> Column:
     return F.coalesce(column, F.lit(0).cast("double"))

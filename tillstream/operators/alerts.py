@@ -8,6 +8,8 @@ from tillstream.functions.exact import as_timestamp
 from tillstream.settings import AlertRules
 
 RULES = AlertRules()
+# Percentages from which the gauges are shown in red.
+RED_GAUGES = {"cpu_usage": 80.0, "memory_usage": 80.0, "disk_usage": 85.0}
 
 
 def low_stock_check(
@@ -64,15 +66,15 @@ def valuable_carts(abandoned: DataFrame, rules: AlertRules = RULES) -> DataFrame
     return abandoned.filter(F.col("cart_value") > rules.cart_value)
 
 
-def system_alerts(health: DataFrame, rules: AlertRules = RULES) -> DataFrame:
-    """Gauge readings above their limit."""
-    limit = (
-        F.when(F.col("metric_name") == "cpu_usage", rules.cpu_percent)
-        .when(F.col("metric_name") == "memory_usage", rules.memory_percent)
+def system_alerts(health: DataFrame, limits: dict[str, float] | None = None) -> DataFrame:
+    """Gauge readings above the limit of their metric."""
+    limits = limits or {"cpu_usage": RULES.cpu_percent, "memory_usage": RULES.memory_percent}
+    threshold = F.coalesce(*[
+        F.when(F.col("metric_name") == name, F.lit(float(limit))) for name, limit in limits.items()
+    ])
+    return health.filter(F.col("metric_name").isin(*limits)).withColumn("threshold", threshold).filter(
+        F.col("metric_value").cast("double") > F.col("threshold")
     )
-    return health.filter(F.col("metric_name").isin("cpu_usage", "memory_usage")).withColumn(
-        "threshold", limit
-    ).filter(F.col("metric_value").cast("double") > F.col("threshold"))
 
 
 def suppress_sent(alerts: DataFrame, sent: DataFrame) -> DataFrame:

@@ -11,13 +11,13 @@ from tillstream.settings import RfmRules
 
 
 def rfm_base(transactions: DataFrame, as_of) -> DataFrame:
-    """Days since the last purchase, purchases and amount per (user, country)."""
+    """Days since the last purchase, purchases and amount per (user, country), as of one time."""
     return transactions.groupBy("user_id", "country").agg(
         F.max("timestamp").alias("_last"), F.count("*").alias("frequency"),
         F.sum("total_amount").alias("monetary"),
     ).select(
         "user_id", "country", F.datediff(as_timestamp(as_of), "_last").alias("recency"),
-        "frequency", "monetary",
+        "frequency", "monetary", as_timestamp(as_of).alias("analysis_date"),
     )
 
 
@@ -42,7 +42,7 @@ def rfm_scores(transactions: DataFrame, as_of, rules: RfmRules = RfmRules()) ->
     return scored.select(
         "user_id", "country", "recency", "frequency", "monetary", "r_score", "f_score", "m_score",
         code.alias("rfm_segment"), segment_name().alias("segment_name"),
-        as_timestamp(as_of).alias("analysis_date"),
+        "analysis_date",
     )
 
 

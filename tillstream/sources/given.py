@@ -50,19 +50,23 @@ class GivenTables:
             self.table("part").select("p_partkey", "p_type"), F.col("part_key") == F.col("p_partkey")
         ).select("l_orderkey", "p_type")
 
-    def transactions(self, categories: bool = True) -> DataFrame:
-        """One row per order. Without `categories` neither line items nor parts are read."""
-        orders = self.table("orders").join(
-            self._countries(), F.col("o_custkey") == F.col("c_custkey")
-        )
+    def transactions(self, categories: bool = True, countries: bool = True) -> DataFrame:
+        """One row per order.
+
+        Without `categories` neither line items nor parts are read, without `countries` neither
+        customers nor nations.
+        """
+        orders = self.table("orders")
         columns = [
             F.col("o_orderkey").cast("string").alias("transaction_id"),
             F.col("o_custkey").cast("string").alias("user_id"),
             F.col("o_orderdate").alias("timestamp"),
             _money("o_totalprice").alias("total_amount"),
-            "country",
             F.col("o_orderpriority").alias("payment_method"),
         ]
+        if countries:
+            orders = orders.join(self._countries(), F.col("o_custkey") == F.col("c_custkey"))
+            columns.append("country")
         if categories:
             orders = orders.join(
                 self._order_categories(), F.col("o_orderkey") == F.col("l_orderkey"), "left"

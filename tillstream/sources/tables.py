@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -118,7 +116,3 @@ def collection_writer(df: DataFrame, database: str, name: str, **options: str):
 
 def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
-
-
-def with_batch_time(df: DataFrame, at: datetime, column: str = "timestamp") -> DataFrame:
-    return df.withColumn(column, F.lit(at).cast("timestamp"))

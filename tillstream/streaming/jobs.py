@@ -135,6 +135,18 @@ def watch_views(
     )]
 
 
+def archive_raw(raw: DataFrame, folder: str, checkpoints: str, name: str = "raw_events",
+                available_now: bool = False):
+    """Copy the unparsed lines into Parquet folders by event day."""
+    day = F.to_date(F.try_to_timestamp(F.get_json_object("value", "$.timestamp")))
+    query = (
+        raw.select("value", day.alias("day")).writeStream.format("parquet").option("path", folder)
+        .partitionBy("day").queryName(name).outputMode("append")
+        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{name}")
+    )
+    return (query.trigger(availableNow=True) if available_now else query).start()
+
+
 def keep_dead_letters(dead: DataFrame, folder: str, checkpoints: str, available_now: bool = False):
     """Store unreadable lines with their reason, as JSON."""
     query = (
