@@ -363,3 +363,21 @@ def test_system_alerts(spark):
         "metric_name string, metric_value decimal(15,2)")
     assert alerts.system_alerts(health).count() == 1
     assert alerts.system_alerts(health, alerts.RED_GAUGES).count() == 3
+
+
+@settings(max_examples=12, **SLOW)
+@given(st.dictionaries(
+    st.tuples(st.sampled_from("ab"), st.integers(0, 60)), st.sampled_from(["x", "y", None]), max_size=25))
+def test_history_equals_a_sequential_scan(spark, seen):
+    def hour(n):
+        return T0 + timedelta(hours=n)
+
+    expected = []
+    for key in "ab":
+        times = sorted(n for k, n in seen if k == key)
+        starts = [n for i, n in enumerate(times) if i == 0 or seen[key, n] != seen[key, times[i - 1]]]
+        for n, until in zip(starts, [*starts[1:], None]):
+            expected.append((key, seen[key, n], hour(n), None if until is None else hour(until), until is None))
+    frame = spark.createDataFrame([(k, v, hour(n)) for (k, n), v in seen.items()], "id string, v string, at timestamp")
+    found = warehouse.history(frame, ["id"], ["v"], "at")
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)

@@ -178,10 +178,12 @@ def test_view_job_and_dead_letters(spark, tmp_path):
 
 def test_carts_without_purchase_stream(spark, tmp_path):
     carts, buys = tmp_path / "c", tmp_path / "t"
-    drop_file(carts, "1.json", [cart_line("1", "s", 0, user="buyer"), cart_line("2", "t", 0, user="leaver")])
-    drop_file(buys, "1.json", [tx_line("a", 60, user="buyer"), tx_line("b", -60, user="leaver")])
+    adds = {"before": 100, "edge": 60 - 1800, "early": 59 - 1800, "same": 60, "after": 61, "other": 0}
+    drop_file(carts, "1.json", [
+        cart_line(i, "s", at, user="nobody" if i == "other" else "buyer") for i, at in adds.items()])
+    drop_file(buys, "1.json", [tx_line("a", 60, user="buyer"), tx_line("b", -9000, user="buyer")])
     # Both watermarks must pass, and unmatched rows come out one batch later.
-    for n in (2, 3):
+    for n in (2, 3, 4):
         drop_file(carts, f"{n}.json", [cart_line(f"x{n}", "far", 0, at=FAR)])
         drop_file(buys, f"{n}.json", [tx_line(f"x{n}", 0, at=FAR)])
     left = jobs.carts_without_purchase(
@@ -190,7 +192,7 @@ def test_carts_without_purchase_stream(spark, tmp_path):
     query = (left.writeStream.format("memory").queryName("left_carts").outputMode("append")
              .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     query.awaitTermination()
-    assert [r.user_id for r in spark.table("left_carts").collect()] == ["leaver"]
+    assert sorted(r.event_id for r in spark.table("left_carts").collect()) == ["after", "before", "early", "other"]
 
 
 def test_repeated_alerts_pass_once(spark, tmp_path):

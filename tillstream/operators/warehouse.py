@@ -106,18 +106,26 @@ def fact_inventory(status: DataFrame, movements: DataFrame) -> DataFrame:
 def history(changes: DataFrame, keys: list[str], tracked: list[str], at: str) -> DataFrame:
     """Type-2 history: one row per key and unbroken stretch of equal `tracked` values.
 
-    `changes` holds one observation per key and time; sort length is one key's observations.
+    `changes` holds one observation per key and time. Observations are compared within a (key, day)
+    first; across days only the last state and the first change of each day meet, so a key with
+    very many observations is spread over its days.
     """
-    in_order = Window.partitionBy(*keys).orderBy(at)
-    state = F.struct(*tracked)
-    changed = changes.withColumn("_before", F.lag(state).over(in_order)).filter(
-        F.col("_before").isNull() | ~state.eqNullSafe(F.col("_before"))
+    state, in_key = F.struct(*tracked), Window.partitionBy(*keys).orderBy("_day")
+    in_day = Window.partitionBy(*keys, "_day").orderBy(at)
+    seen = changes.select(*keys, *tracked, at, F.to_date(at).alias("_day"), state.alias("_state"))
+    previous_day = seen.groupBy(*keys, "_day").agg(
+        F.max_by("_state", at).alias("_last")
+    ).select(*keys, "_day", F.lag("_last").over(in_key).alias("_carried"))
+    changed = seen.withColumn("_before", F.lag("_state").over(in_day)).join(
+        previous_day, [*keys, "_day"]
+    ).filter(~F.col("_state").eqNullSafe(F.coalesce("_before", "_carried")))
+    next_day = changed.groupBy(*keys, "_day").agg(F.min(at).alias("_first")).select(
+        *keys, "_day", F.lead("_first").over(in_key).alias("_following")
     )
-    until = F.lead(at).over(in_order)
-    return changed.select(
+    until = F.coalesce(F.lead(at).over(in_day), "_following")
+    return changed.join(next_day, [*keys, "_day"]).select(
         *keys, *tracked, F.col(at).alias("valid_from"), until.alias("valid_to"),
-        until.isNull().alias("is_current"),
-    )
+    ).withColumn("is_current", F.col("valid_to").isNull())
 
 
 def merge_history(

@@ -2,38 +2,49 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, functions as F
 
 from tillstream.sources.tables import TableStore, conform, jdbc_write_options
 
 Writer = Callable[[DataFrame, int], None]
+ROWS_PER_FILE = 1_000_000
+
+
+@contextmanager
+def held(batch: DataFrame):
+    """The batch persisted, with its number of rows.
+
+    Otherwise counting and every write would run the micro-batch again, state included. Blocks may
+    spill to local disk and are recomputed if an executor goes away.
+    """
+    kept = batch.persist()
+    try:
+        yield kept, kept.count()
+    finally:
+        kept.unpersist()
+
+
+def _files(df: DataFrame, rows: int) -> DataFrame:
+    """As many files as the rows fill; adaptive coalescing does not reach into streams."""
+    return df.coalesce(math.ceil(rows / ROWS_PER_FILE))
 
 
 def into_table(store: TableStore, name: str) -> Writer:
     """Every batch is one folder of the table, replaced as a whole on replay."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            store.put_batch(name, batch, batch_id)
-    return write
+    return fan_out({name: lambda batch: batch}, store)
 
 
 def fan_out(routes: dict[str, Callable[[DataFrame], DataFrame]], store: TableStore) -> Writer:
-    """Several tables from one micro-batch, which is read from the source and parsed once.
-
-    The batch is persisted while its tables are written; the blocks may spill to local disk and
-    are recomputed from the source if an executor goes away.
-    """
+    """Several tables from one micro-batch, which is read from the source and parsed once."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist()
-        try:
-            if held.isEmpty():
-                return
-            for name, select in routes.items():
-                store.put_batch(name, select(held), batch_id)
-        finally:
-            held.unpersist()
+        with held(batch) as (rows, count):
+            if count:
+                for name, select in routes.items():
+                    store.put_batch(name, _files(select(rows), count), batch_id)
     return write
 
 
@@ -46,12 +57,12 @@ def into_jdbc(url: str, table: str, properties: dict[str, str], schema_name: str
     options = jdbc_write_options(url, table, properties)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        marked = conform(batch, schema_name).withColumns({
-            "source_query": F.lit(query), "batch_id": F.lit(batch_id).cast("bigint"),
-        })
-        marked.write.format("jdbc").mode("append").options(**options).save()
+        with held(batch) as (rows, count):
+            if count:
+                marked = conform(rows, schema_name).withColumns({
+                    "source_query": F.lit(query), "batch_id": F.lit(batch_id).cast("bigint"),
+                })
+                marked.write.format("jdbc").mode("append").options(**options).save()
     return write
 
 
