@@ -85,6 +85,50 @@ def test_batch_jobs_end_to_end(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date_id" in plan
 
 
+def test_incremental_etl_replaces_only_later_days(spark, tmp_path):
+    source, target = TableStore(spark, str(tmp_path / "ops")), TableStore(spark, str(tmp_path / "wh"))
+
+    def sales(*rows):
+        source.overwrite("sales_metrics", spark.createDataFrame(
+            [(t, t + timedelta(minutes=1), "X", "UK", Decimal(a), 1, Decimal(a)) for t, a in rows],
+            schemas.TABLES["sales_metrics"]))
+
+    day = [datetime(2024, 1, d) for d in (1, 2, 3)]
+    sales((day[0], "1.00"), (day[1], "2.00"))
+    batch.run_etl(source, target, NOW)
+    sales((day[0], "99.00"), (day[1], "5.00"), (day[2], "7.00"))
+    batch.run_etl(source, target, NOW, since=day[1].date())
+    facts = target.read("fact_sales").orderBy("date_time").collect()
+    assert [r.total_amount for r in facts] == [Decimal("1.00"), Decimal("5.00"), Decimal("7.00")]
+    with pytest.raises(ValueError):
+        target.overwrite("dim_time", target.read("dim_time"), only_days=True)
+
+
+def test_command_line(spark, tmp_path):
+    from tillstream import __main__ as command
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text(
+        '{"transaction_id":"a","user_id":"u","timestamp":"2024-01-01T00:00:00","total_amount":7.5,'
+        '"products":[],"country":"UK","payment_method":"paypal"}\n')
+    ops, wh = str(tmp_path / "ops"), str(tmp_path / "wh")
+    command.main(["stream", "transactions", "--folder", str(tmp_path / "in"), "--tables", ops,
+                  "--checkpoints", str(tmp_path / "cp"), "--available-now"])
+    assert TableStore(spark, ops).read("transactions").first().category == "General"
+    command.main(["batch", "rfm", "--source", ops, "--target", wh, "--as-of", "2024-02-01"])
+    assert TableStore(spark, wh).read("customer_segments").first().recency == 31
+    with pytest.raises(SystemExit):
+        command.arguments(["stream", "transactions", "--tables", ops, "--checkpoints", "x"])
+
+
+def test_settings_follow_the_data():
+    from tillstream.session import sized_for
+
+    assert sized_for(1 << 30, 100)["spark.sql.shuffle.partitions"] == "200"
+    assert sized_for(1 << 40, 100)["spark.sql.shuffle.partitions"] == "4096"
+    assert sized_for(100 << 40, 4000)["spark.sql.shuffle.partitions"] == "50000"
+
+
 def test_adhoc_sql_reads_only(spark):
     frame = {"sales_rows": spark.range(3)}
     assert serving.run_sql(spark, "  select count(*) AS n from sales_rows", frame).first().n == 3

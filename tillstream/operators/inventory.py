@@ -109,8 +109,10 @@ def seed_inventory(products: DataFrame, existing: DataFrame | None = None, initi
 
     Products without a category get one by hash, so a repeated run gives the same rows.
     """
-    fresh = products.select("product_id", *[c for c in ("name", "category") if c in products.columns])
-    fresh = fresh.dropDuplicates(["product_id"])
+    described = [c for c in ("name", "category") if c in products.columns]
+    # The smallest description survives, so that repeated runs agree.
+    fresh = products.groupBy("product_id").agg(*[F.min(c).alias(c) for c in described]) \
+        if described else products.select("product_id").distinct()
     if existing is not None:
         fresh = fresh.join(existing.select("product_id"), "product_id", "left_anti")
     options = F.array(F.lit("Electronics"), F.lit("Clothing"), F.lit("Home & Garden"))

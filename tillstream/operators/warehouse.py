@@ -110,9 +110,13 @@ def history(changes: DataFrame, keys: list[str], tracked: list[str], at: str) ->
     first; across days only the last state and the first change of each day meet, so a key with
     very many observations is spread over its days.
     """
-    state, in_key = F.struct(*tracked), Window.partitionBy(*keys).orderBy("_day")
+    in_key = Window.partitionBy(*keys).orderBy("_day")
     in_day = Window.partitionBy(*keys, "_day").orderBy(at)
-    seen = changes.select(*keys, *tracked, at, F.to_date(at).alias("_day"), state.alias("_state"))
+    # The branches below share this one shuffle of the observations. The joins would add the filter
+    # to one branch only, and the shuffles would differ.
+    seen = changes.select(
+        *keys, at, F.to_date(at).alias("_day"), F.struct(*tracked).alias("_state")
+    ).filter("_day IS NOT NULL").repartition(*keys, "_day")
     previous_day = seen.groupBy(*keys, "_day").agg(
         F.max_by("_state", at).alias("_last")
     ).select(*keys, "_day", F.lag("_last").over(in_key).alias("_carried"))
@@ -124,7 +128,8 @@ def history(changes: DataFrame, keys: list[str], tracked: list[str], at: str) ->
     )
     until = F.coalesce(F.lead(at).over(in_day), "_following")
     return changed.join(next_day, [*keys, "_day"]).select(
-        *keys, *tracked, F.col(at).alias("valid_from"), until.alias("valid_to"),
+        *keys, *[F.col(f"_state.{c}").alias(c) for c in tracked],
+        F.col(at).alias("valid_from"), until.alias("valid_to"),
     ).withColumn("is_current", F.col("valid_to").isNull())
 
 

@@ -4,18 +4,28 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tillstream.operators import categories, rfm, trends, warehouse
 from tillstream.settings import RfmRules
 from tillstream.sources.tables import TableStore
 
 
-def run_etl(source: TableStore, target: TableStore, as_of, *, non_overlapping: bool = True) -> None:
-    """Sales and session facts, and a time dimension from a year back to a month ahead."""
-    sales = source.read("sales_metrics")
-    target.overwrite("fact_sales", warehouse.fact_sales(sales, as_of, non_overlapping))
-    target.overwrite("fact_sessions", warehouse.fact_sessions(source.read("session_metrics"), as_of))
+def run_etl(
+    source: TableStore, target: TableStore, as_of, *, non_overlapping: bool = True, since=None,
+) -> None:
+    """Sales and session facts, and a time dimension from a year back to a month ahead.
+
+    With `since` (a day) only rows from that day on are read, and only their days are replaced.
+    """
+    sales, visits = source.read("sales_metrics"), source.read("session_metrics")
+    if since is not None:
+        day_start = F.lit(since).cast("timestamp")
+        sales = sales.filter(F.col("window_start") >= day_start)
+        visits = visits.filter(F.col("start_time") >= day_start)
+    only_days = since is not None
+    target.overwrite("fact_sales", warehouse.fact_sales(sales, as_of, non_overlapping), only_days)
+    target.overwrite("fact_sessions", warehouse.fact_sessions(visits, as_of), only_days)
     day = as_of.date()
     target.overwrite("dim_time", warehouse.dim_time(
         source.spark, day - timedelta(days=365), day + timedelta(days=30)

@@ -50,13 +50,18 @@ class TableStore:
         # Folder columns come last, and change logs have one more.
         return rows.select(*TABLES[name].names)
 
-    def overwrite(self, name: str, df: DataFrame) -> None:
+    def overwrite(self, name: str, df: DataFrame, only_days: bool = False) -> None:
+        """Replace the table, or with `only_days` just the day folders that `df` has rows for."""
         rows = conform(df, name)
         keys = PARTITIONED_BY.get(name, [])
+        if only_days and not keys:
+            raise ValueError(f"{name} is not partitioned")
         if keys:
             # One task per day would hang on a hot day; rebalance splits it by size.
             rows = rows.hint("rebalance", *keys)
-        rows.write.mode("overwrite").partitionBy(*keys).parquet(self.path(name))
+        rows.write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic" if only_days else "static"
+        ).partitionBy(*keys).parquet(self.path(name))
 
     def append(self, name: str, df: DataFrame) -> None:
         conform(df, name).write.mode("append").parquet(self.path(name))
