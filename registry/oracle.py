@@ -341,6 +341,9 @@ def all_oracles() -> dict[str, str]:
 
     # Metrics and facts
     q["sales_metrics_sliding"] = sql(_sales_select("sales"), "sales")
+    q["sales_metrics_many_windows"] = sql(_sales_select("(" + _windows("""(
+    SELECT *, make_timestamp((epoch_us(moment) // 300000000 - back) * 300000000) AS window_start
+    FROM purchases CROSS JOIN range(12) AS slides(back))""", "1 HOUR") + ")"), "purchases")
     q["sales_metrics_tumbling"] = sql(_sales_select("hourly_fact"), "hourly_fact")
     q["sales_metrics_daily"] = sql(_sales_select("daily_sales"), "daily_sales")
     q["fact_sales"] = sql(_fact_select("hourly_fact"), "hourly_fact")

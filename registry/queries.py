@@ -159,6 +159,7 @@ def _queries(**builders: Callable[[Retail], DataFrame]) -> None:
 
 _queries(
     sales_metrics_sliding=lambda r: r.sales,
+    sales_metrics_many_windows=lambda r: metrics.sales_metrics(r.purchases, "1 hour", "5 minutes"),
     sales_metrics_tumbling=lambda r: metrics.sales_metrics(r.purchases, "1 hour", None),
     sales_metrics_daily=lambda r: r.daily_sales,
     fact_sales=lambda r: r.hourly_fact,

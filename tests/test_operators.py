@@ -66,6 +66,28 @@ def test_sliding_windows_count_every_sale_twice(spark):
     assert warehouse.fact_sales(both, T0, non_overlapping=False).count() == both.count()
 
 
+def test_many_windows_equal_one_pass(spark, monkeypatch):
+    tx = transactions(spark, [(str(i), "u", i * i % 7000, f"{i}.10", None, "XY"[i % 2]) for i in range(120)])
+    summed = metrics.sales_metrics(tx, "1 hour", "5 minutes")
+    monkeypatch.setattr(metrics, "_MANY_WINDOWS", 99)
+    direct = metrics.sales_metrics(tx, "1 hour", "5 minutes")
+    assert summed.schema == direct.schema
+    assert sorted(map(tuple, summed.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_offsets_from_progress(spark):
+    reports = spark.createDataFrame([
+        ('{"timestamp":"2024-01-01T00:00:00.000Z","sources":[{"endOffset":{"transactions":{"0":5,"1":7}}},'
+         '{"endOffset":{"cart_events":{"0":2}}}]}',),
+        ('{"timestamp":"2024-01-01T00:00:10.000Z","sources":[{"endOffset":{"transactions":{"0":9,"1":13}}}]}',),
+        ('{"timestamp":"2024-01-01T00:00:10.000Z","sources":[{"endOffset":"{\\"logOffset\\":3}"}]}',),
+    ], "value string")
+    offsets = metrics.offsets_from_progress(reports)
+    assert offsets.count() == 5
+    rates = metrics.topic_rates(offsets).filter("topic = 'transactions'").orderBy("timestamp")
+    assert [(r.event_count, r.rate) for r in rates.collect()] == [(0, 0.0), (10, 1.0)]
+
+
 def test_averages_round_half_up(spark):
     tx = transactions(spark, [("a", "u", 0, "0.01", None, "X"), ("b", "u", 1, "0.02", None, "X")])
     row = metrics.sales_metrics(tx, "1 minute", None).first()

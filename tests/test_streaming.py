@@ -2,13 +2,13 @@
 
 import json
 from datetime import datetime, timedelta
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators import anomalies, inventory, metrics, sessions
-from tillstream.settings import AnomalyRules, SalesWindows, SessionRules, StockRules
+from tillstream.plans import batch as batch_jobs
+from tillstream.settings import AnomalyRules, SalesWindows
 from tillstream.sources import events
 from tillstream.sources.given import GivenTables
 from tillstream.sources.tables import TableStore, conform
@@ -135,6 +135,11 @@ def test_inventory_job_does_not_count_running_totals_twice(spark, tmp_path):
     assert levels == {"p": 80 - 17, "new": 76}
     raised = jobs.alerts_now(store).collect()
     assert [(r.product_id, r.current_stock) for r in raised] == [("p", 63)]
+    tables = TableStore(spark, str(tmp_path / "tables"))
+    batch_jobs.run_snapshots(store, tables, T0)
+    assert rows(tables.read("inventory_status"), "product_id", "available_stock") == [("new", 76), ("p", 63)]
+    assert tables.read("low_stock_alerts").count() == 1
+    assert tables.read("session_metrics").count() == tables.read("transaction_anomalies").count() == 0
 
 
 @pytest.mark.parametrize("fixed", [False, True])

@@ -10,6 +10,16 @@ def date_id(ts: str) -> Column:
     return F.date_format(ts, "yyyyMMdd").cast("int")
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def seconds_of(duration: str) -> int | None:
+    """Seconds of a duration such as "5 minutes"; None for other forms."""
+    parts = duration.lower().split()
+    unit = _UNIT_SECONDS.get(parts[1].rstrip("s")) if len(parts) == 2 else None
+    return int(parts[0]) * unit if unit and parts[0].isdigit() else None
+
+
 def aligned(start: str, end: str) -> Column:
     """True for windows starting on a multiple of their own length.
 

@@ -73,7 +73,8 @@ def gap_sessions(cart: DataFrame, gap_seconds: int = 120) -> DataFrame:
     pause = F.unix_micros("start_time") - F.unix_micros("previous")
     stays = F.coalesce(pause <= gap_seconds * 1_000_000, F.lit(False))
     numbered = slots.withColumn("previous", F.lag("end_time").over(in_order)).withColumn(
-        "nth", F.sum(F.when(stays, 0).otherwise(1)).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        "nth", F.sum(F.when(stays, 0).otherwise(1)).over(
+            in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
     return numbered.groupBy("session_id", "user_id", "nth").agg(
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),

@@ -6,9 +6,29 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillstream.operators import categories, rfm, trends, warehouse
-from tillstream.settings import RfmRules
+from tillstream.operators import categories, rfm, sessions, trends, warehouse
+from tillstream.settings import RfmRules, SessionRules, StockRules
 from tillstream.sources.tables import TableStore
+from tillstream.streaming import jobs
+
+
+def run_snapshots(
+    changes: TableStore, target: TableStore, as_of, *, stock: StockRules = StockRules(),
+    visits: SessionRules = SessionRules(),
+) -> None:
+    """Current operational tables from what the streaming jobs have written so far.
+
+    Update-mode logs hold several rows per key, so reports and the ETL read these tables instead.
+    """
+    target.overwrite("sales_metrics", changes.read("sales_metrics"))
+    target.overwrite("transactions", changes.read("transactions"))
+    target.overwrite("transaction_anomalies", jobs.anomalies_now(changes))
+    target.overwrite("inventory_status", jobs.stock_now(changes, stock, as_of))
+    target.overwrite("low_stock_alerts", jobs.alerts_now(changes, stock))
+    target.overwrite("session_metrics", jobs.sessions_now(changes))
+    target.overwrite("cart_abandonment", sessions.cart_abandonment(
+        target.read("session_metrics"), visits.abandoned_after_seconds
+    ))
 
 
 def run_etl(

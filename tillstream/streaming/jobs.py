@@ -68,6 +68,11 @@ def track_inventory(
     return queries
 
 
+def anomalies_now(store: TableStore) -> DataFrame:
+    """Anomalies of all kinds."""
+    return store.read("transaction_anomalies").unionByName(store.read("rapid_anomalies"))
+
+
 def movements_now(store: TableStore) -> DataFrame:
     """The newest total of each (window, product). Totals only grow, so the largest is newest."""
     return store.changes("stock_movements").groupBy("window_start", "product_id").agg(
