@@ -415,11 +415,17 @@ _queries(
 # History and quality ---------------------------------------------------------------------------------
 
 
-@query
-def payment_history(r: Retail) -> DataFrame:
+def _payments(r: Retail, hot_rows: int) -> DataFrame:
     """Type-2 history of each customer's payment method, observed once a day."""
     daily = r.order_amounts.groupBy("user_id", "timestamp").agg(F.max("payment_method").alias("payment_method"))
-    return warehouse.history(daily, ["user_id"], ["payment_method"], "timestamp")
+    return warehouse.history(daily, ["user_id"], ["payment_method"], "timestamp", hot_rows)
+
+
+_queries(
+    payment_history=lambda r: _payments(r, 5_000_000),
+    # The same with every busier customer taken as a hot key.
+    payment_history_hot_keys=lambda r: _payments(r, 10),
+)
 
 
 @query

@@ -389,8 +389,9 @@ def test_system_alerts(spark):
 
 @settings(max_examples=12, **SLOW)
 @given(st.dictionaries(
-    st.tuples(st.sampled_from("ab"), st.integers(0, 60)), st.sampled_from(["x", "y", None]), max_size=25))
-def test_history_equals_a_sequential_scan(spark, seen):
+    st.tuples(st.sampled_from("ab"), st.integers(0, 60)), st.sampled_from(["x", "y", None]), max_size=25),
+    st.sampled_from([0, 8, 1000]))
+def test_history_equals_a_sequential_scan(spark, seen, hot_rows):
     def hour(n):
         return T0 + timedelta(hours=n)
 
@@ -401,5 +402,5 @@ def test_history_equals_a_sequential_scan(spark, seen):
         for n, until in zip(starts, [*starts[1:], None]):
             expected.append((key, seen[key, n], hour(n), None if until is None else hour(until), until is None))
     frame = spark.createDataFrame([(k, v, hour(n)) for (k, n), v in seen.items()], "id string, v string, at timestamp")
-    found = warehouse.history(frame, ["id"], ["v"], "at")
+    found = warehouse.history(frame, ["id"], ["v"], "at", hot_rows)
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)

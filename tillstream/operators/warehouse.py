@@ -103,20 +103,44 @@ def fact_inventory(status: DataFrame, movements: DataFrame) -> DataFrame:
     )
 
 
-def history(changes: DataFrame, keys: list[str], tracked: list[str], at: str) -> DataFrame:
+def history(
+    changes: DataFrame, keys: list[str], tracked: list[str], at: str, hot_rows: int = 5_000_000,
+) -> DataFrame:
     """Type-2 history: one row per key and unbroken stretch of equal `tracked` values.
 
-    `changes` holds one observation per key and time. Observations are compared within a (key, day)
-    first; across days only the last state and the first change of each day meet, so a key with
-    very many observations is spread over its days.
+    `changes` holds one observation per key and time. A key's observations are sorted in one task,
+    except for keys with more than `hot_rows` of them, which are spread over their days.
     """
+    seen = changes.filter(F.col(at).isNotNull()).select(*keys, at, F.struct(*tracked).alias("_state"))
+    # At most (all rows / hot_rows) keys, hence safe to broadcast.
+    hot = F.broadcast(
+        seen.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows).select(*keys)
+    )
+    stretches = _stretches(seen.join(hot, keys, "left_anti"), keys, at).unionByName(
+        _stretches_by_day(seen.join(hot, keys, "left_semi"), keys, at)
+    )
+    return stretches.select(
+        *keys, *[F.col(f"_state.{c}").alias(c) for c in tracked],
+        F.col(at).alias("valid_from"), F.col("_until").alias("valid_to"),
+        F.col("_until").isNull().alias("is_current"),
+    )
+
+
+def _stretches(seen: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """(keys, at, _state, _until) of every change of `_state`; one sort by key."""
+    in_key = Window.partitionBy(*keys).orderBy(at)
+    changed = seen.withColumn("_before", F.lag("_state").over(in_key)).filter(
+        F.col("_before").isNull() | ~F.col("_state").eqNullSafe(F.col("_before"))
+    )
+    return changed.withColumn("_until", F.lead(at).over(in_key)).drop("_before")
+
+
+def _stretches_by_day(seen: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """The same with sorts by (key, day). Days meet in their last state and their first change."""
     in_key = Window.partitionBy(*keys).orderBy("_day")
     in_day = Window.partitionBy(*keys, "_day").orderBy(at)
-    # The branches below share this one shuffle of the observations. The joins would add the filter
-    # to one branch only, and the shuffles would differ.
-    seen = changes.select(
-        *keys, at, F.to_date(at).alias("_day"), F.struct(*tracked).alias("_state")
-    ).filter("_day IS NOT NULL").repartition(*keys, "_day")
+    # The branches below share this one shuffle of the observations.
+    seen = seen.withColumn("_day", F.to_date(at)).filter("_day IS NOT NULL").repartition(*keys, "_day")
     previous_day = seen.groupBy(*keys, "_day").agg(
         F.max_by("_state", at).alias("_last")
     ).select(*keys, "_day", F.lag("_last").over(in_key).alias("_carried"))
@@ -126,11 +150,9 @@ def history(changes: DataFrame, keys: list[str], tracked: list[str], at: str) ->
     next_day = changed.groupBy(*keys, "_day").agg(F.min(at).alias("_first")).select(
         *keys, "_day", F.lead("_first").over(in_key).alias("_following")
     )
-    until = F.coalesce(F.lead(at).over(in_day), "_following")
     return changed.join(next_day, [*keys, "_day"]).select(
-        *keys, *[F.col(f"_state.{c}").alias(c) for c in tracked],
-        F.col(at).alias("valid_from"), until.alias("valid_to"),
-    ).withColumn("is_current", F.col("valid_to").isNull())
+        *keys, at, "_state", F.coalesce(F.lead(at).over(in_day), "_following").alias("_until")
+    )
 
 
 def merge_history(
