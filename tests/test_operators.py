@@ -50,6 +50,15 @@ def test_anomaly_thresholds_are_strict(spark):
     }
 
 
+def test_nested_and_flat_lines_give_the_same_anomalies(spark):
+    tx = transactions(spark, [
+        (str(i), "u", i, f"{i * 997}.25", None if i % 5 == 0 else [("p", i), ("q", 14 - i)], "X") for i in range(15)])
+    nested, flat = anomalies.detect_anomalies(tx), anomalies.detect_anomalies(tx, lines=product_lines(tx))
+    assert nested.dtypes == flat.dtypes
+    assert sorted(map(tuple, nested.collect()), key=repr) == sorted(map(tuple, flat.collect()), key=repr)
+    assert nested._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
 def test_rapid_transactions_need_more_than_the_limit(spark):
     tx = transactions(spark, [(str(i), "fast", i, "1.00", None, "X") for i in range(6)]
                       + [(f"s{i}", "slow", i, "1.00", None, "X") for i in range(5)])

@@ -215,7 +215,9 @@ def test_repeated_alerts_pass_once(spark, tmp_path):
 def test_given_orders_through_the_wire_format(spark, tmp_path):
     """Nested JSON of the given orders gives the same anomalies and movements as the flat tables."""
     tables = GivenTables(spark, "/root/testdata/sf0.001")
-    wire = tables.transactions_with_products().withColumn(
+    lines = tables.order_lines().groupBy("transaction_id").agg(
+        F.collect_list(F.struct("product_id", "quantity", "price")).alias("products"))
+    wire = tables.transactions().join(lines, "transaction_id", "left").withColumn(
         "timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
     wire.select(F.to_json(F.struct("*")).alias("value")).write.text(str(tmp_path / "in"))
     parsed = events.parse_transactions(events.file_events(spark, str(tmp_path / "in"))).events

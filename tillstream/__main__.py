@@ -37,6 +37,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     source.add_argument("--folder", help="folder of JSON lines")
     stream.add_argument("--tables", required=True, help="root folder of the result tables")
     stream.add_argument("--checkpoints", required=True)
+    stream.add_argument("--every", help='time between micro-batches, such as "1 minute"')
     stream.add_argument("--available-now", action="store_true", help="stop when all input is read")
     tables = kinds.add_parser("batch", help="run a batch job once")
     tables.add_argument("job", choices=BATCHES)
@@ -59,7 +60,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         raw = events.file_stream(spark, given.folder)
     queries = start(
-        raw, TableStore(spark, given.tables), given.checkpoints, available_now=given.available_now
+        raw, TableStore(spark, given.tables), given.checkpoints,
+        available_now=given.available_now, every=given.every,
     )
     if given.available_now:
         for query in queries:

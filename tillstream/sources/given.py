@@ -88,13 +88,6 @@ class GivenTables:
             F.col("l_extendedprice").alias("price"),
         )
 
-    def transactions_with_products(self) -> DataFrame:
-        """Orders in the nested form of the event stream; only for writing event files."""
-        lines = self.order_lines().groupBy("transaction_id").agg(
-            F.collect_list(F.struct("product_id", "quantity", "price")).alias("products")
-        )
-        return self.transactions().join(lines, "transaction_id", "left")
-
     # Event log ---------------------------------------------------------------------------------
 
     def _events(self, *types: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """The transaction, inventory and session jobs.
 
 Each takes the raw `value` stream of its topic and starts its queries; wait for them with
-`spark.streams.awaitAnyTermination()`.
+`spark.streams.awaitAnyTermination()`. `pace` is `available_now=True` or `every="1 minute"`.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from tillstream.streaming import sinks
 
 def monitor_transactions(
     raw: DataFrame, store: TableStore, checkpoints: str, *, rules: AnomalyRules = AnomalyRules(),
-    windows: SalesWindows = SalesWindows(), available_now: bool = False, debug: bool = False,
+    windows: SalesWindows = SalesWindows(), debug: bool = False, **pace,
 ) -> list:
     """Stored transactions and anomalies (one stateless query), and windowed sales metrics."""
     events = parse_transactions(raw).events
@@ -33,14 +33,14 @@ def monitor_transactions(
         events, rules.rapid_limit, rules.rapid_window, windows.watermark
     )
     queries = [
-        sinks.start(events, rows, "transaction_rows", checkpoints, available_now=available_now),
+        sinks.start(events, rows, "transaction_rows", checkpoints, **pace),
         sinks.start(
             sales, sinks.into_table(store, "sales_metrics"), "sales_metrics", checkpoints,
-            available_now=available_now,
+            **pace,
         ),
         sinks.start(
             rapid, sinks.into_table(store, "rapid_anomalies"), "rapid_anomalies", checkpoints,
-            available_now=available_now,
+            **pace,
         ),
     ]
     if debug:
@@ -50,7 +50,7 @@ def monitor_transactions(
 
 def track_inventory(
     raw: DataFrame, store: TableStore, checkpoints: str, *, rules: StockRules = StockRules(),
-    available_now: bool = False, debug: bool = False,
+    debug: bool = False, **pace,
 ) -> list:
     """Units sold per (window, product), in update mode.
 
@@ -61,7 +61,7 @@ def track_inventory(
     moved = inventory.stock_movements(lines, rules.window, rules.watermark)
     queries = [sinks.start(
         moved, sinks.into_table(store, "stock_movements"), "stock_movements", checkpoints,
-        mode="update", available_now=available_now,
+        mode="update", **pace,
     )]
     if debug:
         queries.append(sinks.to_console(lines, "inventory_console"))
@@ -97,7 +97,7 @@ def alerts_now(store: TableStore, rules: StockRules = StockRules()) -> DataFrame
 
 def analyze_sessions(
     raw: DataFrame, store: TableStore, checkpoints: str, *, rules: SessionRules = SessionRules(),
-    fixed_windows: bool = False, available_now: bool = False, debug: bool = False,
+    fixed_windows: bool = False, debug: bool = False, **pace,
 ) -> list:
     """Sessions by inactivity gap (append mode), or by fixed window (update mode, upserted)."""
     cart = parse_cart_events(raw).events
@@ -108,7 +108,7 @@ def analyze_sessions(
         found, mode = sessions.streamed_sessions(cart, rules.gap_seconds, rules.watermark), "append"
     queries = [sinks.start(
         found, sinks.into_table(store, "session_metrics"), "session_metrics", checkpoints,
-        mode=mode, available_now=available_now,
+        mode=mode, **pace,
     )]
     if debug:
         queries.append(sinks.to_console(cart, "sessions_console"))
@@ -130,35 +130,27 @@ def abandonment_now(store: TableStore, rules: SessionRules = SessionRules()) ->
 
 def watch_views(
     raw: DataFrame, store: TableStore, checkpoints: str, *, window: str = "1 hour",
-    watermark: str = "5 minutes", available_now: bool = False,
+    watermark: str = "5 minutes", **pace,
 ) -> list:
     """Product views and viewing time per (window, category)."""
     views = metrics.view_metrics(parse_product_views(raw).events, window, watermark)
     return [sinks.start(
         views, sinks.into_table(store, "view_metrics"), "view_metrics", checkpoints,
-        available_now=available_now,
+        **pace,
     )]
 
 
-def archive_raw(raw: DataFrame, folder: str, checkpoints: str, name: str = "raw_events",
-                available_now: bool = False):
+def archive_raw(raw: DataFrame, folder: str, checkpoints: str, name: str = "raw_events", **pace):
     """Copy the unparsed lines into Parquet folders by event day."""
     day = F.to_date(F.try_to_timestamp(F.get_json_object("value", "$.timestamp")))
-    query = (
-        raw.select("value", day.alias("day")).writeStream.format("parquet").option("path", folder)
-        .partitionBy("day").queryName(name).outputMode("append")
-        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{name}")
+    return sinks.into_files(
+        raw.select("value", day.alias("day")), "parquet", folder, name, checkpoints, by=("day",), **pace
     )
-    return (query.trigger(availableNow=True) if available_now else query).start()
 
 
-def keep_dead_letters(dead: DataFrame, folder: str, checkpoints: str, available_now: bool = False):
+def keep_dead_letters(dead: DataFrame, folder: str, checkpoints: str, **pace):
     """Store unreadable lines with their reason, as JSON."""
-    query = (
-        dead.writeStream.format("json").option("path", folder).queryName("dead_letters")
-        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/dead_letters").outputMode("append")
-    )
-    return (query.trigger(availableNow=True) if available_now else query).start()
+    return sinks.into_files(dead, "json", folder, "dead_letters", checkpoints, **pace)
 
 
 def carts_without_purchase(

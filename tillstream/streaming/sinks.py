@@ -68,14 +68,36 @@ def into_jdbc(url: str, table: str, properties: dict[str, str], schema_name: str
 
 def start(
     df: DataFrame, writer: Writer, name: str, checkpoints: str, mode: str = "append",
-    available_now: bool = False,
+    available_now: bool = False, every: str | None = None,
 ):
-    """Start a named query with a checkpoint folder of its own, so that a restart resumes."""
+    """Start a named query with a checkpoint folder of its own, so that a restart resumes.
+
+    `every` ("1 minute") spaces the micro-batches, and with them the files; by default one follows
+    the other.
+    """
     query = (
         df.writeStream.foreachBatch(writer).queryName(name).outputMode(mode)
         .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{name}")
     )
-    return (query.trigger(availableNow=True) if available_now else query).start()
+    return _paced(query, available_now, every).start()
+
+
+def _paced(query, available_now: bool, every: str | None):
+    if available_now:
+        return query.trigger(availableNow=True)
+    return query.trigger(processingTime=every) if every else query
+
+
+def into_files(
+    df: DataFrame, form: str, folder: str, name: str, checkpoints: str,
+    available_now: bool = False, every: str | None = None, by: tuple[str, ...] = (),
+):
+    """Append a stream to a folder of files, exactly once."""
+    query = (
+        df.writeStream.format(form).option("path", folder).partitionBy(*by).queryName(name)
+        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{name}").outputMode("append")
+    )
+    return _paced(query, available_now, every).start()
 
 
 def to_console(df: DataFrame, name: str):
