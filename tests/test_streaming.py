@@ -142,6 +142,39 @@ def test_inventory_job_does_not_count_running_totals_twice(spark, tmp_path):
     assert tables.read("session_metrics").count() == tables.read("transaction_anomalies").count() == 0
 
 
+def test_closing_the_stock_keeps_levels_and_alerts(spark, tmp_path):
+    from datetime import date
+
+    def filled(root):
+        store = TableStore(spark, str(tmp_path / root))
+        store.overwrite("inventory_status", spark.createDataFrame(
+            [(p, p, "C", n, 0, n, T0) for p, n in (("a", 80), ("b", 90), ("c", 70))],
+            "product_id string, product_name string, category string, current_stock bigint, "
+            "reserved_stock bigint, available_stock bigint, last_updated timestamp"))
+        day = timedelta(days=1)
+        moves = [(T0, "a", 10), (T0, "new", 30), (T0 + day, "a", 10), (T0 + day, "b", 20), (T0 + 2 * day, "b", 10),
+                 (T0 + 2 * day, "a", 5), (T0 + 2 * day, "new", 60)]
+        store.put_batch("stock_movements", spark.createDataFrame(
+            [(t, p, q, 1) for t, p, q in moves],
+            "window_start timestamp, product_id string, sold_quantity bigint, transaction_count bigint"), 0)
+        return store
+
+    whole, closed = filled("whole"), filled("closed")
+    for day in (date(2024, 1, 2), date(2024, 1, 2), date(2024, 1, 3), date(2024, 1, 2)):
+        jobs.close_stock(closed, day)
+    levels = ["product_id", "product_name", "category", "current_stock", "available_stock"]
+    assert rows(jobs.stock_now(closed), *levels) == rows(jobs.stock_now(whole), *levels)
+    alerts = ["product_id", "current_stock", "alert_time"]
+    assert rows(jobs.alerts_now(whole), *alerts) == sorted([
+        ("a", 60, T0 + timedelta(days=1)), ("b", 60, T0 + timedelta(days=2)), ("new", 0, T0 + timedelta(days=2))], key=repr)
+    # The new product is below the threshold when the first day is closed, and is reported then.
+    assert rows(jobs.alerts_now(closed), *alerts) == sorted([
+        ("a", 60, T0 + timedelta(days=1)), ("b", 60, T0 + timedelta(days=2)), ("new", 50, datetime(2024, 1, 2))], key=repr)
+    assert closed.newest_batch("inventory_openings") == 20240103
+    plan = jobs.stock_now(closed)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(window_start" in plan
+
+
 @pytest.mark.parametrize("fixed", [False, True])
 def test_session_job(spark, tmp_path, fixed):
     source, store = tmp_path / "in", TableStore(spark, str(tmp_path / "out"))

@@ -117,6 +117,10 @@ def test_command_line(spark, tmp_path):
     assert TableStore(spark, ops).read("transactions").first().category == "General"
     command.main(["batch", "rfm", "--source", ops, "--target", wh, "--as-of", "2024-02-01"])
     assert TableStore(spark, wh).read("customer_segments").first().recency == 31
+    command.main(["batch", "close-stock", "--source", ops, "--target", wh, "--as-of", "2024-02-01"])
+    assert TableStore(spark, ops).newest_batch("inventory_openings") == 20240201
+    with pytest.raises(ValueError):
+        batch.run_snapshots(TableStore(spark, ops), TableStore(spark, ops + "/"), NOW)
     with pytest.raises(SystemExit):
         command.arguments(["stream", "transactions", "--tables", ops, "--checkpoints", "x"])
 

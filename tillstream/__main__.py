@@ -18,6 +18,7 @@ STREAMS = {
     "views": (jobs.watch_views, "product_views"),
 }
 BATCHES = {
+    "close-stock": lambda a, src, dst: jobs.close_stock(src, a.as_of.date()),
     "snapshots": lambda a, src, dst: batch.run_snapshots(src, dst, a.as_of),
     "etl": lambda a, src, dst: batch.run_etl(src, dst, a.as_of, since=a.since),
     "rfm": lambda a, src, dst: batch.run_rfm(src, dst, a.as_of).show(),

@@ -20,6 +20,8 @@ def run_snapshots(
 
     Update-mode logs hold several rows per key, so reports and the ETL read these tables instead.
     """
+    if changes.root == target.root:
+        raise ValueError("snapshots need a root folder of their own")
     target.overwrite("sales_metrics", changes.read("sales_metrics"))
     target.overwrite("transactions", changes.read("transactions"))
     target.overwrite("transaction_anomalies", jobs.anomalies_now(changes))

@@ -151,6 +151,7 @@ GIVEN = {
         event_id=LONG, ts=TIMESTAMP, user_id=LONG, event_type=STRING, value=DOUBLE, props=STRING,
     ),
 }
+TABLES["inventory_openings"] = TABLES["inventory_status"]
 TABLES["rapid_anomalies"] = TABLES["transaction_anomalies"]
 TABLES["view_metrics"] = _struct(
     window_start=TIMESTAMP, window_end=TIMESTAMP, category=STRING, views=LONG,

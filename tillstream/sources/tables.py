@@ -81,6 +81,10 @@ class TableStore:
         with_batch = StructType([*schema.fields, StructField("batch_id", LongType())])
         return self.spark.read.schema(with_batch).parquet(self.path(name))
 
+    def newest_batch(self, name: str) -> int | None:
+        """The highest batch id of a change log; reads one number."""
+        return self.changes(name).agg(F.max("batch_id")).first()[0]
+
     def current(self, name: str, keys: list[str], keep_first: list[str] = ()) -> DataFrame:
         """The newest row per key; `keep_first` columns stay as first written (upsert on read)."""
         return latest_per_key(self.changes(name), keys, "batch_id", keep_first).drop("batch_id")

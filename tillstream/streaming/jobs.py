@@ -6,6 +6,8 @@ Each takes the raw `value` stream of its topic and starts its queries; wait for
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import DataFrame, functions as F
 
 from tillstream.operators import anomalies, inventory, metrics, sessions
@@ -73,26 +75,64 @@ def anomalies_now(store: TableStore) -> DataFrame:
     return store.read("transaction_anomalies").unionByName(store.read("rapid_anomalies"))
 
 
-def movements_now(store: TableStore) -> DataFrame:
+def movements_now(store: TableStore, since: date | None = None, before: date | None = None) -> DataFrame:
     """The newest total of each (window, product). Totals only grow, so the largest is newest."""
-    return store.changes("stock_movements").groupBy("window_start", "product_id").agg(
+    rows = store.changes("stock_movements")
+    if since is not None:
+        rows = rows.filter(F.col("window_start") >= F.lit(since).cast("timestamp"))
+    if before is not None:
+        rows = rows.filter(F.col("window_start") < F.lit(before).cast("timestamp"))
+    return rows.groupBy("window_start", "product_id").agg(
         F.max("sold_quantity").alias("sold_quantity"),
         F.max("transaction_count").alias("transaction_count"),
     )
 
 
+def _opening_stock(store: TableStore) -> tuple[DataFrame, date | None]:
+    """Stock as last closed, and the day from which movements are still to be taken off."""
+    newest = store.newest_batch("inventory_openings")
+    if newest is None:
+        return store.read("inventory_status"), None
+    rows = store.changes("inventory_openings").filter(F.col("batch_id") == newest).drop("batch_id")
+    return rows, datetime.strptime(str(newest), "%Y%m%d").date()
+
+
+def close_stock(store: TableStore, day: date, rules: StockRules = StockRules()) -> None:
+    """Fix the stock at the start of `day`, so that later readers skip all earlier movements.
+
+    Run it once the watermark has passed `day`. Products below the threshold without an alert get
+    one. A repeated run changes nothing; after a crash it starts over.
+    """
+    opening, since = _opening_stock(store)
+    if since is not None and since >= day:
+        return
+    number = int(day.strftime("%Y%m%d"))
+    moved = movements_now(store, since, day)
+    closing = inventory.apply_stock_movements(opening, moved, rules.initial, day)
+    raised = inventory.low_stock_alerts(opening, moved, rules.threshold, rules.initial)
+    earlier = store.changes("low_stock_alerts").filter(F.col("batch_id") < number).drop("batch_id")
+    seeded = inventory.seed_alerts(closing, earlier.unionByName(raised), rules.threshold, day)
+    store.put_batch("low_stock_alerts", raised.unionByName(seeded), number)
+    # Last, as it marks the day as closed.
+    store.put_batch("inventory_openings", closing, number)
+
+
 def stock_now(store: TableStore, rules: StockRules = StockRules(), as_of=None) -> DataFrame:
-    """Stock levels: opening `inventory_status` less all movements so far."""
-    return inventory.apply_stock_movements(
-        store.read("inventory_status"), movements_now(store), rules.initial, as_of
-    )
+    """Stock levels: the last closed (or first) stock less all movements since."""
+    opening, since = _opening_stock(store)
+    return inventory.apply_stock_movements(opening, movements_now(store, since), rules.initial, as_of)
 
 
 def alerts_now(store: TableStore, rules: StockRules = StockRules()) -> DataFrame:
     """Low-stock alerts raised so far, one per product and crossing."""
-    return inventory.low_stock_alerts(
-        store.read("inventory_status"), movements_now(store), rules.threshold, rules.initial
-    )
+    opening, since = _opening_stock(store)
+    open_alerts = inventory.low_stock_alerts(
+        opening, movements_now(store, since), rules.threshold, rules.initial)
+    if since is None:
+        return open_alerts
+    closed = store.changes("low_stock_alerts").filter(
+        F.col("batch_id") <= int(since.strftime("%Y%m%d"))).drop("batch_id")
+    return closed.unionByName(open_alerts)
 
 
 def analyze_sessions(
