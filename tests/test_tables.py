@@ -117,6 +117,8 @@ def test_command_line(spark, tmp_path):
     assert TableStore(spark, ops).read("transactions").first().category == "General"
     command.main(["batch", "rfm", "--source", ops, "--target", wh, "--as-of", "2024-02-01"])
     assert TableStore(spark, wh).read("customer_segments").first().recency == 31
+    TableStore(spark, ops).overwrite("inventory_status", spark.createDataFrame(
+        [("p", 5)], "product_id string, current_stock bigint"))
     command.main(["batch", "close-stock", "--source", ops, "--target", wh, "--as-of", "2024-02-01"])
     assert TableStore(spark, ops).newest_batch("inventory_openings") == 20240201
     with pytest.raises(ValueError):
