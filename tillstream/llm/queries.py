@@ -12,7 +12,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe_codec, token_files
+from tillstream.llm import bpe_codec, odd_sketches, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.stored_tokens(_table(spark, folder, "documents"), tokenizer)
 
 
+def op8_odd_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    return odd_sketches.near_duplicates(_table(spark, folder, "documents"))
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, as `--py-files` would, once a session."""
     context = spark.sparkContext
@@ -59,6 +63,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op7_token_files": op7_token_files,
+    "op8_odd_sketches": op8_odd_sketches,
 }
 
 
