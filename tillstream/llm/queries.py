@@ -12,7 +12,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe_codec, odd_sketches, token_files
+from tillstream.llm import bpe_codec, containment, odd_sketches, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_codec.round_trip_digests(_table(spark, folder, "documents"), ranks)
 
 
+def op2_containment(spark: SparkSession, folder: str) -> DataFrame:
+    return containment.edited_pairs(_table(spark, folder, "documents"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_files.stored_tokens(_table(spark, folder, "documents"), tokenizer)
@@ -62,6 +66,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
+    "op2_containment": op2_containment,
     "op7_token_files": op7_token_files,
     "op8_odd_sketches": op8_odd_sketches,
 }
