@@ -12,7 +12,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe_codec, containment, odd_sketches, token_files
+from tillstream.llm import bpe_codec, containment, odd_sketches, surrogates, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,12 @@ def op2_containment(spark: SparkSession, folder: str) -> DataFrame:
     return containment.edited_pairs(_table(spark, folder, "documents"))
 
 
+def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """A production run takes its key from a secret store; this one is for the given tables."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.pseudonymised(docs, key="key of the given tables")
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_files.stored_tokens(_table(spark, folder, "documents"), tokenizer)
@@ -67,6 +73,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_containment": op2_containment,
+    "op4_surrogates": op4_surrogates,
     "op7_token_files": op7_token_files,
     "op8_odd_sketches": op8_odd_sketches,
 }
