@@ -12,7 +12,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe_codec, containment, odd_sketches, surrogates, token_files
+from tillstream.llm import bpe_codec, containment, odd_sketches, surrogates, tiling, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return surrogates.pseudonymised(docs, key="key of the given tables")
 
 
+def op5_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.matched(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_files.stored_tokens(_table(spark, folder, "documents"), tokenizer)
@@ -74,6 +78,7 @@ _QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_containment": op2_containment,
     "op4_surrogates": op4_surrogates,
+    "op5_tiling": op5_tiling,
     "op7_token_files": op7_token_files,
     "op8_odd_sketches": op8_odd_sketches,
 }

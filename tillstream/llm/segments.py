@@ -86,12 +86,19 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words `[^\\x20\\x09-\\x0D]+` of a chunk, and where each row's words begin.
+NOT_SPACE = ~_SPACE
+# ASCII letters and digits, and all bytes of other characters.
+ALPHANUMERIC = np.zeros(256, bool)
+ALPHANUMERIC[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
-    The third array has a place for each row and one more: row i owns words[third[i]:third[i + 1]].
+
+def words(data: np.ndarray, bounds: np.ndarray, of: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a chunk, and where each row's words begin.
+
+    A word is a run of bytes that `of` admits; by default `[^\\x20\\x09-\\x0D]+`. The third array has a
+    place for each row and one more: row i owns words[third[i]:third[i + 1]].
     """
-    inside = ~_SPACE[data]
+    inside = of[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     # A row boundary cuts a word where neither side of it is white space.

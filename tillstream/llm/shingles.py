@@ -7,14 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from tillstream.llm.segments import chunks, lowered, mix, span_hashes, words
+from tillstream.llm.segments import NOT_SPACE, chunks, lowered, mix, span_hashes, words
 
 _STEP = np.uint64(0x9DDFEA08EB382D69)
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, bounds: np.ndarray, of: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all lower-cased words of a chunk, and where each row's words begin."""
-    starts, ends, rows = words(data, bounds)
+    starts, ends, rows = words(data, bounds, of)
     return span_hashes(lowered(data), starts, ends), rows
 
 
