@@ -12,7 +12,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe_codec, containment, odd_sketches, surrogates, tiling, token_files
+from tillstream.llm import bpe_codec, containment, nearest_toxic, odd_sketches, surrogates, tiling, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op8_odd_sketches(spark: SparkSession, folder: str) -> DataFrame:
     return odd_sketches.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op9_nearest_toxic(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_toxic.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, as `--py-files` would, once a session."""
     context = spark.sparkContext
@@ -81,6 +85,7 @@ _QUERIES = {
     "op5_tiling": op5_tiling,
     "op7_token_files": op7_token_files,
     "op8_odd_sketches": op8_odd_sketches,
+    "op9_nearest_toxic": op9_nearest_toxic,
 }
 
 
