@@ -12,7 +12,10 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe_codec, containment, nearest_toxic, odd_sketches, surrogates, tiling, token_files
+from tillstream.llm import (
+    bpe_codec, containment, language_codes, lattice, nearest_toxic, odd_sketches, surrogates, tiling, token_files,
+    warc_derivatives,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +31,10 @@ def op2_containment(spark: SparkSession, folder: str) -> DataFrame:
     return containment.edited_pairs(_table(spark, folder, "documents"))
 
 
+def op3_language_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return language_codes.languages(_table(spark, folder, "documents").select("doc_id", "text", "lang"))
+
+
 def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     """A production run takes its key from a secret store; this one is for the given tables."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -38,6 +45,11 @@ def op5_tiling(spark: SparkSession, folder: str) -> DataFrame:
     return tiling.matched(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op6_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc_derivatives.responses(_table(spark, folder, "pages"), date="2025-01-01T00:00:00Z")
+    return warc_derivatives.derivatives(records)
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_files.stored_tokens(_table(spark, folder, "documents"), tokenizer)
@@ -51,6 +63,11 @@ def op9_nearest_toxic(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_toxic.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.probabilities(
+        _table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, as `--py-files` would, once a session."""
     context = spark.sparkContext
@@ -81,11 +98,14 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_containment": op2_containment,
+    "op3_language_codes": op3_language_codes,
     "op4_surrogates": op4_surrogates,
     "op5_tiling": op5_tiling,
+    "op6_warc_derivatives": op6_warc_derivatives,
     "op7_token_files": op7_token_files,
     "op8_odd_sketches": op8_odd_sketches,
     "op9_nearest_toxic": op9_nearest_toxic,
+    "op10_lattice": op10_lattice,
 }
 
 
