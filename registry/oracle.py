@@ -120,6 +120,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
          CASE WHEN event_type = 'error' THEN 0 ELSE k % 5 + 1 END AS quantity,
          CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS session_id
   FROM ev WHERE event_type IN ('click', 'error', 'signup')"""),
+    "adds": (("cart",), "SELECT * FROM cart WHERE action = 'add'"),
     "views": (("ev",), """
   SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(k AS VARCHAR) AS product_id, ts AS moment,
          5 + CAST(floor(value) AS INTEGER) % 296 AS duration_seconds,
@@ -152,12 +153,19 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
   FROM (SELECT * FROM sessions QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY end_time DESC) = 1) newest
   JOIN (SELECT * FROM sessions QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY end_time) = 1) oldest
   USING (session_id)"""),
-    "cart_totals": (("cart",), """
-  SELECT session_id, sum(quantity * CAST(p_retailprice AS DECIMAL(12,2))) AS cart_value FROM (
-    SELECT session_id, product_id, sum(CASE WHEN action = 'add' THEN quantity ELSE 0 END) AS quantity
-    FROM cart GROUP BY ALL
-    HAVING sum(CASE WHEN action = 'add' THEN quantity ELSE 0 END) > 0 AND count(*) FILTER (action = 'remove') = 0
-  ) JOIN part ON CAST(p_partkey AS VARCHAR) = product_id GROUP BY session_id"""),
+    # What no later update or removal of the same product in the same cart undoes.
+    "cart_left": (("cart",), """
+  SELECT session_id, product_id, CAST(sum(quantity) AS BIGINT) AS quantity FROM cart c
+  WHERE action <> 'remove' AND NOT EXISTS (
+    SELECT 1 FROM cart d WHERE d.session_id = c.session_id AND d.product_id = c.product_id AND d.action <> 'add'
+      AND (d.moment > c.moment OR d.moment = c.moment AND d.event_id > c.event_id))
+  GROUP BY ALL HAVING sum(quantity) > 0"""),
+    "cart_totals": (("cart_left",), """
+  SELECT session_id, sum(quantity * CAST(coalesce(p_retailprice, 0) AS DECIMAL(12,2))) AS cart_value
+  FROM cart_left LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = product_id GROUP BY session_id"""),
+    "valued": (("abandoned", "cart_totals"), """
+  SELECT abandoned.* EXCLUDE (cart_value), coalesce(CAST(cart_totals.cart_value AS DOUBLE), 0) AS cart_value
+  FROM abandoned LEFT JOIN cart_totals USING (session_id)"""),
     "rfm": ((), """
   SELECT CAST(o_custkey AS VARCHAR) AS user_id, n_name AS country,
          date_diff('day', max(o_orderdate), (SELECT max(o_orderdate) FROM orders)) AS recency,
@@ -197,17 +205,15 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
   FROM (SELECT *, lag(revenue) OVER (PARTITION BY period_type ORDER BY nth) AS before FROM (
     SELECT period_type, period, nth, CAST(sum(total_amount) AS DOUBLE) AS revenue,
            CAST(sum(transaction_count) AS BIGINT) AS transactions FROM trend_rows GROUP BY ALL))"""),
-    "offsets": ((), """
-  SELECT topic, partition, timestamp, sum(n) OVER (PARTITION BY topic, partition ORDER BY timestamp) AS end_offset
-  FROM (SELECT event_type AS topic, user_id % 4 AS partition, date_trunc('hour', ts) AS timestamp,
-               count(*) AS n FROM events GROUP BY ALL)"""),
-    "topics": (("offsets",), """
-  SELECT topic, timestamp, CAST(coalesce(greatest(total - before, 0), 0) AS BIGINT) AS event_count,
-         coalesce(CAST(coalesce(greatest(total - before, 0), 0) AS DOUBLE)
+    # The events themselves, but for those of each partition's first hour, which nothing precedes.
+    "topics": ((), """
+  SELECT topic, timestamp, event_count, coalesce(CAST(event_count AS DOUBLE)
            / CAST(epoch_us(timestamp) // 1000000 - epoch_us(previous) // 1000000 AS DOUBLE), 0) AS rate
-  FROM (SELECT *, lag(total) OVER w AS before, lag(timestamp) OVER w AS previous
-        FROM (SELECT topic, timestamp, sum(end_offset) AS total FROM offsets GROUP BY ALL)
-        WINDOW w AS (PARTITION BY topic ORDER BY timestamp))"""),
+  FROM (SELECT topic, timestamp, count(*) FILTER (timestamp > first_hour) AS event_count,
+               lag(timestamp) OVER (PARTITION BY topic ORDER BY timestamp) AS previous
+        FROM (SELECT event_type AS topic, date_trunc('hour', ts) AS timestamp,
+                     min(date_trunc('hour', ts)) OVER (PARTITION BY event_type, user_id % 4) AS first_hour FROM events)
+        GROUP BY topic, timestamp)"""),
     "health": ((), """
   SELECT CASE event_type WHEN 'view' THEN 'cpu_usage' WHEN 'click' THEN 'memory_usage'
               WHEN 'error' THEN 'disk_usage' ELSE 'container_status' END AS metric_name,
@@ -319,12 +325,12 @@ def _funnel(keys: str) -> str:
     return sql(f"""SELECT viewed, carted, purchased, all_buyers,
   {dbl('carted')} / nullif({dbl('viewed')}, 0) AS cart_rate,
   {dbl('purchased')} / nullif({dbl('carted')}, 0) AS purchase_rate FROM (
-  SELECT count(*) FILTER (v) AS viewed, count(*) FILTER (v AND c) AS carted,
-         count(*) FILTER (v AND c AND b) AS purchased, count(*) FILTER (b) AS all_buyers FROM (
-    SELECT {keys}, bool_or(step = 1) AS v, bool_or(step = 2) AS c, bool_or(step = 3) AS b FROM (
-      SELECT {keys}, 1 AS step FROM views UNION ALL
-      SELECT {keys}, 2 FROM cart WHERE action = 'add' UNION ALL
-      SELECT {keys}, 3 FROM purchases) GROUP BY {keys}))""", "views", "cart", "purchases")
+  SELECT (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM views)) AS viewed,
+         (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM views JOIN adds USING ({keys})
+           WHERE adds.moment >= views.moment)) AS carted,
+         (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM views JOIN adds USING ({keys})
+           JOIN purchases USING ({keys}) WHERE adds.moment >= views.moment AND purchases.moment >= adds.moment)) AS purchased,
+         (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM purchases)) AS all_buyers)""", "views", "adds", "purchases")
 
 
 def _gauge(metric: str) -> str:
@@ -348,6 +354,17 @@ def all_oracles() -> dict[str, str]:
     q["sales_metrics_daily"] = sql(_sales_select("daily_sales"), "daily_sales")
     q["fact_sales"] = sql(_fact_select("hourly_fact"), "hourly_fact")
     q["fact_sales_all_windows"] = sql(_fact_select("sales"), "sales")
+    for name, micros in (("fact_sales_10_3", 60_000_000), ("fact_sales_60_25", 300_000_000)):
+        panes = _windows(f"""(SELECT *, make_timestamp(epoch_us(moment) // {micros} * {micros}) AS window_start
+    FROM purchases)""", f"{micros} MICROSECONDS")
+        q[name] = sql(_fact_select(f"(SELECT *, window_start AS date_time FROM ({panes}))"), "purchases")
+    q["fact_sessions_with_outcome"] = sql(f"""SELECT {_SESSION}, bought > 0 AS purchase_completed,
+  bought = 0 AND cart_adds > 0 AND duration_seconds > 60 AS abandoned, CAST(paid AS DOUBLE) AS total_amount,
+  {big("strftime(start_time, '%Y%m%d')")} AS date_id, {LOADED} AS loaded_at FROM (
+    SELECT s.*, (SELECT count(*) FROM purchases p WHERE p.user_id = s.user_id AND p.moment >= s.start_time
+             AND p.moment <= s.end_time + {GAP}) AS bought,
+           (SELECT sum(p.total_amount) FROM purchases p WHERE p.user_id = s.user_id AND p.moment >= s.start_time
+             AND p.moment <= s.end_time + {GAP}) AS paid FROM sessions s)""", "sessions", "purchases")
     q["fact_sessions"] = sql(f"""SELECT {_SESSION}, false AS purchase_completed, false AS abandoned,
   CAST(NULL AS DOUBLE) AS total_amount, {big("strftime(start_time, '%Y%m%d')")} AS date_id,
   {LOADED} AS loaded_at FROM sessions""", "sessions")
@@ -464,6 +481,7 @@ WHERE anomaly_type = 'high_value' AND detected_at >= '1999-01-01' {_NEWEST_ANOMA
   CASE WHEN anomaly_score >= 1.08 THEN 'red' ELSE 'yellow' END AS severity, anomaly_score >= 1.1 AS urgent
 FROM (SELECT * FROM anomalies WHERE detected_at >= '2000-01-01' AND anomaly_score >= 1.05
   ORDER BY anomaly_score DESC, transaction_id, anomaly_type, product_id NULLS FIRST LIMIT 20)""", "anomalies")
+    q["anomaly_check_all"] = q["anomaly_check"].replace("'2000-01-01'", "'1999-01-01'").replace(" LIMIT 20", "")
     q["anomaly_count_24h"] = sql("""SELECT count(*) AS anomaly_count FROM anomalies, order_end
 WHERE detected_at >= t - INTERVAL 24 HOURS""", "anomalies", "order_end")
     q["anomalies_page"] = sql(f"""SELECT {_ANOMALY} FROM (SELECT * FROM anomalies
@@ -509,13 +527,14 @@ WHERE after < 300 AND ((known AND before >= 300) OR (NOT known AND (nth = 2 OR (
   CAST(300 AS BIGINT) AS threshold, {LOADED} AS alert_time, 'active' AS status FROM status
 WHERE available_stock < 300 AND product_id NOT IN (SELECT product_id FROM stock_alerts)""", "status", "stock_alerts")
     q["low_stock_count_24h"] = sql("""SELECT count(*) AS low_stock_count FROM stock_alerts
-WHERE window_start >= TIMESTAMP '1997-01-01' - INTERVAL 24 HOURS""", "stock_alerts")
+WHERE window_start BETWEEN TIMESTAMP '1997-01-01' - INTERVAL 24 HOURS AND TIMESTAMP '1997-01-01'""", "stock_alerts")
     check = """SELECT 'low_stock_' || product_id || '_' || CAST(available_stock AS VARCHAR) AS alert_key, product_id,
   product_name, category, available_stock,
   CASE WHEN available_stock < 50 THEN 'red' ELSE 'yellow' END AS severity FROM status
 WHERE available_stock > 0 AND """
     q["low_stock_check"] = sql(
         check + "available_stock < 100 ORDER BY available_stock, product_id LIMIT 20", "status")
+    q["low_stock_check_all"] = sql(check + "available_stock < 400", "status")
     q["unsent_low_stock"] = sql(check + """available_stock < 400 AND category <> 'PROMO'
 ORDER BY available_stock, product_id LIMIT 1000""", "status")
     q["stock_page"] = sql(f"""SELECT {_STOCK} FROM status WHERE available_stock < 500
@@ -527,11 +546,20 @@ FROM status WHERE available_stock < 500 ORDER BY available_stock, product_id LIM
     q["session_metrics"] = sql(f"SELECT {_SESSION} FROM fixed_sessions", "fixed_sessions")
     q["session_products"] = sql("""SELECT session_id, user_id, count(DISTINCT product_id) AS unique_products
 FROM cart GROUP BY session_id, user_id, date_trunc('day', moment)""", "cart")
+    q["session_products_approx"] = sql("""SELECT DISTINCT session_id, user_id, true AS close FROM cart""", "cart")
     q["session_windows"] = q["session_windows_native"] = sql(f"SELECT {_SESSION} FROM sessions", "sessions")
     upsert = TABLES["upserted"][1].replace("FROM sessions", "FROM fixed_sessions")
     q["session_upsert"] = sql(f"SELECT {_SESSION} FROM ({upsert})", "fixed_sessions")
     q["cart_abandonment"] = sql(f"""SELECT session_id, user_id, products_in_cart, cart_value,
   {ts('abandonment_time')} AS abandonment_time, time_in_cart_minutes FROM abandoned""", "abandoned")
+    q["cart_contents"] = sql("SELECT * FROM cart_left", "cart_left")
+    q["cart_abandonment_valued"] = sql(f"""SELECT session_id, user_id, products_in_cart, cart_value,
+  {ts('abandonment_time')} AS abandonment_time, time_in_cart_minutes FROM valued""", "valued")
+    q["valuable_abandoned_carts"] = q["cart_abandonment_valued"] + " WHERE cart_value > 5000"
+    q["abandonment_spike_valued"] = sql("""SELECT * FROM (SELECT count(*) AS cart_count,
+  coalesce(sum(cart_value), 0) AS total_value FROM valued, event_end
+  WHERE abandonment_time BETWEEN t - INTERVAL 13 HOURS AND t - INTERVAL 12 HOURS) WHERE cart_count > 0""",
+        "valued", "event_end")
     q["cart_values"] = sql(
         f"SELECT session_id, {dbl('cart_value')} AS cart_value FROM cart_totals", "cart_totals")
     q["valuable_carts"] = sql(

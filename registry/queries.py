@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillstream.functions.exact import as_number
 from tillstream.operators import (
@@ -13,7 +13,7 @@ from tillstream.operators import (
     warehouse,
 )
 from tillstream.plans import serving
-from tillstream.settings import AlertRules, AnomalyRules, RfmRules
+from tillstream.settings import AlertRules, AnomalyRules, SalesWindows
 from tillstream.sources import events as event_source
 from tillstream.sources.given import GivenTables
 
@@ -22,6 +22,7 @@ LOADED_AT = "2025-01-01 00:00:00"
 RULES = AnomalyRules(high_value=450_000.0, quantity=45, rapid_limit=2, rapid_window="6 hours")
 STOCK_THRESHOLD = 300
 SESSION_GAP = 6 * 3600
+HOURLY = SalesWindows(length="1 hour", slide="30 minutes")
 ALERTS = AlertRules(anomaly_score=1.05, high_risk_score=1.08, urgent_score=1.1, carts_per_hour=0,
                     cart_value=5000.0)
 
@@ -74,11 +75,30 @@ class Retail:
 
     @cached_property
     def sales(self) -> DataFrame:
-        return metrics.sales_metrics(self.purchases, "1 hour", "30 minutes")
+        return metrics.sales_metrics(self.purchases, HOURLY.length, HOURLY.slide)
+
+    def sales_between(self, since, until) -> DataFrame:
+        """The same windows, of which only those that start in a range are summed."""
+        return metrics.sales_metrics(self.purchases, HOURLY.length, HOURLY.slide, since=since, until=until)
+
+    def sales_of_last(self, interval: str) -> DataFrame:
+        end = F.col("t")
+        return self.sales_between(self.event_time(end - F.expr(f"INTERVAL {interval}")), self.event_end)
+
+    @property
+    def sales_of_today(self) -> DataFrame:
+        return self.sales_between(self.event_time(F.date_trunc("day", "t")), self.event_end)
+
+    def event_time(self, of: Column) -> Column:
+        """A time that depends on that of the last event, `t`."""
+        return self.given.table("events").agg(F.max("ts").alias("t")).select(of).scalar()
+
+    def daily_sales_between(self, since=None, until=None) -> DataFrame:
+        return metrics.sales_metrics(self.transactions, "1 day", None, since=since, until=until)
 
     @cached_property
     def hourly_fact(self) -> DataFrame:
-        return warehouse.fact_sales(self.sales, LOADED_AT)
+        return warehouse.fact_sales(self.sales, LOADED_AT, windows=HOURLY)
 
     @cached_property
     def anomalies(self) -> DataFrame:
@@ -106,6 +126,11 @@ class Retail:
     def abandoned(self) -> DataFrame:
         return sessions.cart_abandonment(self.sessions)
 
+    @cached_property
+    def valued_carts(self) -> DataFrame:
+        return sessions.cart_abandonment(
+            self.sessions, values=sessions.cart_values(self.cart, self.given.products()))
+
     @cached_property
     def segments(self) -> DataFrame:
         return rfm.rfm_scores(self.orders, self.order_end)
@@ -157,6 +182,14 @@ def _queries(**builders: Callable[[Retail], DataFrame]) -> None:
 
 # Metrics and facts -------------------------------------------------------------------------------
 
+
+def _pane_fact(r: Retail, window: str, slide: str) -> DataFrame:
+    """Facts of windows that the slide does not divide: by their common panes."""
+    pane = metrics.pane(window, slide)
+    return warehouse.fact_sales(
+        metrics.sales_panes(r.purchases, window, slide), LOADED_AT, windows=SalesWindows(length=pane, slide=pane))
+
+
 _queries(
     sales_metrics_sliding=lambda r: r.sales,
     sales_metrics_many_windows=lambda r: metrics.sales_metrics(r.purchases, "1 hour", "5 minutes"),
@@ -164,6 +197,10 @@ _queries(
     sales_metrics_daily=lambda r: r.daily_sales,
     fact_sales=lambda r: r.hourly_fact,
     fact_sales_all_windows=lambda r: warehouse.fact_sales(r.sales, LOADED_AT, non_overlapping=False),
+    fact_sales_10_3=lambda r: _pane_fact(r, "10 minutes", "3 minutes"),
+    fact_sales_60_25=lambda r: _pane_fact(r, "60 minutes", "25 minutes"),
+    fact_sessions_with_outcome=lambda r: warehouse.fact_sessions(
+        sessions.with_outcome(r.sessions, r.purchase_times, SESSION_GAP), LOADED_AT),
     fact_sessions=lambda r: warehouse.fact_sessions(r.sessions, LOADED_AT),
     dim_time=lambda r: warehouse.dim_time_covering(r.given.table("orders"), "o_orderdate"),
     dim_customers=lambda r: warehouse.dim_customers(r.orders, r.segments),
@@ -246,8 +283,7 @@ _queries(
 
 _queries(
     rfm_scores=lambda r: r.segments,
-    rfm_scores_by_range=lambda r: rfm.rfm_scores(
-        r.orders, r.order_end, RfmRules(single_task_rows=0, rows_per_partition=500)),
+    rfm_scores_by_range=lambda r: r.segments,
     segment_summary=lambda r: rfm.segment_summary(r.segments),
     segment_distribution=lambda r: rfm.segment_distribution(r.segments),
     segment_distribution_by_name=lambda r: rfm.segment_distribution(r.segments, "segment_name"),
@@ -276,7 +312,8 @@ _queries(
     anomaly_rows=lambda r: serving.anomaly_rows(r.anomalies),
     anomaly_rows_of_type=lambda r: serving.anomaly_rows(
         r.anomalies, "high_value", "1999-01-01", limit=200),
-    anomaly_check=lambda r: alerts.anomaly_check(r.anomalies, "2000-01-01", ALERTS),
+    anomaly_check=lambda r: alerts.anomaly_check(r.anomalies, "2000-01-01", ALERTS, limit=ALERTS.page),
+    anomaly_check_all=lambda r: alerts.anomaly_check(r.anomalies, "1999-01-01", ALERTS),
     anomaly_count_24h=lambda r: serving.count_since(
         r.anomalies, "detected_at", r.order_end, "24 HOURS", "anomaly_count"),
     anomalies_page=lambda r: serving.anomalies_page(r.anomalies, offset=100),
@@ -298,7 +335,9 @@ _queries(
     low_stock_count_24h=lambda r: serving.count_since(
         inventory.low_stock_alerts(r.status, r.movements, STOCK_THRESHOLD), "alert_time",
         F.lit("1997-01-01").cast("timestamp"), "24 HOURS", "low_stock_count"),
-    low_stock_check=lambda r: alerts.low_stock_check(r.status, AlertRules(low_stock=100, critical_stock=50)),
+    low_stock_check=lambda r: alerts.low_stock_check(
+        r.status, AlertRules(low_stock=100, critical_stock=50), limit=ALERTS.page),
+    low_stock_check_all=lambda r: alerts.low_stock_check(r.status, AlertRules(low_stock=400, critical_stock=50)),
     stock_page=lambda r: serving.stock_page(r.status, below=500, offset=20),
     stock_labels=lambda r: serving.chart_labels(serving.stock_page(r.status, below=500)),
 )
@@ -329,19 +368,35 @@ def unsent_low_stock(r: Retail) -> DataFrame:
 
 # Sessions ------------------------------------------------------------------------------------------
 
+
+def _approximation(r: Retail) -> DataFrame:
+    """Whether each session's approximate number of products is within four standard errors (5 % each)."""
+    counted = [
+        sessions.windowed_sessions(r.cart, "1 day", unique_products=how).select(
+            "session_id", "user_id", F.col("unique_products").alias(how))
+        for how in ("approx", "exact")
+    ]
+    away = F.abs(F.col("approx") - F.col("exact"))
+    return counted[0].join(counted[1], ["session_id", "user_id"]).select(
+        "session_id", "user_id", (away <= F.greatest(F.lit(1.0), 0.2 * F.col("exact"))).alias("close"))
+
+
 _queries(
     session_metrics=lambda r: sessions.windowed_sessions(r.cart, "6 hours", unique_products=None),
     session_products=lambda r: sessions.windowed_sessions(
         r.cart, "1 day", unique_products="exact").select("session_id", "user_id", "unique_products"),
-    # No SQL: the other engine's approximate counts differ.
-    session_products_approx=lambda r: sessions.windowed_sessions(r.cart, "1 day").select(
-        "session_id", "user_id", "unique_products"),
+    session_products_approx=lambda r: _approximation(r),
     session_windows=lambda r: r.sessions,
     session_windows_native=lambda r: sessions.streamed_sessions(
         r.cart, SESSION_GAP, unique_products=None),
     session_upsert=lambda r: sessions.upserted_sessions(
         sessions.windowed_sessions(r.cart, "6 hours", unique_products=None)),
     cart_abandonment=lambda r: r.abandoned,
+    cart_contents=lambda r: sessions.cart_contents(r.cart),
+    cart_abandonment_valued=lambda r: r.valued_carts,
+    abandonment_spike_valued=lambda r: alerts.abandonment_spike(
+        r.valued_carts, r.event_time(F.col("t") - F.expr("INTERVAL 12 HOURS")), rules=ALERTS),
+    valuable_abandoned_carts=lambda r: alerts.valuable_carts(r.valued_carts, ALERTS),
     cart_values=lambda r: sessions.cart_values(r.cart, r.given.products()),
     unpurchased_carts=lambda r: sessions.unpurchased_carts(
         r.sessions, r.purchase_times, SESSION_GAP),
@@ -359,24 +414,25 @@ _queries(
 
 _queries(
     sales_rows=lambda r: serving.sales_rows(
-        r.daily_sales, "1996-01-01", "1999-12-31", category="PROMO", limit=500),
+        r.daily_sales_between("1996-01-01", "1999-12-31"), "1996-01-01", "1999-12-31", category="PROMO", limit=500),
     sales_rows_of_country=lambda r: serving.sales_rows(r.daily_sales, country="NATION_5"),
-    sales_summary_today=lambda r: serving.sales_summary(r.sales, "today", r.event_end),
-    sales_summary_week=lambda r: serving.sales_summary(r.sales, "week", r.event_end),
-    sales_summary_month=lambda r: serving.sales_summary(r.sales, "month", r.event_end),
-    sales_totals=lambda r: serving.sales_totals(r.daily_sales, "1996-01-01", "1997-01-01"),
+    sales_summary_today=lambda r: serving.sales_summary(r.sales_of_today, "today", r.event_end),
+    sales_summary_week=lambda r: serving.sales_summary(r.sales_of_last("7 DAYS"), "week", r.event_end),
+    sales_summary_month=lambda r: serving.sales_summary(r.sales_of_last("30 DAYS"), "month", r.event_end),
+    sales_totals=lambda r: serving.sales_totals(
+        r.daily_sales_between("1996-01-01", "1997-01-01"), "1996-01-01", "1997-01-01"),
     performance_rows=lambda r: serving.performance_rows(r.performance, sort_by="units_sold", limit=4),
     performance_of_category=lambda r: serving.performance_rows(r.performance, category="PROMO"),
     top_performers=lambda r: serving.top_performers(r.performance, 3),
     dashboard=lambda r: serving.dashboard(
-        r.sales, anomalies.high_value(r.purchase_times, 100.0), r.performance, r.event_end,
+        r.sales_of_today, anomalies.high_value(r.purchase_times, 100.0), r.performance, r.event_end,
         r.purchase_times),
-    revenue_24h=lambda r: serving.revenue_since(r.sales, r.event_end),
-    transactions_24h=lambda r: serving.transactions_since(r.sales, r.event_end),
+    revenue_24h=lambda r: serving.revenue_since(r.sales_of_last("24 HOURS"), r.event_end),
+    transactions_24h=lambda r: serving.transactions_since(r.sales_of_last("24 HOURS"), r.event_end),
     revenue_series=lambda r: serving.sales_series(
-        r.sales, "total_amount", "revenue", "2024-01-05", "2024-01-20"),
+        r.sales_between("2024-01-05", "2024-01-20"), "total_amount", "revenue", "2024-01-05", "2024-01-20"),
     transaction_series=lambda r: serving.sales_series(
-        r.sales, "transaction_count", "transactions", "2024-01-05", "2024-01-20"),
+        r.sales_between("2024-01-05", "2024-01-20"), "transaction_count", "transactions", "2024-01-05", "2024-01-20"),
     category_stats=lambda r: serving.category_stats(r.fact, n=10),
     category_stats_of_country=lambda r: serving.category_stats(r.fact, "NATION_2"),
     category_overview=lambda r: serving.category_overview(r.fact),
@@ -415,16 +471,15 @@ _queries(
 # History and quality ---------------------------------------------------------------------------------
 
 
-def _payments(r: Retail, hot_rows: int) -> DataFrame:
+def _payments(r: Retail) -> DataFrame:
     """Type-2 history of each customer's payment method, observed once a day."""
     daily = r.order_amounts.groupBy("user_id", "timestamp").agg(F.max("payment_method").alias("payment_method"))
-    return warehouse.history(daily, ["user_id"], ["payment_method"], "timestamp", hot_rows)
+    return warehouse.history(daily, ["user_id"], ["payment_method"], "timestamp")
 
 
 _queries(
-    payment_history=lambda r: _payments(r, 5_000_000),
-    # The same with every busier customer taken as a hot key.
-    payment_history_hot_keys=lambda r: _payments(r, 10),
+    payment_history=_payments,
+    payment_history_hot_keys=_payments,
 )
 
 

@@ -13,7 +13,8 @@ from tillstream.operators import (
     alerts, anomalies, categories, inventory, metrics, quality, ranking, rfm, sessions, trends,
     warehouse,
 )
-from tillstream.settings import RfmRules
+from tillstream.settings import SalesWindows
+from tillstream.sources import events as event_source
 from tillstream.sources.events import product_lines
 
 T0 = datetime(2024, 1, 1)
@@ -273,7 +274,7 @@ def test_range_ranking_equals_ntile(spark, rows):
     frame = spark.range(rows).select(
         F.col("id"), (F.pmod(F.xxhash64("id"), F.lit(3))).alias("value"))
     order = {"tile": [F.col("value").desc(), F.col("id").asc()], "up": [F.col("value").asc(), F.col("id").asc()]}
-    ranged = ranking.global_ntile(frame, order, 5, single_task_rows=-1, rows_per_partition=50)
+    ranged = ranking.global_ntile(frame, order, 5)
     plain = frame.withColumn("tile", F.ntile(5).over(Window.orderBy(*order["tile"]))).withColumn(
         "up", F.ntile(5).over(Window.orderBy(*order["up"])))
     assert sorted(map(tuple, ranged.collect())) == sorted(map(tuple, plain.collect()))
@@ -294,9 +295,6 @@ def test_rfm_of_three_customers(spark):
     rows = {r.user_id: (r.recency, r.frequency, r.r_score, r.f_score, r.m_score)
             for r in rfm.rfm_scores(tx, T0 + timedelta(days=3)).collect()}
     assert rows == {"a": (3, 1, 1, 1, 1), "b": (2, 2, 2, 3, 2), "c": (1, 1, 3, 2, 3)}
-    ranged = rfm.rfm_scores(tx, T0 + timedelta(days=3), RfmRules(single_task_rows=0, rows_per_partition=1))
-    assert {r.user_id: (r.recency, r.frequency, r.r_score, r.f_score, r.m_score)
-            for r in ranged.collect()} == rows
 
 
 def fact_frame(spark, rows):
@@ -362,13 +360,104 @@ def test_alert_checks(spark):
 
 
 def test_funnel_and_quality_on_empty_input(spark):
-    views = spark.createDataFrame([], "user_id string")
-    carts = spark.createDataFrame([], "user_id string, action string")
+    views = spark.createDataFrame([], "user_id string, timestamp timestamp")
+    carts = spark.createDataFrame([], "user_id string, action string, timestamp timestamp")
     assert metrics.funnel(views, carts, views, ["user_id"]).first()[:] == (0, 0, 0, 0, None, None)
     report = quality.quality_report(views, {"has user": "user_id IS NOT NULL"}).first()
     assert report[:] == ("has user", 0, 0, 0.0)
 
 
+def test_funnel_goes_by_time(spark):
+    def log(*rows):
+        return spark.createDataFrame([(u, T0 + timedelta(minutes=m)) for u, m in rows], "user_id string, timestamp timestamp")
+
+    views = log(("all", 1), ("all", 9), ("early cart", 5), ("early purchase", 1), ("same", 3), ("none", 1))
+    carts = log(("all", 2), ("early cart", 4), ("early purchase", 6), ("same", 3), ("unseen", 1)).withColumn(
+        "action", F.lit("add"))
+    bought = log(("all", 3), ("early purchase", 5), ("same", 3), ("early cart", 8))
+    assert metrics.funnel(views, carts, bought, ["user_id"]).first()[:4] == (5, 3, 2, 4)
+
+
+@settings(max_examples=40, **SLOW)
+@given(st.lists(st.tuples(st.sampled_from(["add", "remove", "update"]), st.integers(1, 4)), max_size=8))
+def test_cart_is_a_fold_over_its_actions(spark, actions):
+    left = 0
+    for action, quantity in actions:
+        left = {"add": left + quantity, "remove": 0, "update": quantity}[action]
+    cart = spark.createDataFrame(
+        [("s", "p", a, q, T0 + timedelta(seconds=i // 2), f"{i:03d}") for i, (a, q) in enumerate(actions)],
+        "session_id string, product_id string, action string, quantity int, timestamp timestamp, event_id string")
+    assert [r.quantity for r in sessions.cart_contents(cart).collect()] == ([left] if left else [])
+    prices = spark.createDataFrame([("p", 10.0)], "product_id string, price double")
+    values = [r.cart_value for r in sessions.cart_values(cart, prices).collect()]
+    assert values == ([Decimal(10 * left).quantize(Decimal("0.01"))] if left else [])
+
+
+def test_panes_hold_every_sale_once_and_other_windows_are_refused(spark):
+    tx = transactions(spark, [(str(i), "u", i * 97, "2.00", None, "X") for i in range(50)])
+    for window, slide in (("10 minutes", "3 minutes"), ("1 hour", "25 minutes"), ("1 hour", "30 minutes")):
+        pane = metrics.pane(window, slide)
+        kept = warehouse.fact_sales(
+            metrics.sales_panes(tx, window, slide), T0, windows=SalesWindows(length=pane, slide=pane))
+        assert kept.agg(F.sum("transaction_count"), F.sum("total_amount")).first()[:] == (50, Decimal("100.00"))
+    sliding = metrics.sales_metrics(tx, "10 minutes", "3 minutes")
+    with pytest.raises(ValueError, match="tile"):
+        warehouse.fact_sales(sliding, T0, windows=SalesWindows(length="10 minutes", slide="3 minutes"))
+    with pytest.raises(Exception, match="not a window of 1 minute"):
+        warehouse.fact_sales(sliding, T0).collect()
+
+
+def test_range_of_windows_equals_a_filter(spark):
+    tx = transactions(spark, [(str(i), "u", i * 611, "2.00", None, "X") for i in range(60)])
+    since, until = T0 + timedelta(hours=2), T0 + timedelta(hours=5)
+    for slide in ("30 minutes", "5 minutes", None):
+        every = metrics.sales_metrics(tx, "1 hour", slide)
+        part = metrics.sales_metrics(tx, "1 hour", slide, since=since, until=until)
+        wanted = every.filter(F.col("window_start").between(since, until))
+        assert sorted(map(tuple, part.collect())) == sorted(map(tuple, wanted.collect())) != []
+
+
+def test_checks_return_all_unless_a_page_is_asked_for(spark):
+    status = spark.range(50).select(
+        F.col("id").cast("string").alias("product_id"), F.lit("n").alias("product_name"),
+        F.lit("c").alias("category"), F.lit(3).alias("available_stock"))
+    assert alerts.low_stock_check(status).count() == 50
+    assert alerts.low_stock_check(status, limit=20).count() == 20
+    assert alerts.low_stock_check(status, limit=0).count() == 0
+
+
+def test_partitions_without_a_sample_keep_their_count(spark):
+    """A partition that lacks a sample neither lowers the topic nor counts its history again."""
+    offsets = spark.createDataFrame(
+        [("t", 0, 5, T0), ("t", 1, 100, T0), ("t", 0, 7, T0 + timedelta(hours=1)),
+         ("t", 0, 8, T0 + timedelta(hours=2)), ("t", 1, 104, T0 + timedelta(hours=2))],
+        "topic string, partition int, end_offset bigint, timestamp timestamp")
+    assert [r.event_count for r in metrics.topic_rates(offsets).orderBy("timestamp").collect()] == [0, 2, 5]
+
+
+def test_outcome_of_sessions(spark):
+    def at(m):
+        return T0 + timedelta(minutes=m)
+
+    visits = spark.createDataFrame(
+        [("a", "u", at(0), at(10), 600, 3, 1, 0), ("b", "v", at(0), at(10), 600, 3, 1, 0), ("c", "w", at(0), at(10), 600, 3, 0, 0)],
+        "session_id string, user_id string, start_time timestamp, end_time timestamp, duration_seconds bigint, "
+        "page_views bigint, cart_adds bigint, cart_removes bigint")
+    paid = spark.createDataFrame(
+        [("u", at(40), Decimal("5.00")), ("u", at(0), Decimal("2.00")), ("u", at(41), Decimal("9.00")),
+         ("v", at(-1), Decimal("1.00")), ("w", None, Decimal("1.00"))],
+        "user_id string, timestamp timestamp, total_amount decimal(12,2)")
+    found = {r.session_id: (r.purchase_completed, r.abandoned, r.total_amount)
+             for r in sessions.with_outcome(visits, paid).collect()}
+    assert found == {"a": (True, False, Decimal("7.00")), "b": (False, True, None), "c": (False, False, None)}
+
+
+def test_repeated_transactions_on_tables_count_once(spark):
+    tx = transactions(spark, [("1", "u", 0, "2.00", None, "X"), ("1", "u", 5, "3.00", None, "X"), ("2", "u", 1, "1.00", None, "X")])
+    found = event_source.deduplicated(tx).agg(F.count("*"), F.sum("total_amount")).first()
+    assert found[:] == (2, Decimal("3.00"))
+
+
 def test_history_merge(spark):
     schema = ("id string, price int, valid_from timestamp, valid_to timestamp, is_current boolean")
     dim = spark.createDataFrame([
@@ -398,9 +487,8 @@ def test_system_alerts(spark):
 
 @settings(max_examples=12, **SLOW)
 @given(st.dictionaries(
-    st.tuples(st.sampled_from("ab"), st.integers(0, 60)), st.sampled_from(["x", "y", None]), max_size=25),
-    st.sampled_from([0, 8, 1000]))
-def test_history_equals_a_sequential_scan(spark, seen, hot_rows):
+    st.tuples(st.sampled_from("ab"), st.integers(0, 60)), st.sampled_from(["x", "y", None]), max_size=25))
+def test_history_equals_a_sequential_scan(spark, seen):
     def hour(n):
         return T0 + timedelta(hours=n)
 
@@ -411,5 +499,5 @@ def test_history_equals_a_sequential_scan(spark, seen, hot_rows):
         for n, until in zip(starts, [*starts[1:], None]):
             expected.append((key, seen[key, n], hour(n), None if until is None else hour(until), until is None))
     frame = spark.createDataFrame([(k, v, hour(n)) for (k, n), v in seen.items()], "id string, v string, at timestamp")
-    found = warehouse.history(frame, ["id"], ["v"], "at", hot_rows)
+    found = warehouse.history(frame, ["id"], ["v"], "at")
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)

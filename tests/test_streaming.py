@@ -101,6 +101,36 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert store.read("transactions").count() == 2
 
 
+def test_new_checkpoint_adds_to_what_is_stored(spark, tmp_path):
+    """A changed query needs a new checkpoint; its batch 0 must not replace the first one's."""
+    store = TableStore(spark, str(tmp_path / "out"))
+    for n, names in enumerate((["1", "2", "3"], ["4", "5"], ["6"])):
+        drop_file(tmp_path / f"in{n}", "1.json", [tx_line(i, 0) for i in names])
+    for source, checkpoint in (("in0", "cp1"), ("in1", "cp2"), ("in2", "cp3")):
+        finish(jobs.monitor_transactions(
+            events.file_stream(spark, str(tmp_path / source)), store, str(tmp_path / checkpoint), available_now=True))
+    assert rows(store.read("transactions"), "transaction_id") == [(str(i),) for i in range(1, 7)]
+
+
+def test_later_run_wins_an_upsert(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    schema = "session_id string, user_id string, start_time timestamp, page_views bigint, end_time timestamp"
+    for run, batch, views in (("000000000000001-x", 5, 1), ("000000000000002-a", 0, 2)):
+        store.put_batch("session_metrics", spark.createDataFrame([("s", "u", T0, views, T0)], schema), batch, run)
+    assert [r.page_views for r in store.current("session_metrics", ["session_id"]).collect()] == [2]
+    assert [r.page_views for r in jobs.sessions_now(store).collect()] == [2]
+
+
+def test_repeated_transaction_is_stored_once(spark, tmp_path):
+    source, store = tmp_path / "in", TableStore(spark, str(tmp_path / "out"))
+    drop_file(source, "1.json", [tx_line("a", 0), tx_line("a", 1), tx_line("b", 2)])
+    drop_file(source, "2.json", [tx_line("b", 3), tx_line("far", 0, at=FAR)])
+    finish(jobs.monitor_transactions(
+        events.file_stream(spark, str(source), 1), store, str(tmp_path / "cp"), once_within="1 hour", available_now=True))
+    assert rows(store.read("transactions"), "transaction_id") == [("a",), ("b",), ("far",)]
+    assert store.read("sales_metrics").agg(F.max("transaction_count")).first()[0] == 2
+
+
 def test_late_rows_are_dropped_once_the_watermark_passed(spark, tmp_path):
     source, store = tmp_path / "in", TableStore(spark, str(tmp_path / "out"))
     windows = SalesWindows(length="1 minute", slide=None, watermark="1 minute")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillstream import schemas
 from tillstream.operators import categories, rfm, trends
 from tillstream.plans import batch, serving
-from tillstream.settings import RfmRules
+from tillstream.settings import RfmRules, SalesWindows
 from tillstream.sources import events, tables
 from tillstream.sources.given import GivenTables
 from tillstream.sources.tables import TableStore
@@ -67,7 +67,7 @@ def test_batch_jobs_end_to_end(spark, tmp_path):
     source.overwrite("sales_metrics", sales)
     source.overwrite("transactions", given.purchases())
     source.overwrite("session_metrics", sessions.gap_sessions(given.cart_events(), 3600))
-    batch.run_all(source, target, NOW, RfmRules())
+    batch.run_all(source, target, NOW, RfmRules(), SalesWindows(length="1 hour", slide="30 minutes"))
 
     fact = target.read("fact_sales")
     bought = given.purchases()
@@ -132,7 +132,7 @@ def test_settings_follow_the_data():
 
     assert sized_for(1 << 30, 100)["spark.sql.shuffle.partitions"] == "200"
     assert sized_for(1 << 40, 100)["spark.sql.shuffle.partitions"] == "4096"
-    assert sized_for(100 << 40, 4000)["spark.sql.shuffle.partitions"] == "50000"
+    assert sized_for(100 << 40, 4000)["spark.sql.shuffle.partitions"] == "409600"
 
 
 def test_adhoc_sql_reads_only(spark):
@@ -188,8 +188,7 @@ def executed(df) -> str:
 def test_no_single_task_over_rows(spark):
     """The range path of the customer scores never gathers rows in one partition."""
     given = GivenTables(spark, "/root/testdata/sf0.001")
-    scored = rfm.rfm_scores(
-        given.transactions(categories=False), NOW, RfmRules(single_task_rows=0, rows_per_partition=50))
+    scored = rfm.rfm_scores(given.transactions(categories=False), NOW)
     lines = executed(scored).splitlines()
     single = [n for n, line in enumerate(lines) if "SinglePartition" in line]
     # Only the sizes of the range partitions, one row each, are gathered.
@@ -207,6 +206,30 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "lineitem.parquet" not in no_category
 
 
+@pytest.mark.parametrize("name, column", [
+    ("sales_rows", "o_orderdate"), ("sales_totals", "o_orderdate"), ("revenue_series", "ts"), ("transaction_series", "ts"),
+])
+def test_time_ranges_reach_the_scan(spark, name, column):
+    from registry.queries import all_queries
+
+    plan = executed(all_queries()[name](spark, "/root/testdata/sf0.001"))
+    table = "orders" if column == "o_orderdate" else "events"
+    scan = next(line for line in plan.splitlines() if f"{table}.parquet" in line)
+    assert f"GreaterThanOrEqual({column}" in scan and f"LessThanOrEqual({column}" in scan
+
+
+@pytest.mark.parametrize("name", [
+    "sales_summary_today", "sales_summary_week", "sales_summary_month", "revenue_24h", "transactions_24h", "dashboard"])
+def test_times_of_the_last_event_reach_the_scan(spark, name):
+    """The bound is a subquery, so the scan has it as a filter on the stored column."""
+    from registry.queries import all_queries
+
+    plan = executed(all_queries()[name](spark, "/root/testdata/sf0.001"))
+    scans = [line for line in plan.splitlines() if "events.parquet" in line]
+    assert any("ts#" in line and ">= " in line.partition("DataFilters")[2].partition("Format")[0] and "ubquery" in line
+               for line in scans)
+
+
 def test_json_is_parsed_once(spark):
     raw = spark.createDataFrame([("{}",)], "value string")
     plan = executed(events.parse_transactions(raw).events)

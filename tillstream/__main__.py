@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from tillstream.plans import batch
 from tillstream.session import build_session
+from tillstream.settings import SalesWindows
 from tillstream.sources import events
 from tillstream.sources.tables import TableStore
 from tillstream.streaming import jobs
@@ -20,12 +21,20 @@ STREAMS = {
 BATCHES = {
     "close-stock": lambda a, src, dst: jobs.close_stock(src, a.as_of.date()),
     "snapshots": lambda a, src, dst: batch.run_snapshots(src, dst, a.as_of),
-    "etl": lambda a, src, dst: batch.run_etl(src, dst, a.as_of, since=a.since),
+    "etl": lambda a, src, dst: batch.run_etl(src, dst, a.as_of, since=a.since, windows=_windows(a)),
     "rfm": lambda a, src, dst: batch.run_rfm(src, dst, a.as_of).show(),
     "categories": lambda a, src, dst: batch.run_category_performance(dst, a.as_of),
     "trends": lambda a, src, dst: batch.run_trends(dst, a.as_of),
-    "all": lambda a, src, dst: batch.run_all(src, dst, a.as_of),
+    "all": lambda a, src, dst: batch.run_all(src, dst, a.as_of, windows=_windows(a)),
 }
+PARSERS = {
+    "transactions": events.parse_transactions, "inventory": events.parse_transactions,
+    "sessions": events.parse_cart_events, "views": events.parse_product_views,
+}
+
+
+def _windows(given: argparse.Namespace) -> SalesWindows:
+    return SalesWindows(length=given.window, slide=given.slide)
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -36,6 +45,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     source = stream.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers", help="Kafka bootstrap servers")
     source.add_argument("--folder", help="folder of JSON lines")
+    stream.add_argument("--starting", default="latest", help="where a new Kafka query starts: latest, earliest or JSON")
+    stream.add_argument("--most-per-batch", help="Kafka records in a micro-batch at most")
+    stream.add_argument("--dead-letters", help="folder for the lines that can't be read")
+    stream.add_argument("--archive", help="folder for a copy of all lines, by day")
     stream.add_argument("--tables", required=True, help="root folder of the result tables")
     stream.add_argument("--checkpoints", required=True)
     stream.add_argument("--every", help='time between micro-batches, such as "1 minute"')
@@ -45,6 +58,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     tables.add_argument("--source", required=True, help="root folder of the operational tables")
     tables.add_argument("--target", required=True, help="root folder of the warehouse")
     tables.add_argument("--as-of", type=datetime.fromisoformat, required=True)
+    tables.add_argument("--window", default=SalesWindows.length, help="window of the stored sales")
+    tables.add_argument("--slide", default=SalesWindows.slide, help="slide of the stored sales")
     tables.add_argument("--since", type=date.fromisoformat, help="etl: replace only days from here on")
     return parser.parse_args(argv)
 
@@ -57,13 +72,17 @@ def main(argv: list[str] | None = None) -> None:
         return
     start, topic = STREAMS[given.job]
     if given.servers:
-        raw = events.topic_stream(spark, events.kafka_options(given.servers, topic))
+        rate = {"maxOffsetsPerTrigger": given.most_per_batch} if given.most_per_batch else {}
+        raw = events.topic_stream(spark, events.kafka_options(given.servers, topic, given.starting, **rate))
     else:
         raw = events.file_stream(spark, given.folder)
-    queries = start(
-        raw, TableStore(spark, given.tables), given.checkpoints,
-        available_now=given.available_now, every=given.every,
-    )
+    pace = {"available_now": given.available_now, "every": given.every}
+    queries = start(raw, TableStore(spark, given.tables), given.checkpoints, **pace)
+    if given.archive:
+        queries.append(jobs.archive_raw(raw, given.archive, given.checkpoints, **pace))
+    if given.dead_letters:
+        dead = PARSERS[given.job](raw).dead_letters
+        queries.append(jobs.keep_dead_letters(dead, given.dead_letters, given.checkpoints, **pace))
     if given.available_now:
         for query in queries:
             query.awaitTermination()

@@ -18,7 +18,7 @@ def low_stock_check(
 ) -> DataFrame:
     """Products with little stock left (but some), scarcest first; red where critical.
 
-    Alerts in `sent` are left out before the page is cut.
+    All of them, or the first `limit` for a report's page; alerts in `sent` are left out before.
     """
     available = F.col("available_stock")
     found = status.filter((available < rules.low_stock) & (available > 0)).select(
@@ -27,14 +27,18 @@ def low_stock_check(
         F.when(available < rules.critical_stock, "red").otherwise("yellow").alias("severity"),
     )
     found = found if sent is None else suppress_sent(found, sent)
-    return found.orderBy("available_stock", "product_id").limit(limit or rules.page)
+    ordered = found.orderBy("available_stock", "product_id")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def anomaly_check(
     anomalies: DataFrame, since, rules: AlertRules = RULES, limit: int | None = None,
     sent: DataFrame | None = None,
 ) -> DataFrame:
-    """Risky anomalies since the last check, highest score first; without those in `sent`."""
+    """Risky anomalies since the last check, highest score first; without those in `sent`.
+
+    All of them, or the first `limit` for a report's page.
+    """
     score = F.col("anomaly_score")
     found = anomalies.filter(
         (F.col("detected_at") >= as_timestamp(since)) & (score >= rules.anomaly_score)
@@ -47,7 +51,8 @@ def anomaly_check(
     )
     found = found if sent is None else suppress_sent(found, sent)
     order = [F.col("anomaly_score").desc(), "transaction_id", "anomaly_type", "product_id"]
-    return found.orderBy(*order).limit(limit or rules.page)
+    ordered = found.orderBy(*order)
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def abandonment_spike(
@@ -55,8 +60,8 @@ def abandonment_spike(
 ) -> DataFrame:
     """Count and value of the last hour's abandoned carts; no row unless more than `limit`."""
     threshold = rules.carts_per_hour if limit is None else limit
-    since = as_timestamp(as_of) - F.expr("INTERVAL 1 HOUR")
-    return abandoned.filter(F.col("abandonment_time") >= since).agg(
+    now = as_timestamp(as_of)
+    return abandoned.filter(F.col("abandonment_time").between(now - F.expr("INTERVAL 1 HOUR"), now)).agg(
         F.count("*").alias("cart_count"),
         F.coalesce(F.sum("cart_value"), F.lit(0)).alias("total_value"),
     ).filter(F.col("cart_count") > threshold)

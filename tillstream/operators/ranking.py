@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillstream.session import stage
@@ -48,26 +46,18 @@ def ranked_by_range(df: DataFrame, order: list[Column], rank: str, partitions: i
     )
 
 
-def global_ntile(
-    df: DataFrame, scores: dict[str, list[Column]], tiles: int, *,
-    single_task_rows: int, rows_per_partition: int,
-) -> DataFrame:
+def global_ntile(df: DataFrame, scores: dict[str, list[Column]], tiles: int) -> DataFrame:
     """Add one `ntile(tiles)` column per entry of `scores` (name -> total order).
 
-    `df` is staged once and counted. Up to `single_task_rows` rows the built-in window does the
-    work in one task; beyond that each score is one range sort and no task sees all the rows.
+    Each score is one range sort, whatever the number of rows; no task sees all of them.
     """
-    staged = stage(df, "ntile-input")
-    rows = staged.count()
-    if rows <= single_task_rows:
-        for name, order in scores.items():
-            staged = staged.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
-        return staged
-    partitions = max(2, math.ceil(rows / rows_per_partition))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = None
     for name, order in scores.items():
-        ranked = ranked_by_range(staged, order, "_rank", partitions)
-        staged = ranked.withColumn(name, tile_of(F.col("_rank"), rows, tiles)).drop("_rank")
-    return staged
+        ranked = ranked_by_range(df, order, "_rank", partitions)
+        rows = ranked.agg(F.count("*")).scalar() if rows is None else rows
+        df = ranked.withColumn(name, tile_of(F.col("_rank"), rows, tiles)).drop("_rank")
+    return df
 
 
 def latest_per_key(

@@ -24,8 +24,7 @@ def rfm_base(transactions: DataFrame, as_of) -> DataFrame:
 def rfm_scores(transactions: DataFrame, as_of, rules: RfmRules = RfmRules()) -> DataFrame:
     """Quantile scores (highest is best), code and segment name per (user, country).
 
-    Runs one job up front: the per-customer totals are staged and counted (see `global_ntile`).
-    Ties are broken by user and country.
+    The customers are range sorted and staged once for each score (see `ranked_by_range`). Ties are broken by user and country.
     """
     tie = [F.col("user_id").asc(), F.col("country").asc()]
     scored = global_ntile(
@@ -36,7 +35,6 @@ def rfm_scores(transactions: DataFrame, as_of, rules: RfmRules = RfmRules()) ->
             "m_score": [F.col("monetary").asc(), *tie],
         },
         rules.quantiles,
-        single_task_rows=rules.single_task_rows, rows_per_partition=rules.rows_per_partition,
     )
     code = F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")])
     return scored.select(

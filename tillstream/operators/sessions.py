@@ -88,25 +88,77 @@ def upserted_sessions(sessions: DataFrame) -> DataFrame:
     return latest_per_key(sessions, ["session_id"], "end_time", ["user_id", "start_time"])
 
 
-def cart_abandonment(sessions: DataFrame, min_seconds: int = 60) -> DataFrame:
-    """Sessions with additions that lasted longer than `min_seconds`."""
+def cart_abandonment(sessions: DataFrame, min_seconds: int = 60, values: DataFrame | None = None) -> DataFrame:
+    """Sessions with additions that lasted longer than `min_seconds`.
+
+    `values` (session_id, cart_value) gives what is left in the carts, as from `cart_values`; carts
+    without an entry, or all without `values`, are worth 0.
+    """
+    value = F.lit(0).cast("decimal(22,2)")
+    if values is not None:
+        sessions = sessions.join(values.select("session_id", "cart_value"), "session_id", "left")
+        value = F.coalesce("cart_value", value)
     return sessions.filter((F.col("cart_adds") > 0) & (F.col("duration_seconds") > min_seconds)).select(
         "session_id", "user_id", F.col("cart_adds").alias("products_in_cart"),
-        F.lit(0).cast("decimal(12,2)").alias("cart_value"),
+        value.alias("cart_value"),
         F.col("end_time").alias("abandonment_time"),
         F.expr("duration_seconds div 60").alias("time_in_cart_minutes"),
     )
 
 
+def cart_contents(cart: DataFrame) -> DataFrame:
+    """What is left in each session's cart: the actions on a product taken in order of time.
+
+    An addition adds its quantity, an update replaces the quantity, a removal leaves none. So only the
+    last update or removal counts, and the additions after it. Events of one time go by `event_id`.
+    Two hash aggregates and one narrow join; nothing is sorted by session.
+    """
+    at = F.struct("timestamp", "event_id")
+    rows = cart.filter("timestamp IS NOT NULL").select("session_id", "product_id", "action", "quantity", at.alias("at"))
+    resets = rows.filter("action IN ('remove', 'update')").groupBy("session_id", "product_id").agg(
+        F.max(F.struct("at", F.when(F.col("action") == "update", F.col("quantity")).otherwise(0).alias("left"))).alias("reset"))
+    added = rows.filter("action = 'add'").join(resets, ["session_id", "product_id"], "left").filter(
+        F.col("reset").isNull() | (F.col("at") > F.col("reset.at"))).groupBy("session_id", "product_id").agg(
+        F.sum("quantity").alias("added"))
+    return added.join(resets, ["session_id", "product_id"], "full_outer").select(
+        "session_id", "product_id",
+        (F.coalesce("added", F.lit(0)) + F.coalesce("reset.left", F.lit(0))).alias("quantity"),
+    ).filter("quantity > 0")
+
+
 def cart_values(cart: DataFrame, products: DataFrame) -> DataFrame:
-    """Value of what is left in each session's cart, at list price."""
-    signed = F.when(F.col("action") == "add", F.col("quantity")).otherwise(F.lit(0))
-    added = cart.groupBy("session_id", "product_id").agg(
-        F.sum(signed).alias("quantity"), F.count_if(F.expr("action = 'remove'")).alias("removed")
-    ).filter("quantity > 0 AND removed = 0")
-    price = F.col("price").cast("decimal(12,2)")
-    return added.join(products.select("product_id", "price"), "product_id").groupBy("session_id").agg(
-        F.sum(F.col("quantity") * price).cast("decimal(22,2)").alias("cart_value")
+    """Value of what is left in each session's cart, at list price; unlisted products are worth 0."""
+    price = F.coalesce(F.col("price").cast("decimal(12,2)"), F.lit(0))
+    return cart_contents(cart).join(products.select("product_id", "price"), "product_id", "left").groupBy(
+        "session_id"
+    ).agg(F.sum(F.col("quantity") * price).cast("decimal(22,2)").alias("cart_value"))
+
+
+def with_outcome(
+    sessions: DataFrame, purchases: DataFrame, horizon_seconds: int = 1800, min_seconds: int = 60,
+) -> DataFrame:
+    """`sessions` with purchase_completed, abandoned and total_amount (NULL without a purchase).
+
+    A purchase belongs to the user's sessions from whose start to end + horizon it falls; a session is
+    abandoned if it had additions, lasted longer than `min_seconds` and led to no purchase. Sessions
+    are cut into horizon-long slots, so a purchase meets the few sessions of its user and slot.
+    """
+    width = horizon_seconds * 1_000_000
+    since, until = F.unix_micros("start_time"), F.unix_micros("end_time") + width
+    slots = sessions.select(
+        "session_id", "user_id", "start_time", since.alias("_from"), until.alias("_to"),
+        F.explode(F.sequence(F.floor(since / width), F.floor(until / width))).alias("_slot"))
+    at = F.unix_micros("timestamp")
+    paid = purchases.filter("timestamp IS NOT NULL").select(
+        "user_id", at.alias("_at"), F.floor(at / width).alias("_slot"), "total_amount")
+    sums = slots.join(paid, ["user_id", "_slot"]).filter(F.col("_at").between(F.col("_from"), F.col("_to"))).groupBy(
+        "session_id", "user_id", "start_time"
+    ).agg(F.count("*").alias("_bought"), F.sum("total_amount").alias("total_amount"))
+    bought = F.col("_bought").isNotNull()
+    return sessions.join(sums, ["session_id", "user_id", "start_time"], "left").select(
+        *sessions.columns, bought.alias("purchase_completed"),
+        (~bought & (F.col("cart_adds") > 0) & (F.col("duration_seconds") > min_seconds)).alias("abandoned"),
+        "total_amount",
     )
 
 

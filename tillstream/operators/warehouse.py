@@ -7,16 +7,29 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tillstream.functions.exact import as_timestamp, ratio
-from tillstream.functions.periods import aligned, date_id
+from tillstream.functions.periods import aligned, date_id, seconds_of
+from tillstream.settings import SalesWindows
 
 
-def fact_sales(sales: DataFrame, loaded_at, non_overlapping: bool = True) -> DataFrame:
+def fact_sales(
+    sales: DataFrame, loaded_at, non_overlapping: bool = True, windows: SalesWindows = SalesWindows(),
+) -> DataFrame:
     """Sales facts keyed by day.
 
     Overlapping windows hold every sale several times; by default only windows that tile the time
-    line are taken. `non_overlapping=False` copies all of them.
+    line are taken, and `windows` must be those that `sales` was summed by. Where the slide does not
+    divide the window no choice of windows holds each sale once: that raises, as does a row of another
+    length; sum by `metrics.sales_panes` instead. `non_overlapping=False` copies all windows.
     """
-    rows = sales.filter(aligned("window_start", "window_end")) if non_overlapping else sales
+    rows = sales
+    if non_overlapping:
+        length, step = seconds_of(windows.length), seconds_of(windows.slide or windows.length)
+        if not length or not step or length % step:
+            raise ValueError(f"windows of {windows.length} every {windows.slide} can't tile the time line")
+        found = F.unix_seconds("window_end") - F.unix_seconds("window_start")
+        other = F.raise_error(F.concat(F.lit(f"not a window of {windows.length}: seconds "), found.cast("string")))
+        rows = sales.filter(F.when(found == length, aligned("window_start", "window_end")).otherwise(
+            other.cast("boolean")))
     return rows.select(
         F.col("window_start").alias("date_time"), date_id("window_start").alias("date_id"),
         "category", "country", "total_amount", "transaction_count", "avg_transaction_value",
@@ -103,40 +116,22 @@ def fact_inventory(status: DataFrame, movements: DataFrame) -> DataFrame:
     )
 
 
-def history(
-    changes: DataFrame, keys: list[str], tracked: list[str], at: str, hot_rows: int = 5_000_000,
-) -> DataFrame:
+def history(changes: DataFrame, keys: list[str], tracked: list[str], at: str) -> DataFrame:
     """Type-2 history: one row per key and unbroken stretch of equal `tracked` values.
 
-    `changes` holds one observation per key and time. A key's observations are sorted in one task,
-    except for keys with more than `hot_rows` of them, which are spread over their days.
+    `changes` holds one observation per key and time. Observations are sorted by (key, day), never a
+    whole key in one task.
     """
     seen = changes.filter(F.col(at).isNotNull()).select(*keys, at, F.struct(*tracked).alias("_state"))
-    # At most (all rows / hot_rows) keys, hence safe to broadcast.
-    hot = F.broadcast(
-        seen.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows).select(*keys)
-    )
-    stretches = _stretches(seen.join(hot, keys, "left_anti"), keys, at).unionByName(
-        _stretches_by_day(seen.join(hot, keys, "left_semi"), keys, at)
-    )
-    return stretches.select(
+    return _stretches_by_day(seen, keys, at).select(
         *keys, *[F.col(f"_state.{c}").alias(c) for c in tracked],
         F.col(at).alias("valid_from"), F.col("_until").alias("valid_to"),
         F.col("_until").isNull().alias("is_current"),
     )
 
 
-def _stretches(seen: DataFrame, keys: list[str], at: str) -> DataFrame:
-    """(keys, at, _state, _until) of every change of `_state`; one sort by key."""
-    in_key = Window.partitionBy(*keys).orderBy(at)
-    changed = seen.withColumn("_before", F.lag("_state").over(in_key)).filter(
-        F.col("_before").isNull() | ~F.col("_state").eqNullSafe(F.col("_before"))
-    )
-    return changed.withColumn("_until", F.lead(at).over(in_key)).drop("_before")
-
-
 def _stretches_by_day(seen: DataFrame, keys: list[str], at: str) -> DataFrame:
-    """The same with sorts by (key, day). Days meet in their last state and their first change."""
+    """(keys, at, _state, _until) of every change of `_state`. Days meet in their last state and first change."""
     in_key = Window.partitionBy(*keys).orderBy("_day")
     in_day = Window.partitionBy(*keys, "_day").orderBy(at)
     # The branches below share this one shuffle of the observations.

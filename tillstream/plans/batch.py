@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from tillstream.operators import categories, rfm, sessions, trends, warehouse
-from tillstream.settings import RfmRules, SessionRules, StockRules
+from tillstream.settings import RfmRules, SalesWindows, SessionRules, StockRules
 from tillstream.sources.tables import TableStore
 from tillstream.streaming import jobs
 
@@ -35,6 +35,7 @@ def run_snapshots(
 
 def run_etl(
     source: TableStore, target: TableStore, as_of, *, non_overlapping: bool = True, since=None,
+    windows: SalesWindows = SalesWindows(),
 ) -> None:
     """Sales and session facts, and a time dimension from a year back to a month ahead.
 
@@ -46,7 +47,7 @@ def run_etl(
         sales = sales.filter(F.col("window_start") >= day_start)
         visits = visits.filter(F.col("start_time") >= day_start)
     only_days = since is not None
-    target.overwrite("fact_sales", warehouse.fact_sales(sales, as_of, non_overlapping), only_days)
+    target.overwrite("fact_sales", warehouse.fact_sales(sales, as_of, non_overlapping, windows), only_days)
     target.overwrite("fact_sessions", warehouse.fact_sessions(visits, as_of), only_days)
     day = as_of.date()
     target.overwrite("dim_time", warehouse.dim_time(
@@ -70,8 +71,11 @@ def run_trends(warehouse_store: TableStore, as_of, iso_year: bool = False) -> No
     warehouse_store.overwrite("sales_trends", trends.all_trends(fact, as_of, iso_year=iso_year))
 
 
-def run_all(source: TableStore, target: TableStore, as_of, rules: RfmRules = RfmRules()) -> None:
-    run_etl(source, target, as_of)
+def run_all(
+    source: TableStore, target: TableStore, as_of, rules: RfmRules = RfmRules(),
+    windows: SalesWindows = SalesWindows(),
+) -> None:
+    run_etl(source, target, as_of, windows=windows)
     run_rfm(source, target, as_of, rules)
     run_category_performance(target, as_of)
     run_trends(target, as_of)

@@ -49,9 +49,10 @@ def _until(column: str, value) -> Column | None:
 
 
 def within(df: DataFrame, column: str, as_of, interval: str, strict: bool = False) -> DataFrame:
-    """Rows of the last `interval`, for example "24 HOURS"."""
-    edge = as_timestamp(as_of) - F.expr(f"INTERVAL {interval}")
-    return df.filter(F.col(column) > edge if strict else F.col(column) >= edge)
+    """Rows of the last `interval` up to `as_of`, for example "24 HOURS"."""
+    now, at = as_timestamp(as_of), F.col(column)
+    edge = now - F.expr(f"INTERVAL {interval}")
+    return df.filter((at > edge if strict else at >= edge) & (at <= now))
 
 
 def _checked(limit: int, most: int = 1000) -> int:
@@ -186,14 +187,15 @@ def dashboard(
     transactions: DataFrame | None = None,
 ) -> DataFrame:
     """One row: today's revenue, transactions, average, anomalies, top category and country."""
-    today = F.date_trunc("day", as_timestamp(as_of))
-    now = sales.filter(F.col("window_start") >= today)
+    end = as_timestamp(as_of)
+    today = F.date_trunc("day", end)
+    now = sales.filter((F.col("window_start") >= today) & (F.col("window_start") <= end))
     summed = now.agg(
         F.sum("total_amount").alias("revenue"), F.sum("transaction_count").alias("transactions"),
         F.sum("avg_transaction_value").alias("averages"),
         F.count("avg_transaction_value").alias("windows"),
     )
-    count = anomalies.filter(F.col("detected_at") >= today).agg(F.count("*"))
+    count = anomalies.filter(F.col("detected_at").between(today, end)).agg(F.count("*"))
     best = performance.agg(F.max_by("category", F.struct(
         "total_revenue", F.lit(0) - F.col("rank"),
     )))
@@ -209,7 +211,7 @@ def dashboard(
         F.coalesce(country.scalar(), F.lit("N/A")).alias("top_country"),
     ]
     if transactions is not None:
-        users = transactions.filter(F.col("timestamp") >= today).agg(F.count_distinct("user_id"))
+        users = transactions.filter(F.col("timestamp").between(today, end)).agg(F.count_distinct("user_id"))
         columns.append(users.scalar().alias("active_users"))
     return summed.select(*columns)
 

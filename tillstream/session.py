@@ -39,7 +39,7 @@ def sized_for(shuffle_bytes: int, cores: int) -> dict[str, str]:
     spilling, and lets adaptive execution merge the small ones. Streams keep the number of
     partitions they were first started with.
     """
-    partitions = min(max(math.ceil(shuffle_bytes / (256 << 20)), 2 * cores), 50_000)
+    partitions = max(math.ceil(shuffle_bytes / (256 << 20)), 2 * cores)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",

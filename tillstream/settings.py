@@ -54,7 +54,3 @@ class AlertRules:
 @dataclass(frozen=True)
 class RfmRules:
     quantiles: int = 5
-    # Up to this many customers one sorted task is cheaper than three staged range sorts.
-    single_task_rows: int = 1_000_000
-    # Target rows per range partition beyond that.
-    rows_per_partition: int = 1_000_000

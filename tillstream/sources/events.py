@@ -109,6 +109,16 @@ def stored_transactions(transactions: DataFrame) -> DataFrame:
     )
 
 
+def deduplicated(transactions: DataFrame, within: str = "1 hour") -> DataFrame:
+    """One row per transaction id: on streams the first that comes within the time, on tables the earliest."""
+    if transactions.isStreaming:
+        return transactions.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(["transaction_id"])
+    rest = [c for c in transactions.columns if c != "transaction_id"]
+    order = F.struct("timestamp", F.xxhash64(*rest))
+    return transactions.groupBy("transaction_id").agg(F.min_by(F.struct(*rest), order).alias("row")).select(
+        "transaction_id", "row.*").select(*transactions.columns)
+
+
 def product_lines(transactions: DataFrame) -> DataFrame:
     """One row per product line; transactions without products give none."""
     return transactions.select(

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tillstream.schemas import TABLES
 from tillstream.operators.ranking import latest_per_key
 
+# The run of batches that no streaming query wrote.
+FIRST_RUN = "0"
 # Facts are laid out by day so that date filters prune folders.
 PARTITIONED_BY = {"fact_sales": ["date_id"], "fact_sessions": ["date_id"]}
 
@@ -28,7 +30,9 @@ class TableStore:
     """Named Parquet tables below one root folder.
 
     A table is either a plain folder (`overwrite`, `append`) or a change log (`put_batch`), whose
-    folders `batch_id=<n>` are each replaced as a whole, so that replaying a batch changes nothing.
+    folders `run=<query run>/batch_id=<n>` are each replaced as a whole, so that replaying a batch
+    changes nothing. A query with a new checkpoint is a new run, so its batches stand beside the
+    earlier ones; runs are named so that a later one sorts after an earlier one.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -68,17 +72,16 @@ class TableStore:
 
     # Change logs -----------------------------------------------------------------------------
 
-    def put_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
-        """Store a micro-batch under its id, replacing what an earlier attempt left there."""
-        conform(df, name).write.mode("overwrite").parquet(f"{self.path(name)}/batch_id={batch_id}")
+    def put_batch(self, name: str, df: DataFrame, batch_id: int, run: str = FIRST_RUN) -> None:
+        """Store a micro-batch under its run and id, replacing what an earlier attempt left there."""
+        conform(df, name).write.mode("overwrite").parquet(f"{self.path(name)}/run={run}/batch_id={batch_id}")
 
     def changes(self, name: str) -> DataFrame:
-        """All batches of a change log, with `batch_id`."""
-        schema = TABLES[name]
+        """All batches of a change log, with `run` and `batch_id`."""
+        fields = [StructField("run", StringType()), StructField("batch_id", LongType())]
+        with_batch = StructType([*TABLES[name].fields, *fields])
         if not self.exists(name):
-            empty = self.spark.createDataFrame([], schema)
-            return empty.withColumn("batch_id", F.lit(0).cast("bigint"))
-        with_batch = StructType([*schema.fields, StructField("batch_id", LongType())])
+            return self.spark.createDataFrame([], with_batch)
         return self.spark.read.schema(with_batch).parquet(self.path(name))
 
     def newest_batch(self, name: str) -> int | None:
@@ -87,7 +90,18 @@ class TableStore:
 
     def current(self, name: str, keys: list[str], keep_first: list[str] = ()) -> DataFrame:
         """The newest row per key; `keep_first` columns stay as first written (upsert on read)."""
-        return latest_per_key(self.changes(name), keys, "batch_id", keep_first).drop("batch_id")
+        return latest_per_key(self.changes(name), keys, "run", keep_first, tie=["batch_id"]).drop("run", "batch_id")
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """A name for the query that owns a checkpoint folder: when the folder was made, and the query's id.
+
+    Both stay the same when the query restarts from the folder.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    made = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getModificationTime()
+    number = spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+    return f"{made:015d}-{number}"
 
 
 def jdbc_reader(

@@ -14,7 +14,8 @@ from tillstream.operators import anomalies, inventory, metrics, sessions
 from tillstream.operators.ranking import latest_per_key
 from tillstream.settings import AnomalyRules, SalesWindows, SessionRules, StockRules
 from tillstream.sources.events import (
-    parse_cart_events, parse_product_views, parse_transactions, product_lines, stored_transactions,
+    deduplicated, parse_cart_events, parse_product_views, parse_transactions, product_lines,
+    stored_transactions,
 )
 from tillstream.sources.tables import TableStore
 from tillstream.streaming import sinks
@@ -22,18 +23,22 @@ from tillstream.streaming import sinks
 
 def monitor_transactions(
     raw: DataFrame, store: TableStore, checkpoints: str, *, rules: AnomalyRules = AnomalyRules(),
-    windows: SalesWindows = SalesWindows(), debug: bool = False, **pace,
+    windows: SalesWindows = SalesWindows(), debug: bool = False, once_within: str | None = None, **pace,
 ) -> list:
-    """Stored transactions and anomalies (one stateless query), and windowed sales metrics."""
+    """Stored transactions and anomalies (one query), and windowed sales metrics.
+
+    With `once_within` ("1 hour") a transaction id that comes again within that time counts once.
+    """
     events = parse_transactions(raw).events
+    if once_within:
+        events = deduplicated(events, once_within)
     rows = sinks.fan_out({
         "transactions": stored_transactions,
         "transaction_anomalies": lambda batch: anomalies.detect_anomalies(batch, rules),
     }, store)
-    sales = metrics.sales_metrics(events, windows.length, windows.slide, windows.watermark)
-    rapid = anomalies.rapid_transactions(
-        events, rules.rapid_limit, rules.rapid_window, windows.watermark
-    )
+    late = None if once_within else windows.watermark  # a stream has one watermark
+    sales = metrics.sales_metrics(events, windows.length, windows.slide, late)
+    rapid = anomalies.rapid_transactions(events, rules.rapid_limit, rules.rapid_window, late)
     queries = [
         sinks.start(events, rows, "transaction_rows", checkpoints, **pace),
         sinks.start(
@@ -93,7 +98,7 @@ def _opening_stock(store: TableStore) -> tuple[DataFrame, date | None]:
     newest = store.newest_batch("inventory_openings")
     if newest is None:
         return store.read("inventory_status"), None
-    rows = store.changes("inventory_openings").filter(F.col("batch_id") == newest).drop("batch_id")
+    rows = store.changes("inventory_openings").filter(F.col("batch_id") == newest).drop("run", "batch_id")
     return rows, datetime.strptime(str(newest), "%Y%m%d").date()
 
 
@@ -110,7 +115,7 @@ def close_stock(store: TableStore, day: date, rules: StockRules = StockRules())
     moved = movements_now(store, since, day)
     closing = inventory.apply_stock_movements(opening, moved, rules.initial, day)
     raised = inventory.low_stock_alerts(opening, moved, rules.threshold, rules.initial)
-    earlier = store.changes("low_stock_alerts").filter(F.col("batch_id") < number).drop("batch_id")
+    earlier = store.changes("low_stock_alerts").filter(F.col("batch_id") < number).drop("run", "batch_id")
     seeded = inventory.seed_alerts(closing, earlier.unionByName(raised), rules.threshold, day)
     store.put_batch("low_stock_alerts", raised.unionByName(seeded), number)
     # Last, as it marks the day as closed.
@@ -131,7 +136,7 @@ def alerts_now(store: TableStore, rules: StockRules = StockRules()) -> DataFrame
     if since is None:
         return open_alerts
     closed = store.changes("low_stock_alerts").filter(
-        F.col("batch_id") <= int(since.strftime("%Y%m%d"))).drop("batch_id")
+        F.col("batch_id") <= int(since.strftime("%Y%m%d"))).drop("run", "batch_id")
     return closed.unionByName(open_alerts)
 
 
@@ -158,9 +163,9 @@ def analyze_sessions(
 def sessions_now(store: TableStore) -> DataFrame:
     """One row per session id; user and start time stay as first written."""
     return latest_per_key(
-        store.changes("session_metrics"), ["session_id"], "batch_id",
-        keep_first=["user_id", "start_time"], tie=["end_time"],
-    ).drop("batch_id")
+        store.changes("session_metrics"), ["session_id"], "run",
+        keep_first=["user_id", "start_time"], tie=["batch_id", "end_time"],
+    ).drop("run", "batch_id")
 
 
 def abandonment_now(store: TableStore, rules: SessionRules = SessionRules()) -> DataFrame:

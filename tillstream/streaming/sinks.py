@@ -8,9 +8,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillstream.sources.tables import TableStore, conform, jdbc_write_options
+from tillstream.sources.tables import FIRST_RUN, TableStore, conform, jdbc_write_options, run_of
 
-Writer = Callable[[DataFrame, int], None]
+#: Stores a micro-batch, given its id and the name of the query's run.
+Writer = Callable[[DataFrame, int, str], None]
 ROWS_PER_FILE = 1_000_000
 
 
@@ -40,27 +41,27 @@ def into_table(store: TableStore, name: str) -> Writer:
 
 def fan_out(routes: dict[str, Callable[[DataFrame], DataFrame]], store: TableStore) -> Writer:
     """Several tables from one micro-batch, which is read from the source and parsed once."""
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, run: str = FIRST_RUN) -> None:
         with held(batch) as (rows, count):
             if count:
                 for name, select in routes.items():
-                    store.put_batch(name, _files(select(rows), count), batch_id)
+                    store.put_batch(name, _files(select(rows), count), batch_id, run)
     return write
 
 
 def into_jdbc(url: str, table: str, properties: dict[str, str], schema_name: str, query: str) -> Writer:
-    """Append to a database table, each row marked with (query, batch id).
+    """Append to a database table, each row marked with (query and its run, batch id).
 
     A replayed batch can so be told apart and removed; a database key on those columns plus the
     row key rejects it outright.
     """
     options = jdbc_write_options(url, table, properties)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, run: str = FIRST_RUN) -> None:
         with held(batch) as (rows, count):
             if count:
                 marked = conform(rows, schema_name).withColumns({
-                    "source_query": F.lit(query), "batch_id": F.lit(batch_id).cast("bigint"),
+                    "source_query": F.lit(f"{query} {run}"), "batch_id": F.lit(batch_id).cast("bigint"),
                 })
                 marked.write.format("jdbc").mode("append").options(**options).save()
     return write
@@ -75,10 +76,16 @@ def start(
     `every` ("1 minute") spaces the micro-batches, and with them the files; by default one follows
     the other.
     """
-    query = (
-        df.writeStream.foreachBatch(writer).queryName(name).outputMode(mode)
-        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{name}")
-    )
+    checkpoint = f"{checkpoints.rstrip('/')}/{name}"
+    runs: list[str] = []
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        if not runs:
+            runs.append(run_of(batch.sparkSession, checkpoint))
+        writer(batch, batch_id, runs[0])
+
+    query = df.writeStream.foreachBatch(store).queryName(name).outputMode(mode).option(
+        "checkpointLocation", checkpoint)
     return _paced(query, available_now, every).start()
 
 
