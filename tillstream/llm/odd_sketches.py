@@ -6,10 +6,11 @@
    with a probability of (1 - 0.75^4)^32 = 5e-6.
 3. The samples are also folded into an odd sketch: each flips one of 512 bits. The bits in which two
    sketches differ stem from samples that differ, so their number estimates how many do.
-4. In every band bucket all members meet one member of the bucket. Buckets that still hold several
-   components then compare all pairs of different components, in blocks of bounded size, on their
-   sketches alone. Pairs whose sketches allow the likeness are confirmed on the full sets.
-5. Components of the confirmed links.
+4. In every band bucket all members meet one member of the bucket. Pairs whose sketches allow the
+   likeness are confirmed on the full sets, and the links make components.
+5. Buckets that still hold several components compare all pairs of different components, in blocks of
+   bounded size, by sketches and then by full sets, and return only links that join components.
+6. Components of all links.
 
 The sketch bound lets a pair at the limit fail with a probability below 1e-6: of 128 samples, at least
 69 agree then, so at most 118 flips differ, which differ in 95 of 512 bits on average (5 deviations: 120).
@@ -36,8 +37,8 @@ from tillstream.session import stage
 
 SAMPLES, ROWS, BITS = 128, 4, 512
 MOST_DIFFERENT = 120
-# Members of a bucket that are compared with each other in one task.
-BLOCK = 512
+# Shingles of the members of a bucket that meet as many others in one task.
+BLOCK = 250_000
 _SLICE = 1 << 13
 
 
@@ -112,21 +113,82 @@ def _different_bits(a: Column, b: Column) -> Column:
     return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(BITS // 64)), F.lit(0))
 
 
-def _block_pairs(keys: tuple, table: pa.Table) -> pa.Table:
-    """Pairs of one block, or between two blocks, of different components and with close sketches."""
+def _block_links(keys: tuple, table: pa.Table) -> pa.Table:
+    """Links that join components within one task: rows of a block against those of another one.
+
+    Pairs of one component are passed over, also where a link just found made it one, so a task returns
+    fewer links than it has rows.
+    """
+    left, right, main = (k.as_py() for k in keys[1:])
     cid, label = table["cid"].to_numpy(), table["label"].to_numpy()
-    own = table["block"].to_numpy()
     sketch = np.stack(table["sketch"].to_pylist()).astype(np.int64).view(np.uint64)
-    first, second = keys[1].as_py(), keys[2].as_py()
-    left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
+    sets = [np.sort(np.asarray(s, np.int64)) for s in table["shingles"].to_pylist()]
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    block, in_main = table["block"].to_numpy(), table["in_main"].to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(~in_main & (block == left))
+    second = np.flatnonzero(in_main) if main else np.flatnonzero(~in_main & (block == right))
+    same = not main and left == right
     found = []
-    for a in left.tolist():
-        others = right[(label[right] != label[a]) & ((cid[right] > cid[a]) | (first != second))]
+    for a in first.tolist():
+        others = second[(label[second] != label[a]) & ((second > a) | (not same))]
         away = np.bitwise_count(sketch[others] ^ sketch[a]).sum(1)
-        near = cid[others[away <= MOST_DIFFERENT]]
-        found.append(np.stack([np.minimum(near, cid[a]), np.maximum(near, cid[a])], 1))
-    both = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-    return pa.table({"a": both[:, 0], "b": both[:, 1]})
+        others = others[away <= MOST_DIFFERENT]
+        if not len(others):
+            continue
+        flat = np.concatenate([sets[o] for o in others.tolist()])
+        at = np.minimum(np.searchsorted(sets[a], flat), sizes[a] - 1)
+        starts = np.cumsum(sizes[others]) - sizes[others]
+        both = np.add.reduceat((sets[a][at] == flat).astype(np.int64), starts)
+        for o in others[100 * both >= _percent(table) * (sizes[a] + sizes[others] - both)].tolist():
+            if label[o] != label[a]:
+                found.append((min(cid[a], cid[o]), max(cid[a], cid[o])))
+                label = np.where(label == label[o], label[a], label)
+    return pa.table([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _percent(table: pa.Table) -> int:
+    return table["percent"][0].as_py()
+
+
+def _across_components(shared: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame,
+                       percent: int) -> DataFrame:
+    """Links (a, b) between members of a bucket that are in different components so far.
+
+    The bucket's largest component is not compared within itself. Its blocks meet those of the other
+    members, and these meet each other; a block holds about `BLOCK` shingles.
+    """
+    known = classes.select("cid", "sketch", "n_shingles")
+    members = shared.where("size > 2").select("bucket", "cid").join(
+        labels.withColumnRenamed("b", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid")) \
+        .join(classes.select("cid", "n_shingles"), "cid")
+    kinds = members.groupBy("bucket", "label").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("weight"))
+    totals = kinds.groupBy("bucket").agg(
+        F.max(F.struct("rows", "label", "weight")).alias("main"), F.sum("weight").alias("weight"),
+        F.count("*").alias("kinds")).where("kinds > 1")
+
+    def blocks(weight: Column) -> Column:
+        return F.ceil(weight / BLOCK).cast("int")
+
+    def each(n: Column, made) -> Column:
+        return F.transform(F.sequence(F.lit(0), n - 1), made)
+
+    def task(first: Column, second: Column, main: bool) -> Column:
+        return F.struct(first.alias("left"), second.alias("right"), F.lit(main).alias("main"))
+
+    placed = members.drop("n_shingles").join(totals, "bucket").select(
+        "bucket", "cid", "label", (F.col("label") == F.col("main.label")).alias("in_main"),
+        blocks(F.col("main.weight")).alias("n_main"), blocks(F.col("weight") - F.col("main.weight")).alias("n_rest"),
+    ).withColumn("block", F.pmod(F.xxhash64("cid"), F.when(F.col("in_main"), F.col("n_main")).otherwise(
+        F.col("n_rest"))).cast("int"))
+    block, n_main, n_rest = F.col("block"), F.col("n_main"), F.col("n_rest")
+    tasks = F.when(F.col("in_main"), each(n_rest, lambda i: task(i, block, True))).otherwise(F.concat(
+        each(n_main, lambda j: task(block, j, True)),
+        each(n_rest, lambda k: task(F.least(block, k), F.greatest(block, k), False))))
+    return placed.select("bucket", "cid", "label", "in_main", "block", F.explode(tasks).alias("task")).join(
+        known.drop("n_shingles"), "cid").join(sets, "cid").select(
+        "bucket", "task.left", "task.right", "task.main", "cid", "label", "in_main", "block", "sketch", "shingles",
+        F.lit(percent).alias("percent"),
+    ).groupBy("bucket", "left", "right", "main").applyInArrow(_block_links, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -140,8 +202,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     signed = stage(signatures(docs, size), "signatures")
     classes = stage(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(
-            F.min("doc_id").alias("cid"), F.first("bands").alias("bands"),
-            F.first("sketch").alias("sketch")),
+            F.min("doc_id").alias("cid"), F.first("n_shingles").alias("n_shingles"),
+            F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
         "classes")
 
     members = classes.select("cid", F.explode("bands").alias("bucket")).withColumn(
@@ -170,24 +232,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
                           for k in "ab")
     close = met.join(sketch_a, "a").join(sketch_b, "b").where(
         _different_bits(F.col("sketch_a"), F.col("sketch_b")) <= MOST_DIFFERENT).select("a", "b").distinct()
-    met = stage(close, "met-pairs")
-    links = stage(confirmed(met), "links")
+    links = stage(confirmed(close), "links")
     labels = components(links, "b", "a")
 
-    labelled = shared.where("size > 2").join(labels.withColumnRenamed("b", "cid"), "cid", "left").withColumn(
-        "label", F.coalesce("label", "cid"))
-    open_buckets = labelled.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    placed = labelled.join(open_buckets, "bucket").join(sketches, "cid").select(
-        "bucket", "cid", "label", "sketch", F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("other"))
-    pairs = placed.select(
-        "bucket", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
-        "cid", "label", "sketch", "block",
-    ).groupBy("bucket", "first", "second").applyInArrow(_block_pairs, "a long, b long")
-    missing = stage(pairs.distinct().join(met, ["a", "b"], "left_anti"), "block-pairs")
-    every = components(links.union(confirmed(missing)), "b", "a")
+    more = stage(_across_components(shared, labels, classes, sets, percent), "more-links")
+    every = components(links.union(more), "b", "a")
 
     of_class = classes.join(every.withColumnRenamed("b", "cid"), "cid", "left").select(
         "set_key", F.coalesce("label", "cid").alias("reached"))
