@@ -72,10 +72,10 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
   SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""),
     "purchases": (("ev",), """
   SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(user_id AS VARCHAR) AS user_id, ts AS moment,
-         CAST(value AS DECIMAL(12,2)) AS total_amount, p_type AS category, n_name AS country,
+         CAST(value AS DECIMAL(12,2)) AS total_amount, coalesce(p_type, 'General') AS category, n_name AS country,
          CAST(k AS VARCHAR) AS product_id
-  FROM ev JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  JOIN part ON k = p_partkey WHERE event_type = 'purchase'"""),
+  FROM ev LEFT JOIN customer ON user_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN part ON k = p_partkey WHERE event_type = 'purchase'"""),
     "sales": (("purchases",), _windows("""(
     SELECT *, make_timestamp((epoch_us(moment) // 1800000000 - back) * 1800000000) AS window_start
     FROM purchases CROSS JOIN (VALUES (0), (1)) AS slides(back))""", "1 HOUR")),

@@ -6,6 +6,7 @@ Limits here are features of the report (pages and top lists) and always follow a
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -483,18 +484,31 @@ def trends_of(trends: DataFrame, period_type: str = "monthly") -> DataFrame:
 def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Run one read-only statement over the given tables.
 
-    Only SELECT and WITH queries are accepted; Spark's own analysis must find no command in them.
+    Only SELECT and WITH queries are accepted; Spark's own parser must find no command in them, and no
+    relation but the given tables and the query's own named parts: no files, no other tables. The views
+    of the given tables are gone afterwards.
     """
     if not text or not text.strip():
         raise ValueError("a query is required")
     if text.strip().split(None, 1)[0].upper().rstrip("(") not in ("SELECT", "WITH"):
         raise PermissionError("only SELECT and WITH queries are allowed")
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
+    tables = tables or {}
     parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
     if _has_command(parsed):
         raise PermissionError("only queries that read are allowed")
-    return spark.sql(text)
+    shown = parsed.toString()
+    known = {name.lower() for name in tables} | {
+        name.strip().lower() for names in re.findall(r"CTE \[([^\]]*)\]", shown) for name in names.split(",")}
+    for name in re.findall(r"UnresolvedRelation \[([^\]]*)\]", shown):
+        if name.strip().lower() not in known:
+            raise PermissionError(f"not one of the given tables: {name}")
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    try:
+        return spark.sql(text)  # resolved here; the views are not needed to run it
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
 
 
 def _has_command(plan) -> bool:

@@ -105,18 +105,18 @@ class GivenTables:
         )
 
     def purchases(self) -> DataFrame:
-        """Transactions with times to the second."""
+        """Transactions with times to the second; unknown customers have no country, unknown parts are General."""
         parts = self.table("part").select("p_partkey", "p_type")
         return (
             self._events("purchase")
-            .join(self._countries(), F.col("user_id") == F.col("c_custkey"))
-            .join(parts, F.col("k") == F.col("p_partkey"))
+            .join(self._countries(), F.col("user_id") == F.col("c_custkey"), "left")
+            .join(parts, F.col("k") == F.col("p_partkey"), "left")
             .select(
                 F.col("event_id").cast("string").alias("transaction_id"),
                 F.col("user_id").cast("string").alias("user_id"),
                 F.col("ts").alias("timestamp"),
                 _money("value").alias("total_amount"),
-                F.col("p_type").alias("category"), "country",
+                F.coalesce("p_type", F.lit(DEFAULT_CATEGORY)).alias("category"), "country",
                 F.lit("credit_card").alias("payment_method"),
                 F.col("k").cast("string").alias("product_id"),
             )
