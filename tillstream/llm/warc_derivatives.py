@@ -109,7 +109,7 @@ def derived(record: bytes | None) -> list[dict]:
     about += [(f"http-{k.lower()}", v) for k, v in http.items()]
     about += [("source-digest-valid", "yes" if claimed == own else "no")]
     about += [(k, _SPACES.sub(" ", html.unescape(m[1])).strip()) for k, m in (("title", title), ("language", lang)) if m]
-    about += [("outlink", html.unescape(next(g for g in m if g is not None) if any(m) else "")) for m in _LINK.findall(page)]
+    about += [("outlink", html.unescape("".join(m))) for m in _LINK.findall(page)]
     fields_block = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in about).encode()
     out = []
     for kind, content, kind_of_content in (("metadata", fields_block, "application/warc-fields"),
