@@ -13,6 +13,8 @@ like each other (1) and unlike all others (0); a text of fewer words than a shin
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # One hash in four is kept.
@@ -61,12 +63,14 @@ def as_text(fingerprint: Column | str) -> Column:
     return F.array_join(F.transform(fingerprint, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
-def with_next(docs: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """`docs` with `next_<column>`: the values of the row that follows in descending order of `key`.
+def with_next(
+    docs: DataFrame, key: str, text: str, derive: Callable[[DataFrame], DataFrame], columns: list[str],
+) -> DataFrame:
+    """`derive(docs)` with `next_<column>`: the values of the row that follows in descending order of `key`.
 
     After the last row comes the first. Rows are dealt to pieces by quantiles of the key and a window
     finds the next row within a piece; each piece also gets a copy of the first row of the following
-    one, which its last row looks up. Equal keys stand in descending order of `columns`, null keys last.
+    one, which its last row looks up. Equal keys stand in descending order of `text`, null keys last.
     """
     spark = docs.sparkSession
     pieces = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -74,27 +78,27 @@ def with_next(docs: DataFrame, key: str, columns: list[str]) -> DataFrame:
     # Piece 0 has the largest keys, the last one the nulls.
     above = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c > F.col(key))) if cuts else F.lit(0)
     piece = F.when(F.col(key).isNull(), len(cuts) + 1).otherwise(above)
-    placed = docs.withColumn("__piece", piece).withColumn("__copy", F.lit(False))
+    placed = docs.withColumn("__piece", piece)
     tops = docs.select(key).withColumn("__piece", piece).groupBy("__piece").agg(F.max(key).alias("__top"))
-    heads = placed.join(tops, "__piece").where(F.col(key).eqNullSafe(F.col("__top"))).groupBy("__piece").agg(
-        F.max(F.struct(*columns)).alias("head"))
     # One row per piece.
+    first = placed.join(F.broadcast(tops), "__piece").where(F.col(key).eqNullSafe(F.col("__top")))
+    heads = first.groupBy("__piece").agg(F.max(text).alias(text))
     ring = Window.orderBy(F.col("__piece").desc())
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     copies = heads.select(
-        F.coalesce(F.lead("__piece").over(ring), F.first("__piece").over(whole)).alias("__piece"), "head",
-    ).select("__piece", F.lit(True).alias("__copy"), *[F.col(f"head.{c}").alias(c) for c in columns])
-    following = Window.partitionBy("__piece").orderBy(
-        "__copy", F.col(key).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in columns])
-    return placed.unionByName(copies, allowMissingColumns=True).select(
-        *docs.columns, "__copy", *[F.lead(c).over(following).alias(f"next_{c}") for c in columns],
-    ).where("NOT __copy").drop("__copy")
+        F.coalesce(F.lead("__piece").over(ring), F.first("__piece").over(whole)).alias("__piece"), text)
+    following = Window.partitionBy("__piece").orderBy("__copy", F.col(key).desc_nulls_last(), F.col(text).desc_nulls_last())
+    every = derive(placed.withColumn("__copy", F.lit(False)).unionByName(
+        copies.withColumn("__copy", F.lit(True)), allowMissingColumns=True))
+    return every.select(
+        "*", *[F.lead(c).over(following).alias(f"next_{c}") for c in columns],
+    ).where("NOT __copy").drop("__copy", "__piece")
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
     """Each document against the next one, and against itself with the latter half overwritten by it."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = with_next(with_fingerprint(texts, "text", "kept"), "doc_id", ["text", "kept"])
+    own = with_next(texts, "doc_id", "text", lambda rows: with_fingerprint(rows, "text", "kept"), ["text", "kept"])
     size = F.char_length("text")
     half = F.floor(size / 2).cast("int")
     edited = own.withColumn("edited", F.concat(
