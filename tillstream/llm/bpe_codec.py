@@ -29,8 +29,8 @@ from tillstream.llm.pretokens import PreTokenEncoder
 from tillstream.llm.segments import gather
 
 NORMAL, UNKNOWN, BPE_MODEL = 1, 2, 2
-# Texts are encoded in groups of about so many characters.
-GROUP = 1 << 20
+# Texts are encoded in groups of about so many characters; so many distinct pre-tokens are remembered.
+GROUP, TABLE = 1 << 18, 200_000
 
 
 @lru_cache(maxsize=1)
@@ -83,67 +83,86 @@ def serialised_model(words: list[bytes]) -> bytes:
     return b"".join(_field(1, p) for p in pieces) + _field(2, trainer) + _field(3, normaliser)
 
 
-class Codec:
-    """Encodes and decodes texts with one rank file."""
+class Vocabulary:
+    """Decodes: the byte string of each id, from the model's pieces by the inverse of the stand-ins."""
 
     def __init__(self, path: str):
-        import sentencepiece
-
-        words = read_ranks(path)
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=serialised_model(words))
-        table = {b: s for b, s in enumerate(stand_ins())}
-        self._map = str.maketrans({chr(b): s for b, s in table.items()})
-        back = {s: b for b, s in table.items()}
-        stored = [bytes(back[c] for c in self.model.id_to_piece(i)) for i in range(len(words))]
+        back = {s: b for b, s in enumerate(stand_ins())}
+        stored = [bytes(back[c] for c in piece) for piece in pieces(path)]
         self.lengths = np.fromiter(map(len, stored), np.int64, len(stored))
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.pool = np.frombuffer(b"".join(stored), np.uint8)
+
+    def decode(self, ids: bytes) -> bytes:
+        numbers = np.frombuffer(ids, "<u4").astype(np.int64)
+        if len(numbers) and numbers.max() >= len(self.lengths):
+            raise ValueError(f"no such token id: {numbers.max()}")
+        return self.pool[gather(self.starts[numbers], self.lengths[numbers])].tobytes()
+
+
+class Encoder:
+    """Encodes texts with the sentencepiece model of one rank file."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=serialised_model(read_ranks(path)))
+        self._map = str.maketrans({chr(b): s for b, s in enumerate(stand_ins())})
         # A pre-token that is itself in the vocabulary is that entry, also where merges stop earlier.
-        mapped = [self.model.id_to_piece(i) for i in range(len(words))]
+        mapped = pieces(path)
         merged = self.model.encode(mapped, out_type=int, num_threads=1)
         self.whole = {mapped[i]: [i] for i, ids in enumerate(merged) if ids != [i]}
-        self.pre_tokens = PreTokenEncoder(self._encode)
 
-    def _encode(self, pieces: list[str]) -> list[list[int]]:
-        mapped = [p.encode().decode("latin-1").translate(self._map) for p in pieces]
-        found = self.model.encode(mapped, out_type=int, num_threads=1)
-        if self.whole:
-            found = [self.whole.get(m, ids) for m, ids in zip(mapped, found)]
-        return found
+    def table(self) -> PreTokenEncoder:
+        """An empty table of pre-tokens; a task has one of its own, which goes when it ends."""
+        return PreTokenEncoder(self._encode, TABLE)
+
+    def _encode(self, found: list[str]) -> list[list[int]]:
+        mapped = [p.encode().decode("latin-1").translate(self._map) for p in found]
+        ids = self.model.encode(mapped, out_type=int, num_threads=1)
+        return [self.whole.get(m, i) for m, i in zip(mapped, ids)] if self.whole else ids
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str], table: PreTokenEncoder | None = None) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        table = table or self.table()
         out, first = [], 0
         while first < len(texts):
             size, last = 0, first
             while last < len(texts) and (size < GROUP or last == first):
                 size += len(texts[last])
                 last += 1
-            ids, bounds = self.pre_tokens.texts(texts[first:last])
+            ids, bounds = table.texts(texts[first:last])
             flat, at = ids.astype("<u4").tobytes(), (bounds * 4).tolist()
             out += [flat[a:b] for a, b in zip(at, at[1:])]
             first = last
         return out
 
-    def decode(self, ids: bytes) -> bytes:
-        numbers = np.frombuffer(ids, "<u4").astype(np.int64)
-        if len(numbers) and numbers.max() >= len(self.lengths):
-            raise ValueError(f"no such token id: {numbers.max()}")
-        return self.pool[gather(self.starts[numbers], self.lengths[numbers])].tobytes()
+
+def pieces(path: str) -> list[str]:
+    """The model's pieces by id: the ranked byte strings in stand-ins."""
+    shown = stand_ins()
+    return ["".join(shown[b] for b in word) for word in read_ranks(path)]
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of a rank file, built once per process."""
+    return Encoder(path)
 
 
 @lru_cache(maxsize=1)
-def codec(path: str) -> Codec:
-    """The codec of a rank file, built once per process."""
-    return Codec(path)
+def vocabulary(path: str) -> Vocabulary:
+    """The decoder of a rank file, built once per process."""
+    return Vocabulary(path)
 
 
 def encode(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """`df` with the token ids of each text as little-endian unsigned 32-bit integers, a binary column."""
     def prepare():
-        encoder = codec(ranks)
+        own = encoder(ranks)
+        table = own.table()
         return lambda column: [pa.array(
-            encoder.encode(pc.fill_null(column, "").to_pylist()), pa.binary())]
+            own.encode(pc.fill_null(column, "").to_pylist(), table), pa.binary())]
 
     return with_arrow(df, [text], fields(**{ids: "binary"}), prepare)
 
@@ -151,9 +170,9 @@ def encode(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids") -> D
 def decode(df: DataFrame, ranks: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """`df` with the bytes that the ids stand for; null ids give no bytes."""
     def prepare():
-        decoder = codec(ranks)
+        own = vocabulary(ranks)
         return lambda column: [pa.array(
-            [decoder.decode(i) for i in pc.fill_null(column, b"").to_pylist()], pa.binary())]
+            [own.decode(i) for i in pc.fill_null(column, b"").to_pylist()], pa.binary())]
 
     return with_arrow(df, [ids], fields(**{decoded: "binary"}), prepare)
 
