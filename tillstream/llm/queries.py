@@ -68,8 +68,15 @@ def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+#: Rows and bytes that pass between the JVM and a Python worker at once; a document is never cut.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+           "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, as `--py-files` would, once a session."""
+    """Give the executors this package, as `--py-files` would, once a session, and bound Arrow batches."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     context = spark.sparkContext
     name = f"tillstream-{context.applicationId}.zip"
     if any(f.endswith(name) for f in context._python_includes):
