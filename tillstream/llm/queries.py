@@ -117,4 +117,26 @@ _QUERIES = {
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    """SQL where it can say the whole result in reasonable time; tests hold the others against plain versions."""
+    return {"op8_odd_sketches": _NEAR_DUPLICATES}
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_NEAR_DUPLICATES = rf"""WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS g FROM worded),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+link AS (
+  SELECT x, y FROM pair JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+  WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reached.doc_id, y FROM reached JOIN edge ON other = x)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept
+FROM reached LEFT JOIN size USING (doc_id) GROUP BY doc_id"""
