@@ -14,7 +14,7 @@ import pyarrow as pa
 # Any odd multiplier works; its powers and their inverses are built once per process.
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _powers = _inverses = np.ones(1, np.uint64)
 
