@@ -80,3 +80,26 @@ def test_query_separates_held_out_rows(text_spark):
 
 def test_empty_small_folder(text_spark):
     assert queries.llm_queries()["op9_nearest_toxic"](text_spark, SMALL).count() == 200
+
+
+def test_all_words_and_examples_are_searched(text_spark):
+    """Texts without a leaning word find their nearest examples by all words, as computed one by one."""
+    docs, labels = planted(text_spark)
+    model = nearest_toxic.fit(docs, labels.where(~nearest_toxic.held_out()))
+    search = model.shared.value
+    assert len(search.ids) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(300))
+    assert 0 < search.lean.sum() < 10 and len(search.idf) > 300
+    own = text_spark.createDataFrame([(900, "w3 w14 w25 own7"), (901, "w80 w81")], "doc_id long, text string")
+    found = {r.doc_id: r for r in nearest_toxic.scored(own, model).collect()}
+    assert found[900].evidence[0].example == 7 and all(len(r.evidence) == 15 for r in found.values())
+    assert found[900].score != found[901].score
+
+
+def test_search_travels_whole(text_spark):
+    import pickle
+
+    docs, labels = planted(text_spark)
+    search = nearest_toxic.fit(docs, labels.where(~nearest_toxic.held_out())).shared.value
+    copy = pickle.loads(pickle.dumps(search))
+    assert all(np.array_equal(getattr(search, k), getattr(copy, k))
+               for k in ("hashes", "found", "idf", "lean", "ids", "toxic", "at", "terms", "counts"))

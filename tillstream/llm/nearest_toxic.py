@@ -1,26 +1,29 @@
 """Toxicity of texts by their nearest labelled examples.
 
 1. A bounded sample of the labelled rows (`EXAMPLES`, drawn by a hash of the id) becomes the examples.
-2. Words, and the first bytes of longer words, are terms. A term counts if it occurs in toxic examples
-   more often than chance allows. Documents are counted first; then, for the terms left, distinct
-   contexts (word before, word after), so that copies of one toxic text don't make its words terms.
-3. Examples become unit vectors of log-count times inverse document frequency over these terms, in an
-   inverted index whose postings are cut into blocks of examples with their largest weight.
-4. A text visits blocks in the order of their upper bounds and stops where no block left can hold one
-   of the nearest: the nearest examples by exact cosine.
-5. Their votes, weighted by the inverse of the distance and drawn to the overall share, go through a
-   logistic curve fitted to the examples' own leave-one-out votes.
-
-Index and curve are fitted on the sample alone; every text is read whole.
-
-Defined results: null, empty and term-free texts get the share of toxic rows among term-free examples;
-without labelled rows of both sorts every score is 0; equal cosines go by example id; equal texts get equal
-scores; several labels of a document count as toxic if one does.
+2. Words, and the first bytes of words, are terms. All terms of the examples count: every example becomes
+   a unit vector of log-count times inverse document frequency, in an inverted index. Long postings are
+   cut into blocks of examples with their largest weight, short ones are read whole.
+3. A text visits blocks in the order of their upper bounds and stops where no block left can hold one
+   of the nearest: the nearest examples by exact cosine. Their votes are weighted by the inverse of the
+   distance and drawn to the overall share.
+4. A second vote is that of the nearest examples over the leaning terms alone, those that occur in toxic
+   examples more often than chance allows. Documents are counted first; then, for the terms left, distinct
+   contexts (word before, word after), so that copies of one toxic text don't make its words lean.
+5. A logistic curve of both votes is fitted to the examples' own leave-one-out votes.
+
+Index and curve are fitted on the sample alone; every text is read whole, and every text that shares a
+word with an example is searched. Words that no example has are in no vector.
+
+Defined results: null and empty texts and those without a word of the examples get the share of toxic rows
+among examples without a leaning term; without labelled rows of both sorts every score is 0; equal cosines
+go by example id; equal texts get equal scores; several labels of a document count as toxic if one does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +31,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.llm.columns import fields, with_arrow
-from tillstream.llm.segments import ALPHANUMERIC, chunks, lowered, mix, span_hashes, words
+from tillstream.llm.segments import ALPHANUMERIC, chunks, gather, lowered, mix, span_hashes, words
 from tillstream.session import stage
 
-# Bounds of the fit: labelled rows (on average), and terms.
+# Bounds of the fit: labelled rows (on average), and leaning terms.
 EXAMPLES, TERMS = 20_000, 5_000
-# Twice the log-likelihood ratio from which a term counts: chance alone exceeds it 4 times in a million.
+# Twice the log-likelihood ratio from which a term leans: chance alone exceeds it 4 times in a million.
 EVIDENCE = 20.0
 NEIGHBOURS, PRIOR, NEARNESS = 15, 1.0, 0.05
 _PREFIX, _BLOCK = 6, 64
+# Tasks that find the examples' own votes.
+VOTERS = 48
 _PREFIX_SALT, _SIDE = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
@@ -77,110 +82,194 @@ class TermTable:
         return maybe[hit], self.order[at[hit]]
 
 
-def vectors(column: pa.Array, table: TermTable, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The (terms, weights) of each text, a unit vector; empty where it has none of the terms."""
+def counted_terms(column: pa.Array, table: TermTable, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The (numbers, counts) of each text's terms that the table of `size` terms knows, in rising order."""
     for _, rows, hashes, _ in terms(column):
         place, number = table.find(hashes)
         owner = np.searchsorted(rows, place, "right") - 1
-        keys, counts = np.unique(owner * len(idf) + number, return_counts=True)
-        owner, number = np.divmod(keys, max(len(idf), 1))
-        weight = np.log1p(counts) * idf[number]
-        n = len(rows) - 1
-        length = np.sqrt(np.bincount(owner, weight ** 2, n))
-        weight = weight / length[owner]
-        at = np.searchsorted(owner, np.arange(n + 1)).tolist()
+        keys, counts = np.unique(owner * size + number, return_counts=True)
+        owner, number = np.divmod(keys, max(size, 1))
+        at = np.searchsorted(owner, np.arange(len(rows))).tolist()
         for a, b in zip(at, at[1:]):
-            yield number[a:b], weight[a:b]
+            yield number[a:b], counts[a:b]
+
+
+def unit(weight: np.ndarray) -> np.ndarray:
+    return weight / np.sqrt((weight ** 2).sum()) if len(weight) else weight
 
 
 class BlockMaxIndex:
-    """Unit vectors by term, in blocks of examples, with each block's largest weight of each term."""
+    """Unit vectors by term. Terms of many examples have their postings in blocks of examples, with each
+    block's largest weight of the term."""
 
     def __init__(self, examples: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(examples)
         self.blocks = -(-self.n // _BLOCK)
         sizes = [len(t) for t, _ in examples]
-        example = np.repeat(np.arange(self.n), sizes)
-        term = np.concatenate([t for t, _ in examples] + [np.zeros(0, np.int64)])
-        weight = np.concatenate([w for _, w in examples] + [np.zeros(0)])
-        order = np.lexsort((example, term))
-        self.example, self.weight, term = example[order], weight[order], term[order]
-        # Postings of a term in a block lie between two neighbouring places of this table.
-        cell = term * self.blocks + self.example // _BLOCK
-        self.at = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1))
-        self.most = np.zeros(n_terms * self.blocks)
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(n_terms, self.blocks)
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        term = np.concatenate([t.astype(np.int32) for t, _ in examples] + [np.zeros(0, np.int32)])
+        order = np.argsort(term, kind="stable")
+        self.at = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=n_terms))))
+        del term
+        self.example = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
+        self.weight = np.concatenate([w for _, w in examples] + [np.zeros(0)])[order]
+        del order
+        # A term with fewer postings than there are blocks has hardly two of them in one.
+        many = np.flatnonzero(np.diff(self.at) > self.blocks)
+        self.long = np.full(n_terms, -1, np.int32)
+        self.long[many] = np.arange(len(many))
+        self.cell = np.zeros((len(many), self.blocks + 1), np.int64)
+        self.most = np.zeros((len(many), self.blocks))
+        edges = np.arange(self.blocks + 1) * _BLOCK
+        for i, t in enumerate(many.tolist()):
+            a, b = self.at[t], self.at[t + 1]
+            self.cell[i] = a + np.searchsorted(self.example[a:b], edges)
+            np.maximum.at(self.most[i], self.example[a:b] // _BLOCK, self.weight[a:b])
+
+    def _add(self, sums: np.ndarray, weight: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Adds the postings between starts and ends, each times its weight."""
+        sizes = ends - starts
+        place = gather(starts, sizes)
+        sums += np.bincount(self.example[place], np.repeat(weight, sizes) * self.weight[place], len(sums))
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int | np.ndarray = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples and their cosines, nearest first, equal ones by number."""
-        bound = weight @ self.most[term]
+        sums = np.zeros(self.blocks * _BLOCK)
+        row = self.long[term]
+        short, row, heavy = term[row < 0], row[row >= 0], weight[row >= 0]
+        self._add(sums, weight[self.long[term] < 0], self.at[short], self.at[short + 1])
+        bound = sums.reshape(-1, _BLOCK).max(1) + heavy @ self.most[row]
         order = np.argsort(-bound, kind="stable")
-        ids, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for block in order.tolist():
+        ids, cosines, least, a, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, 8
+        while a < len(order):
+            group = order[a:a + step]
             # Sums in another order may differ in the last bits.
-            if bound[block] <= 0 or len(ids) == k and bound[block] < least - 1e-9:
+            group = group[(bound[group] > 0) & ((len(ids) < k) | (bound[group] >= least - 1e-9))]
+            if not len(group):
                 break
-            sums, base = np.zeros(_BLOCK), block * _BLOCK
-            for t, w in zip(term.tolist(), weight.tolist()):
-                a, b = self.at[t * self.blocks + block], self.at[t * self.blocks + block + 1]
-                sums[self.example[a:b] - base] += w * self.weight[a:b]
-            found = np.flatnonzero(sums > 0)
-            found = found[found + base != without]
-            ids, cosines = np.append(ids, found + base), np.append(cosines, sums[found])
+            cells = np.ix_(row, group)
+            self._add(sums, np.repeat(heavy, len(group)), self.cell[cells].ravel(),
+                      self.cell[np.ix_(row, group + 1)].ravel())
+            found = (np.sort(group)[:, None] * _BLOCK + np.arange(_BLOCK)).ravel()
+            found = found[(sums[found] > 0) & ~np.isin(found, without)]
+            if len(ids) == k:
+                found = found[sums[found] >= least - 1e-9]
+            ids, cosines = np.append(ids, found), np.append(cosines, sums[found])
             best = np.lexsort((ids, -np.round(cosines, 9)))[:k]
             ids, cosines = ids[best], cosines[best]
             least = cosines[-1] if len(ids) else 0.0
+            a, step = a + step, step * 2
         return ids, np.minimum(cosines, 1.0)
 
 
-class Model:
-    """Terms, index and calibration, fitted on the examples."""
-
-    def __init__(self, hashes: np.ndarray, idf: np.ndarray, examples: list[tuple], n_free: int, toxic_free: int):
-        """`examples`: (id, toxic, terms, weights) of those with terms; the others only as counts."""
-        self.table, self.idf = TermTable(hashes), idf
-        self.ids = [e[0] for e in examples]
-        self.toxic = np.array([e[1] for e in examples], float)
-        self.index = BlockMaxIndex([(e[2], e[3]) for e in examples], len(hashes))
-        rows, toxic = n_free + len(examples), toxic_free + self.toxic.sum()
-        self.share = float(toxic / rows) if rows else 0.0
-        self.free = (toxic_free + self.share) / (n_free + 1) if rows else 0.0
-        self.slope, self.offset = 1.0, 0.0
-        self._memory: dict[bytes, tuple] = {}
-        votes = np.array([self._vote(e[2], e[3], i)[0] for i, e in enumerate(examples)])
-        if 0 < self.toxic.sum() < len(examples):
-            self._fit(votes)
+def _packed(values: np.ndarray) -> tuple:
+    """Whole numbers in few bytes: like bytes of neighbouring ones side by side, compressed."""
+    flat = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T)
+    return values.dtype.str, flat.nbytes, pa.compress(flat.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(kind: str, size: int, data: bytes) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(data, size, "zstd", asbytes=True), np.uint8)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(flat.reshape(width, size // width).T).ravel().view(kind)
+
+
+class Search:
+    """The examples, by all terms and by the leaning ones.
+
+    It travels as the examples' terms and counts; each process builds the indexes when it first needs them.
+    """
+
+    def __init__(self, hashes: np.ndarray, found: np.ndarray, lean: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
+                 at: np.ndarray, terms: np.ndarray, counts: np.ndarray):
+        """`found`: examples with each term; `lean`: whether it leans. Example i, by rising id, has the
+        terms and counts from at[i] to at[i + 1]."""
+        self.hashes, self.found, self.lean, self.ids, self.toxic = hashes, found, lean, ids, toxic
+        self.at, self.terms, self.counts = at, terms, counts
+        self.idf = np.log1p(len(ids) / found)
+        self.share = float(toxic.mean()) if len(ids) else 0.0
+        leaning = np.diff(np.concatenate(([0], np.cumsum(lean[terms])))[at])
+        self.free = float((toxic[leaning == 0].sum() + self.share) / ((leaning == 0).sum() + 1))
+
+    def __reduce__(self):
+        deltas = np.diff(self.terms, prepend=np.int32(0)).astype(np.int32)
+        return _received, (self.hashes, self.ids, self.toxic, self.at, np.packbits(self.lean), *map(
+            _packed, (self.found, deltas, self.counts)))
+
+    @cached_property
+    def table(self) -> TermTable:
+        return TermTable(self.hashes)
+
+    @cached_property
+    def all(self) -> BlockMaxIndex:
+        return self._index(self._examples())
+
+    @cached_property
+    def leaning(self) -> BlockMaxIndex:
+        return self._index((t[self.lean[t]], n[self.lean[t]]) for t, n in self._examples())
+
+    def _examples(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        at = self.at.tolist()
+        return ((self.terms[a:b], self.counts[a:b]) for a, b in zip(at, at[1:]))
 
-    def _vote(self, term, weight, without=-1):
-        ids, cosines = self.index.nearest(term, weight, NEIGHBOURS, without)
+    def _index(self, examples) -> BlockMaxIndex:
+        return BlockMaxIndex([(t, self._weights(t, n)) for t, n in examples], len(self.hashes))
+
+    def _weights(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return unit(np.log1p(count.astype(float)) * self.idf[term])
+
+    def _vote(self, index: BlockMaxIndex, term, count, without):
+        ids, cosines = index.nearest(term, self._weights(term, count), NEIGHBOURS, without)
         pull = 1 / (NEARNESS + 1 - cosines)
         return (pull @ self.toxic[ids] + PRIOR * self.share) / (pull.sum() + PRIOR), ids, cosines
 
-    def _fit(self, votes: np.ndarray) -> None:
+    def votes(self, term: np.ndarray, count: np.ndarray, without: int | np.ndarray = -1) -> tuple:
+        """The vote over all terms, the vote over leaning ones, and the nearest examples with their cosines."""
+        vote, ids, cosines = self._vote(self.all, term, count, without)
+        leans = self.lean[term]
+        second = self._vote(self.leaning, term[leans], count[leans], without)[0] if leans.any() else self.free
+        return vote, second, ids, cosines
+
+
+def _received(hashes, ids, toxic, at, lean, found, deltas, counts) -> Search:
+    return Search(hashes, _unpacked(*found), np.unpackbits(lean, count=len(hashes)).astype(bool), ids, toxic, at,
+                  np.cumsum(_unpacked(*deltas), dtype=np.int32), _unpacked(*counts))
+
+
+class Model:
+    """The search, which tasks get as a broadcast, and its calibration."""
+
+    def __init__(self, search: Search, shared):
+        self.shared, self.free, self.both = shared, search.free, 0 < search.toxic.sum() < len(search.ids)
+        self.free = self.free if self.both else 0.0
+        # Slopes of the two votes, and offset.
+        self.curve = np.array([0.1, 1.0, 0.0])
+        self._memory: dict[bytes, tuple] = {}
+
+    def fit(self, first: np.ndarray, second: np.ndarray, toxic: np.ndarray) -> None:
         """Logistic regression of the labels on the votes' log-odds, slightly ridged (Newton steps)."""
-        x = np.stack([_log_odds(votes), np.ones(len(votes))], 1)
-        b = np.array([1.0, 0.0])
+        x = np.stack([_log_odds(first), _log_odds(second), np.ones(len(first))], 1)
+        start = b = self.curve
         for _ in range(25):
             p = 1 / (1 + np.exp(-x @ b))
-            gradient = x.T @ (self.toxic - p) - (b - [1.0, 0.0])
-            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(2), gradient)
+            gradient = x.T @ (toxic - p) - (b - start)
+            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(3), gradient)
             b = b + step
             if abs(step).max() < 1e-9:
                 break
-        self.slope, self.offset = max(float(b[0]), 0.1), float(b[1])
+        self.curve = np.array([max(b[0], 0.1), max(b[1], 0.1), b[2]])
 
-    def score(self, term: np.ndarray, weight: np.ndarray) -> tuple[float, list[int], list[float]]:
+    def score(self, term: np.ndarray, count: np.ndarray) -> tuple[float, list[int], list[float]]:
         """Probability of toxicity, and the nearest examples with their cosines."""
-        if not len(term):
+        if not len(term) or not self.both:
             return self.free, [], []
-        key = term.tobytes() + weight.tobytes()
+        key = term.tobytes() + count.tobytes()
         if key not in self._memory:
-            if len(self._memory) > 50_000:
+            if len(self._memory) > 2_000:
                 self._memory.clear()
-            vote, ids, cosines = self._vote(term, weight)
-            score = 1 / (1 + np.exp(-(self.slope * _log_odds(vote) + self.offset)))
-            self._memory[key] = float(score), [self.ids[i] for i in ids.tolist()], cosines.tolist()
+            search = self.shared.value
+            first, second, ids, cosines = search.votes(term, count)
+            odds = self.curve @ [_log_odds(first), _log_odds(second), 1.0]
+            self._memory[key] = float(1 / (1 + np.exp(-odds))), search.ids[ids].tolist(), cosines.tolist()
         return self._memory[key]
 
 
@@ -259,39 +348,64 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     share = counts.agg(F.sum("toxic") / F.sum(F.col("toxic") + F.col("clean"))).first()[0] or 0.0
     first = np.array([r.term for r in _strongest(counts, share).select("term").collect()], np.int64).view(np.uint64)
     chosen = _strongest(stage(_contexts(examples, first), "term-contexts"), share) if len(first) else counts.limit(0)
-    frequent = chosen.select("term").join(counts, "term").select("term", F.col("toxic") + F.col("clean")).collect()
-    frequent = sorted((r[0], r[1]) for r in frequent)
-    hashes = np.array([t for t, _ in frequent], np.int64).view(np.uint64)
-    total = examples.count()
-    idf = np.log1p(total / np.array([n for _, n in frequent], float))
+    leaning = np.array([r.term for r in chosen.select("term").collect()], np.int64)
+    # All terms of the sample, as two numbers each.
+    every = counts.select("term", (F.col("toxic") + F.col("clean")).cast("int").alias("n")).toArrow().sort_by("term")
+    known_terms = every["term"].to_numpy()
+    hashes, lean = known_terms.view(np.uint64), np.isin(known_terms, leaning)
 
-    def prepare():
+    def counting():
         table = TermTable(hashes)
 
         def work(column: pa.Array) -> list[pa.Array]:
-            made = list(vectors(column, table, idf))
-            return [pa.array([v[0] for v in made], pa.list_(pa.int64())),
-                    pa.array([v[1] for v in made], pa.list_(pa.float64()))]
+            made = list(counted_terms(column, table, len(hashes)))
+            return [pa.array([v[i].astype(np.int32) for v in made], pa.list_(pa.int32())) for i in (0, 1)]
 
         return work
 
-    # No more than the sample, and of it only ids, labels and weights of terms.
-    made = with_arrow(examples, ["text"], fields(terms="array<long>", weights="array<double>"), prepare) \
-        .drop("text").collect()
-    held = sorted((r.doc_id, r.toxic, np.array(r.terms, np.int64), np.array(r.weights)) for r in made if r.terms)
-    free = [r.toxic for r in made if not r.terms]
-    return Model(hashes, idf, held, len(free), sum(free))
+    # No more than the sample: ids, labels, and numbers of terms.
+    made = with_arrow(examples, ["text"], fields(terms="array<int>", counts="array<int>"), counting).select(
+        "doc_id", "toxic", F.xxhash64("text").alias("h"), "terms", "counts").toArrow().sort_by(
+        [("doc_id", "ascending"), ("h", "ascending")]).combine_chunks()
+    ids = made["doc_id"].to_numpy()
+    flat = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in (made["terms"], made["counts"])]
+    at = flat[0].offsets.to_numpy() if len(ids) else np.zeros(1, np.int32)
+    search = Search(hashes, every["n"].to_numpy(), lean, ids, made["toxic"].to_numpy().astype(float), at,
+                    *(c.values.to_numpy() for c in flat))
+    del made, every, flat
+    shared = docs.sparkSession.sparkContext.broadcast(search)
+    model = Model(search, shared)
+    if not model.both:
+        return model
+    size = len(hashes)
+
+    def voting():
+        own = shared.value
+
+        def work(texts: pa.Array, doc_ids: pa.Array) -> list[pa.Array]:
+            numbers = doc_ids.to_numpy()
+            spans = zip(np.searchsorted(own.ids, numbers), np.searchsorted(own.ids, numbers, "right"))
+            # Nobody votes on an example that has its own id.
+            made = [own.votes(*v, np.arange(*span))[:2] if len(v[0]) else (own.share, own.free)
+                    for v, span in zip(counted_terms(texts, own.table, size), spans)]
+            return [pa.array([m[i] for m in made], pa.float64()) for i in (0, 1)]
+
+        return work
+
+    # Two votes and a label for each example.
+    made = with_arrow(examples.repartition(VOTERS, "doc_id"), ["text", "doc_id"], fields(first="double", second="double"),
+                      voting).select("doc_id", "first", "second", "toxic").toArrow().sort_by("doc_id")
+    model.fit(*(made[c].to_numpy() for c in ("first", "second", "toxic")))
+    return model
 
 
 def scored(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`df` with score (0 to 1), predicted (0 or 1) and evidence, the nearest examples and their cosines."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
     def prepare():
-        model = shared.value
+        search = model.shared.value
 
         def work(column: pa.Array) -> list[pa.Array]:
-            made = [model.score(*v) for v in vectors(column, model.table, model.idf)]
+            made = [model.score(*v) for v in counted_terms(pc.fill_null(column, ""), search.table, len(search.idf))]
             near = [[{"example": i, "cosine": c} for i, c in zip(ids, cosines)] for _, ids, cosines in made]
             return [pa.array([m[0] for m in made], pa.float64()),
                     pa.array([int(m[0] >= 0.5) for m in made], pa.int32()),
