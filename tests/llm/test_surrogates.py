@@ -67,3 +67,18 @@ def test_odd_rows(odd_rows):
 def test_no_python_in_the_plan(documents):
     plan = surrogates.pseudonymised(documents, "k")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_no_number_of_names_or_short_addresses_is_too_many(text_spark):
+    """More family names than three syllables have values, and all addresses of one letter each."""
+    names = [("name:family", f"family{i}") for i in range(4500)]
+    mails = [("email", f"{a}@{b}.co") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    frame = text_spark.createDataFrame(names + mails, "kind string, value string")
+    found = [(r.kind, r.surrogate) for r in surrogates.surrogates(frame, "k").collect()]
+    assert len(set(found)) == len(names + mails) == len(found)
+    assert not set(found) & set(mails) and all(s.endswith("sen" if k != "email" else ".co") for k, s in found)
+    text = " ".join(m for _, m in mails) + " A@B.CO"
+    docs = text_spark.createDataFrame([(1, text)], "doc_id long, text string")
+    put = surrogates.pseudonymised(docs, "k").first().text.split()
+    assert len(set(put[:-1])) == len(mails) and put[-1] == put[1].upper() and not set(put) & set(text.split())
+    assert all(p.endswith(".co") and p.count("@") == 1 for p in put[:-1])

@@ -7,14 +7,16 @@
    script and case, separators stay; addresses stay addresses, card numbers keep a valid check digit,
    given names keep the gender that the form of address tells.
 3. Surrogates that equal another entity's surrogate, or any entity that was found, are drawn again
-   until none does. So different entities stay different, and one entity has the same surrogate in
+   until none does. Names get a syllable more every second draw and mail addresses a letter more every
+   fourth, so that there are enough for any number of entities. So different entities stay different, and one entity has the same surrogate in
    all texts.
 4. The mentions are put back in the layout of the original.
 
 Everything here is DataFrame functions; texts without entities pass through unchanged.
 
 Defined results: null texts stay null, empty ones empty; repeated rows get the same text; names in a
-script without a table get letters of the Latin one; a type whose possible values are used up raises.
+script without a table get letters of the Latin one; a type of fixed format, made of digits or letters one
+for one, raises where its possible values are used up.
 """
 
 from __future__ import annotations
@@ -143,15 +145,20 @@ def _checked(value: Column, drawn: Column) -> Column:
     return F.when(_luhn_sum(value, 0) % 10 == 0, F.concat(body, digit.cast("string"))).otherwise(drawn)
 
 
-def _name(kind: Column, script: Column, stream: Column) -> Column:
-    """Three syllables of the script and the ending of the gender."""
+def _name(kind: Column, script: Column, stream: Column, draw: Column) -> Column:
+    """Three syllables of the script, one more every second draw, and the ending of the gender."""
+    syllables = F.sequence(F.lit(0), (2 + F.floor(draw / 2)).cast("int"))
+
     def made(name: str) -> Column:
         table = F.array(*map(F.lit, SYLLABLES[name]))
         role = F.substring_index(kind, ":", -1)
         ending = F.lit("")
         for gender, text in ENDINGS[name].items():
             ending = F.when(role == gender, text).otherwise(ending)
-        return F.concat(*[F.element_at(table, _number(stream, 8 * i) % 16 + 1) for i in range(3)], ending)
+        # One digit of the stream for each syllable; 64 draws need 34.
+        drawn = F.transform(syllables, lambda i: F.element_at(
+            table, _number(stream, F.when(i < 3, i * 8 + 3).otherwise(i + 21), 1) + 1))
+        return F.concat(F.array_join(drawn, ""), ending)
 
     return F.when(script == "cyrillic", made("cyrillic")).when(script == "greek", made("greek")).otherwise(made("latin"))
 
@@ -162,13 +169,16 @@ def _drawn(key: str) -> Column:
     stream = _stream(key, kind, draw.cast("string"), value)
     plain = _characters(value, key, kind, draw)
     top = F.substring_index(value, ".", -1)
+    more = F.array_join(F.transform(
+        F.slice(F.sequence(F.lit(0), F.lit(MOST_DRAWS // 4)), F.lit(1), F.floor(draw / 4).cast("int")),
+        lambda i: _letter(_LETTERS["latin"], _number(stream, i * 4))), "")
     return (
         F.when(kind == "ipv4", _address(value, stream))
         # The last label of a mail address, the country of an account and of a phone stay.
-        .when(kind == "email", F.concat(F.substring(plain, F.lit(1), F.char_length(value) - F.char_length(top)), top))
+        .when(kind == "email", F.concat(more, F.substring(plain, F.lit(1), F.char_length(value) - F.char_length(top)), top))
         .when(kind == "iban", F.concat(F.substring(value, 1, 2), F.substring(plain, F.lit(3), F.char_length(value))))
         .when(kind == "number", _checked(value, plain))
-        .when(kind.startswith("name:"), _name(kind, _script(value), stream))
+        .when(kind.startswith("name:"), _name(kind, _script(value), stream, draw))
         .otherwise(plain)
     )
 
@@ -194,6 +204,11 @@ def _parts(mention: Column, kind: Column) -> Column:
 def _laid_out(mention: Column, kind: Column, made: Column) -> Column:
     """Surrogates in the layout of the mention: its separators, its case, its country code."""
     first = F.get(made, 0)
+    # A mail address that was drawn often is longer than its mention.
+    longer = F.when(kind == "email", F.greatest(F.char_length(first) - F.char_length(mention), F.lit(0))).otherwise(0)
+    head = F.substring(first, F.lit(1), longer)
+    head = F.when(mention == F.lower(mention), head).when(mention == F.upper(mention), F.upper(head)).otherwise(head)
+    first = F.when(longer > 0, F.substring(first, longer + 1, F.char_length(mention))).otherwise(first)
 
     def spread(pattern: str) -> Column:
         """The characters of the surrogate at the places of the mention that match."""
@@ -217,8 +232,9 @@ def _laid_out(mention: Column, kind: Column, made: Column) -> Column:
         F.when(kind == "name", F.concat(title, F.array_join(cased, " ")))
         .when(kind == "secret", F.concat(F.regexp_extract(mention, _SECRET_HEAD, 0), secret, F.substring(mention, -1, 1)))
         .when(kind == "ipv4", first)
+        .when(kind == "email", F.concat(head, spread(r".")))
         .when(kind == "phone", F.concat(code, F.substring(separated, F.char_length(code) + 1, F.char_length(mention))))
-        .when(kind.isin("email", "hex", "mac", "ipv6"), spread(r"."))
+        .when(kind.isin("hex", "mac", "ipv6"), spread(r"."))
         .otherwise(separated)
     )
 
