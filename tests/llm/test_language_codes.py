@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillstream.llm import language_codes, queries
@@ -40,3 +41,14 @@ def test_odd_rows(text_spark):
     one = language_codes.languages(docs.where("doc_id = 1")).first()
     assert (one.lang_pred, one.score) == ("en", 1.0)
     assert language_codes.languages(docs.limit(0)).count() == 0
+
+
+def test_neighbours_do_not_matter():
+    """The n-grams and margins of a text are the same alone and within any batch."""
+    rng = np.random.default_rng(5)
+    model = language_codes.Model(["a", "b", "c"], rng.integers(0, 50, (3, language_codes.BUCKETS)))
+    texts = ["one", "", "zwei", "trois mots", "é", None, "x" * 50, "one"]
+    batch = model.margins(pa.array([t or "" for t in texts]))
+    for i, t in enumerate(texts):
+        assert np.allclose(batch[i], model.margins(pa.array([t or ""]))[0], rtol=0, atol=1e-9)
+    assert (batch[0] == batch[-1]).all() and (batch[0] == model.margins(pa.array(["one", "other"]))[0]).all()

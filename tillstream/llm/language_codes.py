@@ -42,15 +42,17 @@ for _b in [*range(97, 123), *range(128, 256)]:
 def grams(column: pa.Array) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
     """(first row, row bounds, bucket of the n-gram that begins at each byte, for each order) of chunks.
 
-    Anything but letters counts as a blank, of which one stands between rows as well.
+    Anything but letters counts as a blank, and so many stand between rows that no n-gram reaches the next.
     """
     lower = pc.utf8_lower(column.cast(pa.large_string()))
     for first, _, data, bounds in chunks(lower):
-        letters = _LETTER[data].astype(np.uint64)
-        padded = np.append(letters, np.zeros(max(ORDERS), np.uint64))
-        code, found = np.zeros(len(letters), np.uint64), []
+        gap = max(ORDERS) - 1
+        place = np.arange(len(data)) + np.repeat(np.arange(len(bounds) - 1) * gap, np.diff(bounds))
+        padded = np.zeros(len(data) + (len(bounds) - 1) * gap, np.uint64)
+        padded[place] = _LETTER[data]
+        code, found = np.zeros(len(data), np.uint64), []
         for n in range(max(ORDERS)):
-            code = code << np.uint64(8) | padded[n:n + len(letters)]
+            code = code << np.uint64(8) | padded[place + n]
             if n + 1 in ORDERS:
                 found.append((mix(code + np.uint64((n + 1) << 40)) % np.uint64(BUCKETS)).astype(np.int64))
         yield first, bounds, found
