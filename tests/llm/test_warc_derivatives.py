@@ -68,3 +68,14 @@ def test_records_round_trip_and_odd_rows(text_spark):
     clash = text_spark.createDataFrame([(1, b"junk", 5)], "headers int, record binary, page int")
     assert warc.derivatives(clash).columns[0] == "page" and warc.derivatives(clash).count() == 0
     assert warc.derivatives(clash.limit(0)).count() == 0
+
+
+def test_elements_without_end_tags_hide_no_text():
+    page = "<html><head><meta charset=x><title>T</title><style>s</style>{}<p>one</p><p>two</p>"
+    for end in ("", "<body>", "</head><body>", "<!-- c --><body class=b>", "<link rel=a>"):
+        assert warc.readable(page.format(end)) == "one\ntwo", end
+    for name in ("svg", "noscript", "template"):
+        assert warc.readable(f"<p>a</p><{name} x=1><p>b</p><{name}>c") == "a\nb\nc"
+        assert warc.readable(f"<p>a</p><{name}>x</{name}><p>b</p>") == "a\nb"
+    assert warc.readable("a<svg/>b<svg>x</svg>c") == "a b c"
+    assert warc.readable("<p>a</p><script>b<p>c</p>") == "a"

@@ -29,7 +29,12 @@ DERIVED = ("array<struct<warc_type: string, record_id: string, refers_to: string
            "headers: map<string, string>, block: binary>>")
 _NAMES = re.findall(r"(\w+):", DERIVED.partition("struct<")[2])
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|head)\b.*?(?:</\1\s*>|$)", re.S | re.I)
+_OPEN = re.compile(r"<!--|<(script|style|noscript|template|svg|head)(?=[\s/>]|$)[^>]*>?", re.I)
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "svg")}
+# What can stand in a head; whatever else comes ends it.
+_IN_HEAD = re.compile(
+    r"\s+|<!--.*?-->|<(script|style|noscript|template|title|noframes)(?=[\s/>]).*?</\1\s*>"
+    r"|<(?:meta|link|base|basefont|bgsound)(?=[\s/>])[^>]*>|</head\s*>", re.S | re.I)
 _BLOCK = re.compile(
     r"<(?:/?(?:p|div|h[1-6]|ul|ol|li|dl|dt|dd|table|tr|article|section|header|footer|nav|aside|main|blockquote|pre"
     r"|form|figure|figcaption|address|hr)|br)\b[^>]*>", re.I)
@@ -74,9 +79,39 @@ def parsed(record: bytes) -> tuple[dict[str, str], bytes] | None:
     return headers, rest[:int(length)]
 
 
+def _visible(page: str) -> str:
+    """The page without its head, comments, scripts and other elements that are not shown.
+
+    A head without an end tag ends at the first thing that can't stand in one. Of a noscript, template or
+    svg without one, only the tag goes; a script, style or comment without one goes on to the end, as
+    in HTML.
+    """
+    out, at, open_ended = [], 0, set()
+    while found := _OPEN.search(page, at):
+        out += [page[at:found.start()], " "]
+        name = (found[1] or "").lower()
+        at = found.end()
+        if not name:
+            end = page.find("-->", at)
+            at = end + 3 if end >= 0 else len(page)
+        elif name == "head":
+            last = ""
+            while not last.startswith("</") and (part := _IN_HEAD.match(page, at)):
+                last, at = part[0], part.end()
+        elif not (name == "svg" and found[0].endswith("/>")):
+            end = None if name in open_ended else _CLOSE[name].search(page, at)
+            if end:
+                at = end.end()
+            elif name in ("script", "style"):
+                at = len(page)
+            else:
+                open_ended.add(name)
+    return "".join(out) + page[at:]
+
+
 def readable(page: str) -> str:
     """The text of a page: one line for each block, no markup, runs of blanks as one."""
-    text = _HIDDEN.sub(" ", page)
+    text = _visible(page)
     text = _CELL.sub("\t", _BLOCK.sub("\n", _SPACES.sub(" ", text.replace("\n", " "))))
     lines = (_SPACES.sub(" ", line).strip() for line in html.unescape(_TAG.sub("", text)).split("\n"))
     return "\n".join(line for line in lines if line)
