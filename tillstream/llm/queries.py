@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (
-    bpe_codec, containment, language_codes, lattice, nearest_toxic, odd_sketches, surrogates, tiling, token_files,
-    warc_derivatives,
+    bpe_codec, containment, language_codes, lattice, nearest_toxic, odd_sketches, repeated_spans, surrogates, tiling,
+    token_files, warc_derivatives,
 )
 
 
@@ -68,6 +68,10 @@ def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_induced(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_spans.without_repeats(_table(spark, folder, "documents"))
+
+
 #: Rows and bytes that pass between the JVM and a Python worker at once; a document is never cut.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
            "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
@@ -113,6 +117,7 @@ _QUERIES = {
     "op8_odd_sketches": op8_odd_sketches,
     "op9_nearest_toxic": op9_nearest_toxic,
     "op10_lattice": op10_lattice,
+    "op11_induced": op11_induced,
 }
 
 
