@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (
-    bpe_codec, containment, language_codes, lattice, nearest_toxic, odd_sketches, repeated_spans, surrogates, tiling,
-    token_files, warc_derivatives,
+    bpe_codec, containment, language_codes, lattice, nearest_toxic, odd_sketches, repeated_spans, source_audit, surrogates,
+    tiling, token_files, warc_derivatives,
 )
 
 
@@ -72,6 +72,10 @@ def op11_induced(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_spans.without_repeats(_table(spark, folder, "documents"))
 
 
+def op13_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit(_table(spark, folder, "documents"))
+
+
 #: Rows and bytes that pass between the JVM and a Python worker at once; a document is never cut.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
            "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
@@ -118,12 +122,13 @@ _QUERIES = {
     "op9_nearest_toxic": op9_nearest_toxic,
     "op10_lattice": op10_lattice,
     "op11_induced": op11_induced,
+    "op13_sources": op13_sources,
 }
 
 
 def llm_oracles() -> dict[str, str]:
     """SQL where it can say the whole result in reasonable time; tests hold the others against plain versions."""
-    return {"op8_odd_sketches": _NEAR_DUPLICATES}
+    return {"op8_odd_sketches": _NEAR_DUPLICATES, "op13_sources": _SOURCES}
 
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -145,3 +150,25 @@ reached(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents UNION SELECT reached.doc_id, y FROM reached JOIN edge ON other = x)
 SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept
 FROM reached LEFT JOIN size USING (doc_id) GROUP BY doc_id"""
+
+_SOURCES = rf"""WITH own AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+word AS (SELECT doc, lang, source, unnest(w) AS term FROM own),
+kept AS (SELECT lang, term, count(*) AS total FROM word GROUP BY ALL HAVING count(DISTINCT doc) >= 10),
+duo AS (SELECT DISTINCT lang, source FROM own),
+had AS (SELECT lang, source, term, count(*) AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+every AS (SELECT duo.lang, duo.source, term, total, coalesce(n, 0) AS n FROM duo JOIN kept USING (lang)
+  LEFT JOIN had USING (lang, source, term)),
+share AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p,
+  1 + (1000000000::HUGEINT * (total + 2)) // (sum(total) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS q FROM every),
+near AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM duo a JOIN duo b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN near ON near.lang = a.lang AND near.source = a.source AND near.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM share WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
