@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (
     bpe_codec, containment, language_codes, lattice, nearest_toxic, odd_sketches, repeated_spans, source_audit, surrogates,
-    tiling, token_files, warc_derivatives,
+    tiling, token_alignment, token_files, warc_derivatives,
 )
 
 
@@ -72,6 +72,11 @@ def op11_induced(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_spans.without_repeats(_table(spark, folder, "documents"))
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.aligned(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                   public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_sources(spark: SparkSession, folder: str) -> DataFrame:
     return source_audit.audit(_table(spark, folder, "documents"))
 
@@ -122,6 +127,7 @@ _QUERIES = {
     "op9_nearest_toxic": op9_nearest_toxic,
     "op10_lattice": op10_lattice,
     "op11_induced": op11_induced,
+    "op12_alignment": op12_alignment,
     "op13_sources": op13_sources,
 }
 

@@ -38,25 +38,31 @@ GROUP = 1 << 20
 
 
 class Encoder:
-    """Whole texts to ids with a tokenizers file; pre-tokens that were seen are not encoded again."""
+    """Whole texts to ids with a tokenizers file; pre-tokens that were seen are not encoded again.
 
-    def __init__(self, path: str):
+    A string of a special token is its id, as the library has it by default, or with `plain` ordinary text."""
+
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = plain
+        self.special = [] if plain else [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.wide = self.library.get_vocab_size() > 1 << 16
         self.pre_tokens = PreTokenEncoder(self._encode)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _settled(self, text: str) -> bool:
+        return (not text or text.isascii() or max(text) < SETTLED) and not any(s in text for s in self.special)
+
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids and the bounds of each text's. Texts with rarer characters go to the library whole."""
-        if all(not t or t.isascii() or max(t) < SETTLED for t in texts):
+        """All ids and the bounds of each text's. Texts with rarer characters or special tokens go to the library whole."""
+        plain = list(map(self._settled, texts))
+        if all(plain):
             return self.pre_tokens.texts(texts)
-        plain = [not t or t.isascii() or max(t) < SETTLED for t in texts]
         ids, bounds = self.pre_tokens.texts([t for t, p in zip(texts, plain) if p])
         rare = iter(self._encode([t for t, p in zip(texts, plain) if not p]))
         known = iter(np.split(ids, bounds[1:-1])) if any(plain) else iter(())
