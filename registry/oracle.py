@@ -508,6 +508,12 @@ FROM (SELECT *, category <> 'ECONOMY' AS known,
       FROM status LEFT JOIN (SELECT product_id, {big('sum(sold_quantity)')} AS s, count(*) AS n
         FROM movements GROUP BY product_id) USING (product_id))
 WHERE known OR s IS NOT NULL""", "status", "movements")
+    q["running_stock_levels"] = sql(f"""SELECT product_id, product_name, category,
+  greatest(current_stock - s, 0) AS current_stock, reserved_stock, greatest(current_stock - s, 0) AS available_stock,
+  {ts('newest')} AS last_updated
+FROM status JOIN (SELECT product_id, {big('sum(sold_quantity)')} AS s, max(window_start) AS newest
+  FROM movements GROUP BY product_id) USING (product_id)""", "status", "movements")
+    q["running_stock_alerts"] = sql(f"SELECT {_ALERT} FROM stock_alerts", "stock_alerts")
     q["low_stock_alerts"] = sql(f"SELECT {_ALERT} FROM stock_alerts", "stock_alerts")
     q["low_stock_alerts_repeated"] = sql(f"SELECT {_ALERT} FROM levels WHERE available < 300", "levels")
     q["alerts_of_new_products"] = sql(f"""SELECT product_id,

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tillstream.functions.exact import as_number
 from tillstream.operators import (
-    alerts, anomalies, categories, inventory, metrics, quality, ranking, rfm, sessions, trends,
+    alerts, anomalies, categories, inventory, metrics, quality, ranking, rfm, running_stock, sessions, trends,
     warehouse,
 )
 from tillstream.plans import serving
-from tillstream.settings import AlertRules, AnomalyRules, SalesWindows
+from tillstream.settings import AlertRules, AnomalyRules, SalesWindows, StockRules
 from tillstream.sources import events as event_source
 from tillstream.sources.given import GivenTables
 
@@ -114,6 +114,11 @@ class Retail:
     def movements(self) -> DataFrame:
         return inventory.stock_movements(self.given.order_lines(), "1 day")
 
+    @property
+    def kept_stock(self) -> DataFrame:
+        rules = StockRules(initial=2000, threshold=STOCK_THRESHOLD, window="1 day")
+        return running_stock.running_stock(self.given.order_lines(), self.status, rules)
+
     @cached_property
     def cart(self) -> DataFrame:
         return self.given.cart_events()
@@ -343,6 +348,17 @@ _queries(
 )
 
 
+@query
+def running_stock_levels(r: Retail) -> DataFrame:
+    """What the stock-keeping stream ends with over all lines, from one state per product."""
+    return running_stock.levels(r.kept_stock)
+
+
+@query
+def running_stock_alerts(r: Retail) -> DataFrame:
+    return running_stock.alerts(r.kept_stock)
+
+
 @query
 def stock_of_new_products(r: Retail) -> DataFrame:
     """Products unknown to the stock table are opened at the initial level."""

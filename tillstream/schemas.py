@@ -152,6 +152,8 @@ GIVEN = {
     ),
 }
 TABLES["inventory_openings"] = TABLES["inventory_status"]
+TABLES["stock_levels"] = TABLES["inventory_status"]
+TABLES["stock_alerts"] = TABLES["low_stock_alerts"]
 TABLES["rapid_anomalies"] = TABLES["transaction_anomalies"]
 TABLES["view_metrics"] = _struct(
     window_start=TIMESTAMP, window_end=TIMESTAMP, category=STRING, views=LONG,

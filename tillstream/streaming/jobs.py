@@ -10,7 +10,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillstream.operators import anomalies, inventory, metrics, sessions
+from tillstream.operators import anomalies, inventory, metrics, running_stock, sessions
 from tillstream.operators.ranking import latest_per_key
 from tillstream.settings import AnomalyRules, SalesWindows, SessionRules, StockRules
 from tillstream.sources.events import (
@@ -75,6 +75,27 @@ def track_inventory(
     return queries
 
 
+def keep_stock(
+    raw: DataFrame, store: TableStore, checkpoints: str, *, rules: StockRules = StockRules(), **pace,
+) -> list:
+    """Stock levels and low-stock alerts kept by the stream itself, from the stock stored when it first starts.
+
+    Levels go to `stock_levels` in update mode, one row a micro-batch for each product that moved; alerts go to
+    `stock_alerts`, once a crossing. `kept_levels` has the newest level of every product.
+    """
+    lines = product_lines(parse_transactions(raw).events)
+    changes = running_stock.running_stock(lines, store.read("inventory_status"), rules)
+    write = sinks.fan_out({"stock_levels": running_stock.levels, "stock_alerts": running_stock.alerts}, store)
+    return [sinks.start(changes, write, "running_stock", checkpoints, mode="update", **pace)]
+
+
+def kept_levels(store: TableStore) -> DataFrame:
+    """Stock of all products, those that didn't move included."""
+    moved = store.current("stock_levels", ["product_id"])
+    still = store.read("inventory_status").join(moved.select("product_id"), "product_id", "left_anti")
+    return moved.unionByName(still)
+
+
 def anomalies_now(store: TableStore) -> DataFrame:
     """Anomalies of all kinds."""
     return store.read("transaction_anomalies").unionByName(store.read("rapid_anomalies"))
