@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from tillstream.session import stage
 
 
 def with_arrow(df: DataFrame, inputs: list[str], outputs: T.StructType,
@@ -35,3 +37,30 @@ def with_arrow(df: DataFrame, inputs: list[str], outputs: T.StructType,
 def fields(**kinds: str) -> T.StructType:
     """A struct type from names and simple type names."""
     return T.StructType([T.StructField(k, T._parse_datatype_string(v)) for k, v in kinds.items()])
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, with underscores until no column has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def with_row_keys(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
+    """`df` with a number that tells apart rows without an id, and different texts under one id; and its name.
+
+    It is the id itself wherever that does, else a 64-bit hash of id and text, so equal rows share it.
+    """
+    key = unused(df, "row_key")
+    of_text = F.xxhash64(text)
+    shared = stage(df.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("shared_id")).agg(
+        F.min(of_text).alias("low"), F.max(of_text).alias("high")).where("low <> high").select("shared_id"), "shared-ids")
+    if shared.isEmpty():
+        several = F.col(doc_id).isNull()
+        keyed = df
+    else:
+        shared = shared.withColumnRenamed("shared_id", unused(df, "shared_id"))
+        keyed = df.join(shared, df[doc_id] == shared[shared.columns[0]], "left")
+        several = F.col(doc_id).isNull() | shared[shared.columns[0]].isNotNull()
+    made = F.when(several, F.xxhash64(doc_id, text, F.lit("row"))).otherwise(F.col(doc_id).cast("long"))
+    return keyed.withColumn(key, made).select(*df.columns, key), key

@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillstream.llm.columns import fields, with_arrow
+from tillstream.llm.columns import fields, unused, with_arrow
 from tillstream.llm.segments import ALPHANUMERIC, chunks, gather, lowered, mix, span_hashes, words
 from tillstream.session import stage
 
@@ -430,10 +430,17 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def not_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted to be toxic."""
+    """The documents that are not predicted to be toxic; all columns pass through, whatever their names."""
     model = fit(docs, labels.where(~held_out()))
-    taken = {c.lower() for c in docs.columns}
-    flags = [c for c in ("score", "predicted", "evidence") if c in taken]
-    if flags:
-        raise ValueError(f"rename {flags} first")
-    return scored(docs, model).where("predicted = 0").select(docs.columns)
+    flag = unused(docs, "is_toxic")
+
+    def prepare():
+        search = model.shared.value
+
+        def work(column: pa.Array) -> list[pa.Array]:
+            made = counted_terms(pc.fill_null(column, ""), search.table, len(search.idf))
+            return [pa.array([model.score(*v)[0] >= 0.5 for v in made], pa.bool_())]
+
+        return work
+
+    return with_arrow(docs, ["text"], fields(**{flag: "boolean"}), prepare).where(~F.col(flag)).select(docs.columns)

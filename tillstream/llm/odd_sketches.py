@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillstream.llm.columns import fields, with_arrow
+from tillstream.llm.columns import fields, with_arrow, with_row_keys
 from tillstream.llm.components import components
 from tillstream.llm.segments import mix
 from tillstream.llm.shingles import shingle_sets
@@ -247,6 +247,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """The documents that `near_duplicates` keeps, each id once."""
-    kept = near_duplicates(docs, size, percent).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """The documents that `near_duplicates` keeps, each row once.
+
+    Rows without an id, and different texts under one id, are documents of their own. An empty table gives
+    an empty one; all columns pass through, whatever their names.
+    """
+    keyed, key = with_row_keys(docs)
+    rows = keyed.select(F.col(key).alias("doc_id"), "text")
+    kept = near_duplicates(rows, size, percent).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(docs.columns)

@@ -263,8 +263,12 @@ def surrogates(values: DataFrame, key: str) -> DataFrame:
     raise ValueError(f"collisions remain after {MOST_DRAWS} draws: too few possible values for a type")
 
 
-def pseudonymised(docs: DataFrame, key: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """`docs` with `text` rewritten, and `n_replaced`, the number of mentions in it."""
+def pseudonymised(docs: DataFrame, key: str, text: str = "text", doc_id: str = "doc_id",
+                  count: str | None = "n_replaced") -> DataFrame:
+    """`docs` with `text` rewritten, and a column `count` with the number of mentions in it (None: no such column).
+
+    A column of `docs` that has this name is replaced; an empty table gives an empty one.
+    """
     place = [F.coalesce(doc_id, F.lit(0)).alias("__row"), F.xxhash64(text).alias("__hash")]
     mentions = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     found = stage(
@@ -290,5 +294,5 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", doc_id: str = "
     has = F.col("__map").isNotNull()
     return joined.select(
         *[F.when(has, F.array_join(filled, "")).otherwise(F.col(c)).alias(c) if c.lower() == text.lower() else F.col(c)
-          for c in docs.columns],
-        F.when(has, F.size(mentions)).otherwise(0).cast("long").alias("n_replaced"))
+          for c in docs.columns if count is None or c.lower() != count.lower()],
+        *([] if count is None else [F.when(has, F.size(mentions)).otherwise(0).cast("long").alias(count)]))

@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from tillstream.llm.columns import with_row_keys
 from tillstream.llm.segments import ALPHANUMERIC, chunks
 from tillstream.llm.shingles import shingle_hashes, word_hashes
 
@@ -189,6 +190,12 @@ def matched(docs: DataFrame, benchmark: DataFrame, share: float = COVERAGE) -> D
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, share: float = COVERAGE) -> DataFrame:
-    """The documents that hold no item; a document without an id is judged by no id and stays."""
-    leaks = matched(docs, benchmark, share).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    """The documents that hold no item.
+
+    Rows without an id, and different texts under one id, are judged on their own. Empty tables give all
+    documents back, or none; all columns pass through, whatever their names.
+    """
+    keyed, key = with_row_keys(docs)
+    rows = keyed.select(F.col(key).alias("doc_id"), "text")
+    leaks = matched(rows, benchmark, share).select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(leaks, key, "left_anti").select(docs.columns)
