@@ -39,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by surrogates; n_chars, where there is one, follows the text."""
-    changed = surrogates.pseudonymised(docs, key="key of the given tables").select(docs.columns)
+    changed = surrogates.pseudonymised(docs, key="key of the given tables", count=None)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return changed
