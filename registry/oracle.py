@@ -543,6 +543,7 @@ WHERE available_stock > 0 AND """
     q["low_stock_check_all"] = sql(check + "available_stock < 400", "status")
     q["unsent_low_stock"] = sql(check + """available_stock < 400 AND category <> 'PROMO'
 ORDER BY available_stock, product_id LIMIT 1000""", "status")
+    q["alerts_due"] = sql(check + "available_stock < 400 AND available_stock > 0 AND category <> 'PROMO'", "status")
     q["stock_page"] = sql(f"""SELECT {_STOCK} FROM status WHERE available_stock < 500
 ORDER BY available_stock, product_id LIMIT 100 OFFSET 20""", "status")
     q["stock_labels"] = sql("""SELECT substring(product_name, 1, 20) AS label, available_stock, product_id

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -15,7 +16,9 @@ from tillstream.operators import (
 from tillstream.plans import serving
 from tillstream.settings import AlertRules, AnomalyRules, SalesWindows, StockRules
 from tillstream.sources import events as event_source
+from tillstream.session import staging_root
 from tillstream.sources.given import GivenTables
+from tillstream.sources.tables import TableStore
 
 LOADED_AT = "2025-01-01 00:00:00"
 # The given orders and events have other ranges than the defaults were made for.
@@ -382,6 +385,21 @@ def unsent_low_stock(r: Retail) -> DataFrame:
         r.status, AlertRules(low_stock=400, critical_stock=50), limit=1000, sent=sent)
 
 
+@query
+def alerts_due(r: Retail) -> DataFrame:
+    """Low-stock alerts against a stored ledger: promotional products were reported half an hour ago, large ones
+    three hours ago."""
+    keys = r.status.select("product_id", "category", F.concat_ws(
+        "_", F.lit("low_stock"), "product_id", F.col("available_stock").cast("string")).alias("alert_key"))
+    ledger = TableStore(r.given.spark, f"{staging_root(r.given.spark)}/ledger-{uuid.uuid4().hex}")
+    at = F.lit(LOADED_AT).cast("timestamp")
+    for number, (category, age) in enumerate({"LARGE": "3 HOURS", "PROMO": "30 MINUTES"}.items()):
+        ledger.put_batch("sent_alerts", keys.filter(F.col("category") == category).withColumn(
+            "sent_at", at - F.expr(f"INTERVAL {age}")), number)
+    found = alerts.low_stock_check(r.status, AlertRules(low_stock=400, critical_stock=50))
+    return alerts.due(found, ledger.changes("sent_alerts"), LOADED_AT)
+
+
 # Sessions ------------------------------------------------------------------------------------------
 
 

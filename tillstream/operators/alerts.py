@@ -87,6 +87,17 @@ def suppress_sent(alerts: DataFrame, sent: DataFrame) -> DataFrame:
     return alerts.join(sent.select("alert_key"), "alert_key", "left_anti")
 
 
+def due(alerts: DataFrame, ledger: DataFrame, at, rules: AlertRules = RULES) -> DataFrame:
+    """Alerts whose key was not sent within `repeat_after` before `at`.
+
+    The ledger is reduced to that span before the join; its time filter reaches the scan. A null key is never
+    known as sent; of alerts with one key all pass or none.
+    """
+    now = as_timestamp(at)
+    recent = ledger.filter((F.col("sent_at") > now - F.expr(f"INTERVAL {rules.repeat_after}")) & (F.col("sent_at") <= now))
+    return suppress_sent(alerts, recent)
+
+
 def suppress_repeats(alerts: DataFrame, at: str, rules: AlertRules = RULES) -> DataFrame:
     """Streaming form: an alert key passes once per `repeat_after`."""
     return alerts.withWatermark(at, rules.repeat_after).dropDuplicatesWithinWatermark(["alert_key"])
