@@ -1,8 +1,8 @@
 """How sources of a language differ in their words: terms counted through distinct chunks of text.
 
-1. A chunk is a run of bytes other than white space (0x20, 0x09 to 0x0D). Each document's chunks are sorted
-   within its row, so that documents and occurrences of (language, source, chunk) are sums, made in
-   partial aggregates; a frequent chunk reaches its reducer as a row for each task and group.
+1. A chunk is a run of bytes other than white space (0x20, 0x09 to 0x0D). A document is in one task, so documents and
+   occurrences of (language, source, chunk) are counted there in sorted arrays and then summed; a frequent
+   chunk reaches its reducer as a row for each task and group.
 2. Every chunk that the collection holds is cut into terms once: runs of characters other than ASCII ones that
    aren't letters, only A-Z lower-cased. No term crosses white space. The terms are joined back to the groups' chunks.
 3. A document that has a term in several chunks counts once. The sum over chunks is the most, the largest chunk's
@@ -23,16 +23,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillstream.llm.hash_map import hash_map, in_map
-from tillstream.llm.segments import chunks, span_hashes, words
+from tillstream.llm.segments import chunks, gather, mix, span_hashes, words
 from tillstream.session import stage
 
 LEAST, TOP = 10, 10
+#: Bytes of text whose chunks a task counts at once; a longer text is counted alone.
+GROUP = 1 << 24
+_GROUP_SALT = np.uint64(0x9FB21C651E98DF25)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-_SPACE = r"[\x20\x09-\x0D]+"
 
 
 def terms_of(chunk: Column) -> Column:
@@ -45,13 +48,58 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def chunk_counts(texts: DataFrame) -> DataFrame:
-    """lang, source, chunk, documents, occurrences."""
-    marked = F.expr("transform(chunks, (x, i) -> struct(x AS chunk, i = 0 OR chunks[i - 1] <> x AS first))")
-    each = texts.select("lang", "source", F.sort_array(F.split("text", _SPACE)).alias("chunks")).select(
-        "lang", "source", F.inline(marked)).where("chunk <> ''")
-    return each.groupBy("lang", "source", "chunk").agg(
-        F.count_if("first").alias("documents"), F.count("*").alias("occurrences"))
+    """lang, source, chunk, documents, occurrences.
 
+    Chunks are counted in arrays, GROUP bytes of text at a time, before Spark adds the counts up."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column(2).nbytes
+            if size >= GROUP:
+                yield from _counted(pa.Table.from_batches(held))
+                held, size = [], 0
+        if held:
+            yield from _counted(pa.Table.from_batches(held))
+
+    return texts.select("lang", "source", "text").mapInArrow(
+        count, "lang string, source string, chunk string, documents long, occurrences long").groupBy(
+        "lang", "source", "chunk").agg(F.sum("documents").alias("documents"), F.sum("occurrences").alias("occurrences"))
+
+
+def _counted(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    langs, sources = (pc.dictionary_encode(rows[c].combine_chunks()) for c in ("lang", "source"))
+    group = langs.indices.to_numpy().astype(np.int64) * max(len(sources.dictionary), 1) + sources.indices.to_numpy()
+    for low, _, data, bounds in chunks(rows["text"].combine_chunks(), GROUP):
+        starts, ends, at = words(data, bounds)
+        if not len(starts):
+            continue
+        doc = low + np.repeat(np.arange(len(bounds) - 1), np.diff(at))
+        key = mix(span_hashes(data, starts, ends) + group[doc].astype(np.uint64) * _GROUP_SALT)
+        order = np.argsort(key, kind="stable")
+        starts, sizes, doc, key = starts[order], (ends - starts)[order], doc[order], key[order]
+        new = np.append(True, key[1:] != key[:-1])
+        first = np.flatnonzero(new)
+        like = first[np.cumsum(new) - 1]
+        if not (np.array_equal(sizes, sizes[like]) and np.array_equal(group[doc], group[doc[like]])
+                and np.array_equal(data[gather(starts, sizes)], data[gather(starts[like], sizes)])):
+            # Two chunks share a hash: tell all of them apart by their bytes.
+            exact: dict = {}
+            for g, a, n in zip(group[doc].tolist(), starts.tolist(), sizes.tolist()):
+                exact.setdefault((g, data[a:a + n].tobytes()), len(exact))
+            key = np.array([exact[g, data[a:a + n].tobytes()] for g, a, n in zip(group[doc].tolist(), starts.tolist(), sizes.tolist())])
+            order = np.lexsort((doc, key))
+            starts, sizes, doc, key = starts[order], sizes[order], doc[order], key[order]
+            new = np.append(True, key[1:] != key[:-1])
+            first = np.flatnonzero(new)
+        documents = np.add.reduceat((new | np.append(True, doc[1:] != doc[:-1])).astype(np.int64), first)
+        at = np.concatenate(([0], np.cumsum(sizes[first]))).astype(np.int32)
+        text = pa.StringArray.from_buffers(len(first), pa.py_buffer(at), pa.py_buffer(data[gather(starts[first], sizes[first])]))
+        row = pa.array(doc[first])
+        yield pa.RecordBatch.from_arrays(
+            [langs.take(row).dictionary_decode().cast(pa.string()), sources.take(row).dictionary_decode().cast(pa.string()), text,
+             pa.array(documents), pa.array(np.diff(np.append(first, len(key))))],
+            names=["lang", "source", "chunk", "documents", "occurrences"])
 
 
 def _by_document(texts: DataFrame, sought: DataFrame) -> DataFrame:
