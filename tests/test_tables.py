@@ -252,3 +252,30 @@ def test_json_is_parsed_once(spark):
     raw = spark.createDataFrame([("{}",)], "value string")
     plan = executed(events.parse_transactions(raw).events)
     assert plan.count("from_json") == 1
+
+
+def test_adhoc_guard_walks_the_plan(spark):
+    given = {"sales_rows": spark.range(3).withColumnRenamed("id", "x")}
+    spark.range(7).createOrReplaceTempView("hidden")
+    spark.range(9).createOrReplaceTempView("sales_rows")
+    refused = [
+        "SELECT 'CTE [hidden]' AS x, h.* FROM hidden h",
+        "SELECT 'UnresolvedRelation [sales_rows]' AS x, (SELECT max(id) FROM hidden) AS y",
+        "SELECT * FROM (WITH hidden AS (SELECT 1 AS id) SELECT * FROM hidden) t JOIN hidden USING (id)",
+        "SELECT x FROM sales_rows WHERE x IN (SELECT id FROM hidden)",
+        "SELECT x FROM sales_rows WHERE EXISTS (SELECT 1 FROM hidden)",
+        "SELECT * FROM sales_rows, LATERAL (SELECT id FROM hidden)",
+        "WITH a AS (SELECT * FROM hidden) SELECT * FROM a",
+        "SELECT java_method('java.lang.System', 'getProperty', 'user.name') AS p",
+        "SELECT x FROM sales_rows WHERE x = length(reflect('java.util.UUID', 'randomUUID'))",
+        "SELECT * FROM parquet.`/root/testdata/sf0.001/nation.parquet`",
+    ]
+    for text in refused:
+        with pytest.raises(PermissionError):
+            serving.run_sql(spark, text, given)
+    allowed = "WITH hidden AS (SELECT 5 AS id) SELECT count(*) AS n FROM sales_rows WHERE x < (SELECT max(id) FROM hidden)"
+    assert serving.run_sql(spark, allowed, given).first().n == 3
+    # The caller's own views are as they were.
+    assert spark.table("sales_rows").count() == 9 and spark.table("hidden").count() == 7
+    spark.catalog.dropTempView("hidden")
+    spark.catalog.dropTempView("sales_rows")

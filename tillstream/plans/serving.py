@@ -6,7 +6,6 @@ Limits here are features of the report (pages and top lists) and always follow a
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -484,35 +483,68 @@ def trends_of(trends: DataFrame, period_type: str = "monthly") -> DataFrame:
 def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Run one read-only statement over the given tables.
 
-    Only SELECT and WITH queries are accepted; Spark's own parser must find no command in them, and no
-    relation but the given tables and the query's own named parts: no files, no other tables. The views
-    of the given tables are gone afterwards.
+    Only SELECT and WITH queries are accepted; Spark's own parser must find no command in them, no function that calls
+    into the JVM, and no relation but the given tables and the query's own named parts where they can be
+    seen: no files, no other tables. A temporary view of the caller that has the name of a given table is back afterwards.
     """
     if not text or not text.strip():
         raise ValueError("a query is required")
     if text.strip().split(None, 1)[0].upper().rstrip("(") not in ("SELECT", "WITH"):
         raise PermissionError("only SELECT and WITH queries are allowed")
     tables = tables or {}
-    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
-    if _has_command(parsed):
-        raise PermissionError("only queries that read are allowed")
-    shown = parsed.toString()
-    known = {name.lower() for name in tables} | {
-        name.strip().lower() for names in re.findall(r"CTE \[([^\]]*)\]", shown) for name in names.split(",")}
-    for name in re.findall(r"UnresolvedRelation \[([^\]]*)\]", shown):
-        if name.strip().lower() not in known:
-            raise PermissionError(f"not one of the given tables: {name}")
+    _admit(spark._jsparkSession.sessionState().sqlParser().parsePlan(text), {name.lower() for name in tables})
+    own = {v.name.lower(): spark.table(v.name) for v in spark.catalog.listTables() if v.isTemporary}
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     try:
         return spark.sql(text)  # resolved here; the views are not needed to run it
     finally:
         for name in tables:
-            spark.catalog.dropTempView(name)
+            if name.lower() in own:
+                own[name.lower()].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
+
+
+#: Functions that call any method of the JVM.
+_CALLS_OUT = {"reflect", "java_method", "try_reflect"}
+
+
+#: Expressions that hold a query of their own.
+_WITH_PLAN = {"ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "FunctionTableSubqueryArgumentExpression"}
 
 
-def _has_command(plan) -> bool:
+def _each(sequence):
+    return (sequence.apply(i) for i in range(sequence.size()))
+
+
+def _admit(plan, known: set[str]) -> None:
+    """Raises PermissionError unless a parsed plan only reads relations in `known` and its own named parts."""
+    kind = plan.getClass().getSimpleName()
     if any(word in plan.getClass().getName() for word in ("Command", "InsertInto", "plans.logical.Merge")):
-        return True
-    children = plan.children()
-    return any(_has_command(children.apply(i)) for i in range(children.size()))
+        raise PermissionError("only queries that read are allowed")
+    if kind == "UnresolvedRelation":
+        name = plan.multipartIdentifier().mkString(".")
+        if name.lower() not in known:
+            raise PermissionError(f"not one of the given tables: {name}")
+    if kind == "UnresolvedWith":
+        known = set(known)
+        for part in _each(plan.cteRelations()):
+            # A part sees those before it; one that names itself is recursive or reads a given table.
+            _admit(part._2(), known | {part._1().lower()} if plan.allowRecursion() else known)
+            known.add(part._1().lower())
+    for expression in _each(plan.expressions()):
+        _admit_expression(expression, known)
+    for child in _each(plan.children()):
+        _admit(child, known)
+
+
+def _admit_expression(expression, known: set[str]) -> None:
+    if expression.getClass().getSimpleName() == "UnresolvedFunction":
+        if expression.nameParts().last().lower() in _CALLS_OUT:
+            raise PermissionError(f"not allowed: {expression.nameParts().last()}")
+    if expression.getClass().getSimpleName() in _WITH_PLAN:
+        _admit(expression.plan(), known)
+    for child in _each(expression.children()):
+        _admit_expression(child, known)
+
