@@ -557,6 +557,7 @@ FROM cart GROUP BY session_id, user_id, date_trunc('day', moment)""", "cart")
     q["session_windows"] = q["session_windows_native"] = sql(f"SELECT {_SESSION} FROM sessions", "sessions")
     upsert = TABLES["upserted"][1].replace("FROM sessions", "FROM fixed_sessions")
     q["session_upsert"] = sql(f"SELECT {_SESSION} FROM ({upsert})", "fixed_sessions")
+    q["session_upsert_compacted"] = q["session_upsert"]
     q["cart_abandonment"] = sql(f"""SELECT session_id, user_id, products_in_cart, cart_value,
   {ts('abandonment_time')} AS abandonment_time, time_in_cart_minutes FROM abandoned""", "abandoned")
     q["cart_contents"] = sql("SELECT * FROM cart_left", "cart_left")

@@ -16,9 +16,10 @@ from tillstream.operators import (
 from tillstream.plans import serving
 from tillstream.settings import AlertRules, AnomalyRules, SalesWindows, StockRules
 from tillstream.sources import events as event_source
-from tillstream.session import staging_root
+from tillstream.session import stage, staging_root
 from tillstream.sources.given import GivenTables
 from tillstream.sources.tables import TableStore
+from tillstream.streaming import jobs
 
 LOADED_AT = "2025-01-01 00:00:00"
 # The given orders and events have other ranges than the defaults were made for.
@@ -385,6 +386,21 @@ def unsent_low_stock(r: Retail) -> DataFrame:
         r.status, AlertRules(low_stock=400, critical_stock=50), limit=1000, sent=sent)
 
 
+@query
+def session_upsert_compacted(r: Retail) -> DataFrame:
+    """The upsert from a store whose first two of three batches were folded, bucket by bucket, into a base."""
+    store = TableStore(r.given.spark, f"{staging_root(r.given.spark)}/sessions-{uuid.uuid4().hex}")
+    found = stage(sessions.windowed_sessions(r.cart, "6 hours", unique_products=None), "session-rows")
+    first, last = found.agg(F.min("end_time"), F.max("end_time")).first()
+    cuts = [first + (last - first) * k / 3 for k in (1, 2)] if first else []
+    turn = sum((F.when(F.col("end_time") >= F.lit(cut), 1).otherwise(0) for cut in cuts), F.lit(0))
+    for number in range(3):
+        store.put_batch("session_metrics", found.filter(turn == number), number)
+        if number < 2:
+            jobs.compact_sessions(store)
+    return jobs.sessions_now(store).select(found.columns)
+
+
 @query
 def alerts_due(r: Retail) -> DataFrame:
     """Low-stock alerts against a stored ledger: promotional products were reported half an hour ago, large ones

@@ -10,6 +10,7 @@ from tillstream.operators.ranking import latest_per_key
 
 # The run of batches that no streaming query wrote.
 FIRST_RUN = "0"
+_LIST = "kind string, name string, n bigint"
 # Facts are laid out by day so that date filters prune folders.
 PARTITIONED_BY = {"fact_sales": ["date_id"], "fact_sessions": ["date_id"]}
 
@@ -88,9 +89,81 @@ class TableStore:
         """The highest batch id of a change log; reads one number."""
         return self.changes(name).agg(F.max("batch_id")).first()[0]
 
-    def current(self, name: str, keys: list[str], keep_first: list[str] = ()) -> DataFrame:
-        """The newest row per key; `keep_first` columns stay as first written (upsert on read)."""
-        return latest_per_key(self.changes(name), keys, "run", keep_first, tie=["batch_id"]).drop("run", "batch_id")
+    def current(self, name: str, keys: list[str], keep_first: list[str] = (), tie: tuple[str, ...] = ()) -> DataFrame:
+        """The newest row per key; `keep_first` columns stay as first written (upsert on read).
+
+        Rows go by run, batch and `tie`. After `compact` this reads the base and the batches behind it only.
+        """
+        base = self._base(name)
+        rows = self.changes(name) if base is None else self._rows_of_base(name, base).unionByName(self._behind(name, base))
+        return latest_per_key(rows, keys, "run", keep_first, tie=["batch_id", *tie]).drop("run", "batch_id")
+
+    # Compaction ------------------------------------------------------------------------------
+    #
+    # `<name>_base/rows/generation=<g>/bucket=<b>` holds current rows by a hash of their key. The list
+    # `<name>_base/list/generation=<g>` names, for each bucket, the generation that has its rows, and for each run
+    # the last batch that they include. The newest list counts; it is written last.
+
+    def compact(self, name: str, keys: list[str], keep_first: list[str] = (), tie: tuple[str, ...] = (),
+                buckets: int = 64) -> None:
+        """Fold the batches behind the base into it; only buckets that have new rows are rewritten.
+
+        A run's batches must come in order, and a run must have ended before a later one begins. After a crash
+        the next call starts over, as no list names what was half written. Earlier generations and
+        folded batches stay in place, for readers that still use them.
+        """
+        base = self._base(name)
+        buckets = buckets if base is None else base["buckets"]
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        fresh = (self.changes(name) if base is None else self._behind(name, base)).withColumn("bucket", bucket)
+        upto = {r.run: r.last for r in fresh.groupBy("run").agg(F.max("batch_id").alias("last")).collect()}
+        if not upto:
+            return
+        # No more than `buckets` numbers.
+        changed = [r.bucket for r in fresh.select("bucket").distinct().collect()]
+        generation = 0 if base is None else base["generation"] + 1
+        rows = fresh.drop("bucket")
+        if base is not None:
+            rows = self._rows_of_base(name, base, changed).unionByName(rows)
+        merged = latest_per_key(rows, keys, "run", keep_first, tie=["batch_id", *tie]).withColumn("bucket", bucket)
+        merged.repartition(min(buckets, len(changed)), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{self.path(name)}_base/rows/generation={generation}")
+        places = ({} if base is None else base["places"]) | {b: generation for b in changed}
+        covered = ({} if base is None else base["covered"]) | upto
+        listed = [("bucket", str(b), g) for b, g in places.items()] + [("run", run, last) for run, last in covered.items()]
+        self.spark.createDataFrame([*listed, ("buckets", "", buckets)], _LIST).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.path(name)}_base/list/generation={generation}")
+
+    def _base(self, name: str) -> dict | None:
+        """What the newest list says; a row for each bucket and run."""
+        if not self.exists(f"{name}_base/list"):
+            return None
+        lists = self.spark.read.schema(f"{_LIST}, generation bigint").parquet(f"{self.path(name)}_base/list")
+        newest = lists.agg(F.max("generation")).first()[0]
+        if newest is None:
+            return None
+        found = lists.filter(F.col("generation") == newest).collect()
+        return {"generation": newest, "buckets": next(r.n for r in found if r.kind == "buckets"),
+                "places": {int(r.name): r.n for r in found if r.kind == "bucket"},
+                "covered": {r.name: r.n for r in found if r.kind == "run"}}
+
+    def _rows_of_base(self, name: str, base: dict, buckets: list[int] | None = None) -> DataFrame:
+        """Rows of the base with run and batch, of all or some buckets; other folders are not read."""
+        root = f"{self.path(name)}_base/rows"
+        wanted = [b for b in base["places"] if buckets is None or b in buckets]
+        fields = [StructField("run", StringType()), StructField("batch_id", LongType())]
+        with_batch = StructType([*TABLES[name].fields, *fields])
+        if not wanted:
+            return self.spark.createDataFrame([], with_batch)
+        return self.spark.read.schema(with_batch).parquet(
+            *[f"{root}/generation={base['places'][b]}/bucket={b}" for b in wanted])
+
+    def _behind(self, name: str, base: dict) -> DataFrame:
+        """Batches that the base doesn't include; the filter is on folder names, so others are not read."""
+        folded = F.lit(False)
+        for run, last in base["covered"].items():
+            folded = folded | ((F.col("run") == run) & (F.col("batch_id") <= last))
+        return self.changes(name).filter(~folded)
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:

@@ -11,7 +11,6 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, functions as F
 
 from tillstream.operators import anomalies, inventory, metrics, running_stock, sessions
-from tillstream.operators.ranking import latest_per_key
 from tillstream.settings import AnomalyRules, SalesWindows, SessionRules, StockRules
 from tillstream.sources.events import (
     deduplicated, parse_cart_events, parse_product_views, parse_transactions, product_lines,
@@ -21,6 +20,10 @@ from tillstream.sources.tables import TableStore
 from tillstream.streaming import sinks
 
 
+#: How session rows replace earlier ones of the same id.
+SESSION_UPSERT = {"keys": ["session_id"], "keep_first": ["user_id", "start_time"], "tie": ("end_time",)}
+
+
 def monitor_transactions(
     raw: DataFrame, store: TableStore, checkpoints: str, *, rules: AnomalyRules = AnomalyRules(),
     windows: SalesWindows = SalesWindows(), debug: bool = False, once_within: str | None = None, **pace,
@@ -183,10 +186,12 @@ def analyze_sessions(
 
 def sessions_now(store: TableStore) -> DataFrame:
     """One row per session id; user and start time stay as first written."""
-    return latest_per_key(
-        store.changes("session_metrics"), ["session_id"], "run",
-        keep_first=["user_id", "start_time"], tie=["batch_id", "end_time"],
-    ).drop("run", "batch_id")
+    return store.current("session_metrics", **SESSION_UPSERT)
+
+
+def compact_sessions(store: TableStore) -> None:
+    """Fold the session rows written so far into the base that `sessions_now` starts from."""
+    store.compact("session_metrics", **SESSION_UPSERT)
 
 
 def abandonment_now(store: TableStore, rules: SessionRules = SessionRules()) -> DataFrame:
