@@ -1,10 +1,17 @@
-"""Upserts from a compacted log equal those from the whole log, also after a crash in the middle."""
+"""Compaction, and the ETL that follows the batches it has not seen.
+
+Upserts from a compacted log equal those from the whole log, also after a crash in the middle.
+"""
 
 import random
+from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 
 from tests.test_streaming import rows
+from tillstream import schemas
+from tillstream.plans import batch as batch_jobs
 from tillstream.sources.tables import TableStore
 
 LEVELS = "product_id string, product_name string, current_stock bigint"
@@ -81,3 +88,41 @@ def test_a_crash_before_the_list_changes_nothing(store, monkeypatch):
     store.compact("stock_levels", ["product_id"], ["product_name"])
     compacted, whole = views(store)
     assert compacted == whole
+
+
+def test_etl_rewrites_the_days_of_new_batches_only(spark, tmp_path):
+    source, target = TableStore(spark, str(tmp_path / "ops")), TableStore(spark, str(tmp_path / "wh"))
+    day = [datetime(2024, 1, d, 10) for d in range(1, 6)]
+
+    def sell(number, *sold):
+        source.put_batch("sales_metrics", spark.createDataFrame(
+            [(t, t + timedelta(minutes=1), "X", "UK", Decimal(a), 1, Decimal(a)) for t, a in sold],
+            schemas.TABLES["sales_metrics"]), number)
+
+    def visit(number, session, start, minutes):
+        source.put_batch("session_metrics", spark.createDataFrame(
+            [(session, "u", start, start + timedelta(minutes=minutes), minutes * 60, 0, 1, 0, False, False, None)],
+            schemas.TABLES["session_metrics"]), number)
+
+    def run(as_of):
+        return batch_jobs.run_etl_of_changes(source, target, as_of)
+
+    def loaded():
+        return {(r.date_time.day, str(r.total_amount), r.loaded_at.day) for r in target.read("fact_sales").collect()}
+
+    assert run(day[0]) == {"fact_sales": [], "fact_sessions": []}
+    sell(0, (day[0], "1.00"), (day[1], "2.00"))
+    visit(0, "s", day[1], 5)
+    found = run(datetime(2024, 2, 1))
+    assert [d.day for d in found["fact_sales"]] == [1, 2] and [d.day for d in found["fact_sessions"]] == [2]
+    sell(1, (day[3], "4.00"))
+    sell(2, (day[0] + timedelta(minutes=1), "9.00"))  # late, for an old day
+    visit(1, "s", day[1] + timedelta(minutes=3), 40)  # its start stays as first written
+    found = run(datetime(2024, 2, 2))
+    assert [d.day for d in found["fact_sales"]] == [1, 4] and [d.day for d in found["fact_sessions"]] == [2]
+    assert loaded() == {(1, "1.00", 2), (1, "9.00", 2), (2, "2.00", 1), (4, "4.00", 2)}
+    assert [(r.session_id, r.duration_seconds) for r in target.read("fact_sessions").collect()] == [("s", 2400)]
+    assert run(datetime(2024, 2, 3)) == {"fact_sales": [], "fact_sessions": []} and len(loaded()) == 4
+    whole = TableStore(spark, str(tmp_path / "whole"))
+    batch_jobs.run_etl_of_changes(source, whole, datetime(2024, 2, 2))
+    assert rows(whole.read("fact_sales").drop("loaded_at")) == rows(target.read("fact_sales").drop("loaded_at"))

@@ -55,6 +55,48 @@ def run_etl(
     ))
 
 
+def run_etl_of_changes(
+    source: TableStore, target: TableStore, as_of, *, non_overlapping: bool = True, windows: SalesWindows = SalesWindows(),
+) -> dict[str, list]:
+    """Facts from change logs: only the days that batches not consumed so far have rows for are rewritten.
+
+    A ledger in `target` has the last batch of each run and table. It is written after the facts, so a crash in
+    between repeats the same days. A session counts for the day of its current start, whichever batch it came in.
+    Returns the days rewritten, by table.
+    """
+    ledger = target.newest_batch("etl_consumed")
+    consumed = {} if ledger is None else {
+        (r.table, r.batch_run): r.last_batch
+        for r in target.changes("etl_consumed").filter(F.col("batch_id") == ledger).collect()}
+    done, now = {}, dict(consumed)
+    plans = {
+        "sales_metrics": ("fact_sales", "window_start", source.read("sales_metrics"),
+                          lambda rows: warehouse.fact_sales(rows, as_of, non_overlapping, windows)),
+        "session_metrics": ("fact_sessions", "start_time", jobs.sessions_now(source),
+                            lambda rows: warehouse.fact_sessions(rows, as_of)),
+    }
+    for name, (fact, at, current, build) in plans.items():
+        fresh = source.changes(name)
+        for (table, run), last in consumed.items():
+            if table == name:
+                fresh = fresh.filter(~((F.col("run") == run) & (F.col("batch_id") <= last)))
+        now.update({(name, r.run): r.last for r in fresh.groupBy("run").agg(F.max("batch_id").alias("last")).collect()})
+        rows = current
+        day = F.to_date(at)
+        touched = rows.join(fresh.select("session_id").distinct(), "session_id", "left_semi") if name == "session_metrics" else fresh
+        # As many as the calendar has days.
+        days = sorted(r.day for r in touched.select(day.alias("day")).distinct().collect() if r.day is not None)
+        if days:
+            # The time range reaches the scan, the days are exact.
+            span = F.col(at).between(F.lit(days[0]).cast("timestamp"), F.lit(days[-1] + timedelta(days=1)).cast("timestamp"))
+            target.overwrite(fact, build(rows.filter(span & day.isin(days))), only_days=True)
+        done[fact] = days
+    if now != consumed:
+        listed = source.spark.createDataFrame([(*k, last) for k, last in sorted(now.items())], "table string, batch_run string, last_batch bigint")
+        target.put_batch("etl_consumed", listed, 0 if ledger is None else ledger + 1)
+    return done
+
+
 def run_rfm(source: TableStore, target: TableStore, as_of, rules: RfmRules = RfmRules()) -> DataFrame:
     """Score and store customers; returns the segment summary."""
     target.overwrite("customer_segments", rfm.rfm_scores(source.read("transactions"), as_of, rules))

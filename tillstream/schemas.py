@@ -155,6 +155,7 @@ TABLES["inventory_openings"] = TABLES["inventory_status"]
 TABLES["sent_alerts"] = _struct(alert_key=STRING, kind=STRING, severity=STRING, subject=STRING, message=STRING, sent_at=TIMESTAMP)
 TABLES["alert_deliveries"] = _struct(sent_at=TIMESTAMP, alerts=LONG)
 TABLES["query_progress"] = _struct(query=STRING, run=STRING, batch=LONG, timestamp=TIMESTAMP, input_rows=LONG, value=STRING)
+TABLES["etl_consumed"] = _struct(table=STRING, batch_run=STRING, last_batch=LONG)
 TABLES["stock_levels"] = TABLES["inventory_status"]
 TABLES["stock_alerts"] = TABLES["low_stock_alerts"]
 TABLES["rapid_anomalies"] = TABLES["transaction_anomalies"]
