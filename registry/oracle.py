@@ -670,7 +670,7 @@ FROM ev GROUP BY event_type""", "ev")
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY events.ts DESC, event_id DESC) = 1"""
 
     # History and quality
-    q["payment_history"] = q["payment_history_hot_keys"] = sql(f"""SELECT user_id, payment_method, {ts('moment')} AS valid_from,
+    q["payment_history"] = q["payment_history_hot_keys"] = q["payment_history_amended"] = sql(f"""SELECT user_id, payment_method, {ts('moment')} AS valid_from,
   {ts('lead(moment) OVER w')} AS valid_to, lead(moment) OVER w IS NULL AS is_current FROM (
     SELECT *, lag(payment_method) OVER (PARTITION BY user_id ORDER BY moment) AS before
     FROM (SELECT user_id, moment, max(payment_method) AS payment_method FROM tx GROUP BY user_id, moment))

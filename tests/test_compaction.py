@@ -126,3 +126,28 @@ def test_etl_rewrites_the_days_of_new_batches_only(spark, tmp_path):
     whole = TableStore(spark, str(tmp_path / "whole"))
     batch_jobs.run_etl_of_changes(source, whole, datetime(2024, 2, 2))
     assert rows(whole.read("fact_sales").drop("loaded_at")) == rows(target.read("fact_sales").drop("loaded_at"))
+
+
+def test_late_observations_in_any_order(spark):
+    """The history after every arrival equals that over all observations so far."""
+    from tillstream.operators import warehouse
+
+    draw = random.Random(11)
+    start = datetime(2024, 1, 1, 22)
+    all_seen = [(k, start + timedelta(hours=3 * i), draw.choice("xxy")) for k in ("a", "b", None) for i in range(12)]
+    draw.shuffle(all_seen)
+    kind = "k string, t timestamp, v string"
+    seen, history = spark.createDataFrame([], kind), None
+    for n in range(0, len(all_seen), 9):
+        late = spark.createDataFrame(all_seen[n:n + 9] + [("a", None, "z")], kind)
+        if history is None:
+            history = warehouse.history(late, ["k"], ["v"], "t")
+        else:
+            history = warehouse.amend_history(history, seen, late, ["k"], ["v"], "t")
+        seen = spark.createDataFrame(all_seen[:n + 9], kind)
+        history = spark.createDataFrame(history.collect(), history.schema)
+        assert rows(history) == rows(warehouse.history(seen, ["k"], ["v"], "t"))
+    corrected = spark.createDataFrame([("a", start, "new")], kind)
+    found = warehouse.amend_history(history, seen, corrected, ["k"], ["v"], "t")
+    assert found.where("k = 'a'").orderBy("valid_from").first().v == "new"
+    assert rows(found.where("k <> 'a'")) == rows(history.where("k <> 'a'"))

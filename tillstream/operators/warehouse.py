@@ -150,6 +150,31 @@ def _stretches_by_day(seen: DataFrame, keys: list[str], at: str) -> DataFrame:
     )
 
 
+def amend_history(
+    dimension: DataFrame, seen: DataFrame, late: DataFrame, keys: list[str], tracked: list[str], at: str,
+) -> DataFrame:
+    """A type-2 history after observations that arrived late, also between or before stored ones.
+
+    A stretch doesn't say when its values were confirmed, so keys with late observations get their rows from `seen`,
+    the observations so far, and `late`; intervals are split, joined or moved as these say. Rows of all other keys
+    stay as they are. A late observation replaces one of the same key and time. Any order of arrival ends
+    in `history` over all observations. Null keys are one key.
+    """
+    columns = [*keys, at, *tracked]
+    touched = late.filter(F.col(at).isNotNull()).select(*keys).distinct()
+
+    def of_touched(df: DataFrame, how: str) -> DataFrame:
+        same = F.lit(True)
+        for key in keys:
+            same = same & df[key].eqNullSafe(touched[key])
+        return df.join(touched, same, how)
+
+    every = of_touched(seen.select(*columns), "left_semi").withColumn("_turn", F.lit(0)).unionByName(
+        late.select(*columns).withColumn("_turn", F.lit(1)))
+    newest = every.groupBy(*keys, at).agg(F.max_by(F.struct(*tracked), "_turn").alias("_row")).select(*keys, at, "_row.*")
+    return of_touched(dimension, "left_anti").unionByName(history(newest, keys, tracked, at))
+
+
 def merge_history(
     dimension: DataFrame, incoming: DataFrame, keys: list[str], tracked: list[str], as_of,
 ) -> DataFrame:
