@@ -554,6 +554,8 @@ FROM status WHERE available_stock < 500 ORDER BY available_stock, product_id LIM
     q["session_products"] = sql("""SELECT session_id, user_id, count(DISTINCT product_id) AS unique_products
 FROM cart GROUP BY session_id, user_id, date_trunc('day', moment)""", "cart")
     q["session_products_approx"] = sql("""SELECT DISTINCT session_id, user_id, true AS close FROM cart""", "cart")
+    q["distinct_products_of_months"] = sql(
+        "SELECT DISTINCT strftime(moment, '%Y-%m') AS month, true AS close FROM cart", "cart")
     q["session_windows"] = q["session_windows_native"] = sql(f"SELECT {_SESSION} FROM sessions", "sessions")
     upsert = TABLES["upserted"][1].replace("FROM sessions", "FROM fixed_sessions")
     q["session_upsert"] = sql(f"SELECT {_SESSION} FROM ({upsert})", "fixed_sessions")
@@ -687,6 +689,7 @@ SELECT p_partkey, p_type, p_retailprice + 1, {LOADED}, NULL, true FROM part WHER
     q["quality_report"] = sql("\nUNION ALL\n".join(
         f"""SELECT '{name}' AS rule, count(*) AS rows, count(*) FILTER (NOT ({rule})) AS failed,
   {dbl(f'count(*) FILTER (NOT ({rule}))')} / count(*) AS failed_share FROM tx""" for name, rule in rules.items()), "tx")
+    q["quality_while_written"] = q["quality_report"]
     q["duplicate_lines"] = """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS rows
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
     return q

@@ -25,6 +25,12 @@ LOADED_AT = "2025-01-01 00:00:00"
 # The given orders and events have other ranges than the defaults were made for.
 RULES = AnomalyRules(high_value=450_000.0, quantity=45, rapid_limit=2, rapid_window="6 hours")
 STOCK_THRESHOLD = 300
+_QUALITY = {
+    "amount below 400000": "total_amount < 400000",
+    "category known": "category <> 'General'",
+    "user present": "user_id IS NOT NULL",
+    "urgent payments marked": "payment_method = '1-URGENT'",
+}
 SESSION_GAP = 6 * 3600
 HOURLY = SalesWindows(length="1 hour", slide="30 minutes")
 ALERTS = AlertRules(anomaly_score=1.05, high_risk_score=1.08, urgent_score=1.1, carts_per_hour=0,
@@ -533,6 +539,26 @@ _queries(
 )
 
 
+@query
+def quality_while_written(r: Retail) -> DataFrame:
+    """The quality report as it falls off while the transactions are stored."""
+    watched, report = quality.checked_while_written(r.transactions, _QUALITY)
+    stage(watched, "checked-transactions")
+    return report()
+
+
+@query
+def distinct_products_of_months(r: Retail) -> DataFrame:
+    """Whether stored day sketches, united by month, are within four standard errors of the exact count."""
+    days = stage(sessions.product_sketches(r.cart, "1 day"), "product-sketches")
+    month = F.date_format("window_start", "yyyy-MM").alias("month")
+    exact = r.cart.filter("timestamp IS NOT NULL").groupBy(F.date_format("timestamp", "yyyy-MM").alias("month")).agg(
+        F.count_distinct("product_id").alias("exact"))
+    off = F.abs(F.col("unique_products") - F.col("exact"))
+    return sessions.distinct_products(days, month).join(exact, "month").select(
+        "month", (off <= 4 * sessions.SKETCH_ERROR * F.col("exact") + 1).alias("close"))
+
+
 @query
 def payment_history_amended(r: Retail) -> DataFrame:
     """The history of the even months' payments, corrected by those of the odd months, which arrive late."""
@@ -563,12 +589,7 @@ def merged_history(r: Retail) -> DataFrame:
 
 
 _queries(
-    quality_report=lambda r: quality.quality_report(r.transactions, {
-        "amount below 400000": "total_amount < 400000",
-        "category known": F.col("category") != "General",
-        "user present": "user_id IS NOT NULL",
-        "urgent payments marked": "payment_method = '1-URGENT'",
-    }),
+    quality_report=lambda r: quality.quality_report(r.transactions, _QUALITY),
     duplicate_lines=lambda r: quality.duplicate_keys(
         r.given.table("lineitem"), ["l_orderkey", "l_linenumber"]),
 )

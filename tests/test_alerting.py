@@ -89,3 +89,34 @@ def test_progress_is_collected(spark, tmp_path):
     assert (first.event_count, first.rate, second.event_count) == (3, 0.0, 4) and second.rate > 0
     assert progress.topic_offsets(found).count() == 0  # a folder has no topics
     assert metrics.topic_rates(progress.topic_offsets(found)).count() == 0
+
+
+def test_sketches_of_any_span_unite(spark):
+    """Overlapping spans, one product in many windows, and an error within what is stated."""
+    from pyspark.sql import functions as F
+    from tillstream.operators import sessions
+
+    cart = spark.range(40_000).selectExpr(
+        "CAST(id * 7919 % 9000 AS STRING) AS product_id", "timestamp_seconds(1704067200 + id * 30) AS timestamp")
+    days = sessions.product_sketches(cart, "1 day")
+    united = sessions.distinct_products(days).first().unique_products
+    assert abs(united - 9000) <= 4 * sessions.SKETCH_ERROR * 9000
+    twice = sessions.distinct_products(days.union(days)).first().unique_products
+    assert twice == united
+    by_day = {r.d: r.unique_products for r in sessions.distinct_products(days, F.to_date("window_start").alias("d")).collect()}
+    exact = {r.d: r.n for r in cart.groupBy(F.to_date("timestamp").alias("d")).agg(F.count_distinct("product_id").alias("n")).collect()}
+    assert by_day.keys() == exact.keys() and all(abs(by_day[d] - n) <= 4 * sessions.SKETCH_ERROR * n + 1 for d, n in exact.items())
+    assert sessions.distinct_products(days.limit(0), F.to_date("window_start").alias("d")).count() == 0
+
+
+def test_quality_of_what_is_written(spark, tmp_path):
+    from tillstream.operators import quality
+
+    rules = {"small": "x < 3", "known": "y IS NOT NULL"}
+    df = spark.createDataFrame([(1, "a"), (2, None), (5, "b"), (None, None)], "x int, y string")
+    watched, report = quality.checked_while_written(df, rules)
+    watched.write.parquet(str(tmp_path / "t"))
+    assert rows(report()) == rows(quality.quality_report(df, rules)) and spark.read.parquet(str(tmp_path / "t")).count() == 4
+    watched, report = quality.checked_while_written(df.limit(0), rules)
+    watched.write.parquet(str(tmp_path / "empty"))
+    assert rows(report()) == [("known", 0, 0, 0.0), ("small", 0, 0, 0.0)]

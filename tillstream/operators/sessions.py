@@ -47,6 +47,28 @@ def windowed_sessions(
     return counted.withColumn("duration_seconds", _duration()).select(*_COLUMNS, *extra)
 
 
+#: Sketches of 2**12 registers; the standard error of their counts.
+SKETCH_BITS, SKETCH_ERROR = 12, 1.04 / 2 ** 6
+
+
+def product_sketches(cart: DataFrame, window: str = "1 day", watermark: str | None = None) -> DataFrame:
+    """A mergeable sketch of the products that carts had in each window, to be stored instead of the events."""
+    rows = cart.filter("timestamp IS NOT NULL")
+    if watermark:
+        rows = rows.withWatermark("timestamp", watermark)
+    return rows.groupBy(F.window("timestamp", window)).agg(
+        F.hll_sketch_agg("product_id", F.lit(SKETCH_BITS)).alias("products")).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "products")
+
+
+def distinct_products(sketches: DataFrame, *by) -> DataFrame:
+    """About how many products the windows of each group of `by` had in all, each counted once.
+
+    Windows of any span can be united, overlapping ones too; a group without windows has no row.
+    """
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("products")).alias("unique_products"))
+
+
 def streamed_sessions(
     cart: DataFrame, gap_seconds: int = 120, watermark: str | None = None,
     unique_products: str | None = "approx",
