@@ -32,7 +32,7 @@ from tillstream.session import stage
 
 LEAST, TOP = 10, 10
 #: Bytes of text whose chunks a task counts at once; a longer text is counted alone.
-GROUP = 1 << 24
+GROUP = 1 << 22
 _GROUP_SALT = np.uint64(0x9FB21C651E98DF25)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
