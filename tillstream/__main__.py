@@ -15,6 +15,7 @@ from tillstream.streaming import jobs
 STREAMS = {
     "transactions": (jobs.monitor_transactions, "transactions"),
     "inventory": (jobs.track_inventory, "transactions"),
+    "stock": (jobs.keep_stock, "transactions"),
     "sessions": (jobs.analyze_sessions, "cart_events"),
     "views": (jobs.watch_views, "product_views"),
 }
@@ -22,6 +23,8 @@ BATCHES = {
     "close-stock": lambda a, src, dst: jobs.close_stock(src, a.as_of.date()),
     "snapshots": lambda a, src, dst: batch.run_snapshots(src, dst, a.as_of),
     "etl": lambda a, src, dst: batch.run_etl(src, dst, a.as_of, since=a.since, windows=_windows(a)),
+    "etl-changes": lambda a, src, dst: batch.run_etl_of_changes(src, dst, a.as_of, windows=_windows(a)),
+    "compact-sessions": lambda a, src, dst: jobs.compact_sessions(src),
     "rfm": lambda a, src, dst: batch.run_rfm(src, dst, a.as_of).show(),
     "categories": lambda a, src, dst: batch.run_category_performance(dst, a.as_of),
     "trends": lambda a, src, dst: batch.run_trends(dst, a.as_of),
@@ -29,6 +32,7 @@ BATCHES = {
 }
 PARSERS = {
     "transactions": events.parse_transactions, "inventory": events.parse_transactions,
+    "stock": events.parse_transactions,
     "sessions": events.parse_cart_events, "views": events.parse_product_views,
 }
 
