@@ -2,10 +2,10 @@
 
 1. A bounded sample of the labelled rows (`EXAMPLES`, drawn by a hash of the id) becomes the examples.
 2. Words, and the first bytes of words, are terms. All terms of the examples count: every example becomes
-   a unit vector of log-count times inverse document frequency, in an inverted index. Long postings are
-   cut into blocks of examples with their largest weight, short ones are read whole.
+   a unit vector of log-count times inverse document frequency, in an inverted index. Like examples stand
+   in blocks that hold their weights of common terms and the largest of each; other terms have postings.
 3. A text visits blocks in the order of their upper bounds and stops where no block left can hold one
-   of the nearest: the nearest examples by exact cosine. Their votes are weighted by the inverse of the
+   of the nearest: the nearest examples by exact cosine. Many texts visit a block at once. Their votes are weighted by the inverse of the
    distance and drawn to the overall share.
 4. A second vote is that of the nearest examples over the leaning terms alone, those that occur in toxic
    examples more often than chance allows. Documents are counted first; then, for the terms left, distinct
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,27 +40,33 @@ EXAMPLES, TERMS = 20_000, 5_000
 # Twice the log-likelihood ratio from which a term leans: chance alone exceeds it 4 times in a million.
 EVIDENCE = 20.0
 NEIGHBOURS, PRIOR, NEARNESS = 15, 1.0, 0.05
-_PREFIX, _BLOCK = 6, 64
+_PREFIX = 6
+# Examples a block and groups of like ones; terms in more than one example of _COMMON are common; queries that are
+# searched together; error that products of single precision may have.
+_BLOCK, _GROUPS, _COMMON, _TOGETHER, _MARGIN = 256, 48, 32, 512, 2e-5
 # Tasks that find the examples' own votes.
 VOTERS = 48
 _PREFIX_SALT, _SIDE = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
-def terms(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, row bounds, term hashes, context hashes): each word's two terms stand side by side."""
+def terms(column: pa.Array, contexts: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, row bounds, term hashes, context hashes if wanted): each word's two terms stand side by side."""
     lower = pc.utf8_lower(column.cast(pa.large_string()))
     for first, _, data, bounds in chunks(lower):
         starts, ends, rows = words(data, bounds, ALPHANUMERIC)
         data = lowered(data)
         whole = span_hashes(data, starts, ends)
         head = mix(span_hashes(data, starts, np.minimum(ends, starts + _PREFIX)) ^ _PREFIX_SALT)
+        both = np.stack([whole, head], 1).ravel()
+        if not contexts:
+            yield first, rows * 2, both, None
+            continue
         before, after = np.zeros_like(whole), np.zeros_like(whole)
         before[1:], after[:-1] = whole[:-1], whole[1:]
         edge = rows[:-1][np.diff(rows) > 0]
         before[edge] = 0
         after[rows[1:][np.diff(rows) > 0] - 1] = 0
         context = mix(mix(before) * _SIDE + after)
-        both = np.stack([whole, head], 1).ravel()
         yield first, rows * 2, both, np.repeat(context, 2)
 
 
@@ -84,7 +91,7 @@ class TermTable:
 
 def counted_terms(column: pa.Array, table: TermTable, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The (numbers, counts) of each text's terms that the table of `size` terms knows, in rising order."""
-    for _, rows, hashes, _ in terms(column):
+    for _, rows, hashes, _ in terms(column, contexts=False):
         place, number = table.find(hashes)
         owner = np.searchsorted(rows, place, "right") - 1
         keys, counts = np.unique(owner * size + number, return_counts=True)
@@ -99,66 +106,132 @@ def unit(weight: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Unit vectors by term. Terms of many examples have their postings in blocks of examples, with each
-    block's largest weight of the term."""
+    """Unit vectors by term, their examples in blocks of like ones.
+
+    Terms of few examples have postings, summed one by one. Terms of many have a dense matrix a block, and
+    the block's largest weight of each: queries are multiplied, many at once, only with blocks whose bound
+    reaches the least of the nearest found so far. Products are of single precision and only choose
+    candidates, with a margin above their error; the cosines of those are summed in double precision.
+    """
 
     def __init__(self, examples: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(examples)
         self.blocks = -(-self.n // _BLOCK)
         sizes = [len(t) for t, _ in examples]
         term = np.concatenate([t.astype(np.int32) for t, _ in examples] + [np.zeros(0, np.int32)])
-        order = np.argsort(term, kind="stable")
-        self.at = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=n_terms))))
-        del term
-        self.example = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
-        self.weight = np.concatenate([w for _, w in examples] + [np.zeros(0)])[order]
-        del order
-        # A term with fewer postings than there are blocks has hardly two of them in one.
-        many = np.flatnonzero(np.diff(self.at) > self.blocks)
-        self.long = np.full(n_terms, -1, np.int32)
-        self.long[many] = np.arange(len(many))
-        self.cell = np.zeros((len(many), self.blocks + 1), np.int64)
-        self.most = np.zeros((len(many), self.blocks))
-        edges = np.arange(self.blocks + 1) * _BLOCK
-        for i, t in enumerate(many.tolist()):
-            a, b = self.at[t], self.at[t + 1]
-            self.cell[i] = a + np.searchsorted(self.example[a:b], edges)
-            np.maximum.at(self.most[i], self.example[a:b] // _BLOCK, self.weight[a:b])
-
-    def _add(self, sums: np.ndarray, weight: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Adds the postings between starts and ends, each times its weight."""
-        sizes = ends - starts
-        place = gather(starts, sizes)
-        sums += np.bincount(self.example[place], np.repeat(weight, sizes) * self.weight[place], len(sums))
+        weight = np.concatenate([w for _, w in examples] + [np.zeros(0)])
+        owner = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        often = np.flatnonzero(np.bincount(term, minlength=n_terms) > max(self.n // _COMMON, _BLOCK))
+        self.common = np.full(n_terms, -1, np.int32)
+        self.common[often] = np.arange(len(often))
+        number = self.common[term]
+
+        heavy = np.flatnonzero(number >= 0)
+        self.heavy_at = np.searchsorted(owner[heavy], np.arange(self.n + 1))
+        self.heavy_number, self.heavy_weight = number[heavy], weight[heavy]
+        self.order = self._alike(owner[heavy], len(often))
+        self.place = np.empty(self.n, np.int64)
+        self.place[self.order] = np.arange(self.n)
+        rare = np.flatnonzero(number < 0)
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.at = np.concatenate(([0], np.cumsum(np.bincount(term[rare], minlength=n_terms))))
+        self.rare_place, self.rare_weight = self.place[owner[rare]], weight[rare]
+
+        where = self.place[owner[heavy]]
+        by = np.argsort(where // _BLOCK, kind="stable")
+        edges = np.searchsorted(where[by] // _BLOCK, np.arange(self.blocks + 1))
+        self.most = np.zeros((len(often), self.blocks), np.float32)
+        self.dense = []
+        for i, (a, b) in enumerate(zip(edges, edges[1:])):
+            local, row = np.unique(self.heavy_number[by[a:b]], return_inverse=True)
+            cells = np.zeros((len(local), _BLOCK), np.float32)
+            cells[row, where[by[a:b]] - i * _BLOCK] = self.heavy_weight[by[a:b]]
+            if len(local):
+                self.most[local, i] = cells.max(1)
+            self.dense.append((local, cells))
+
+    def _alike(self, owner: np.ndarray, n_common: int) -> np.ndarray:
+        """The examples in an order that puts those with like common terms side by side (rounds of k-means)."""
+        if not n_common or self.blocks < 2:
+            return np.arange(self.n)
+        groups = min(_GROUPS, self.blocks)
+        member = np.full(self.n, groups)
+        member[np.arange(groups) * self.n // groups] = np.arange(groups)
+        for _ in range(4):
+            key = self.heavy_number.astype(np.int64) * (groups + 1) + member[owner]
+            centre = np.bincount(key, self.heavy_weight, n_common * (groups + 1)).reshape(n_common, -1)[:, :groups]
+            centre = (centre / np.maximum(np.sqrt((centre ** 2).sum(0)), 1e-9)).astype(np.float32)
+            for a in range(0, self.n, 1024):
+                b = min(a + 1024, self.n)
+                span = slice(self.heavy_at[a], self.heavy_at[b])
+                rows = np.zeros((b - a, n_common), np.float32)
+                rows[owner[span] - a, self.heavy_number[span]] = self.heavy_weight[span]
+                member[a:b] = (rows @ centre).argmax(1)
+        return np.argsort(member, kind="stable")
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int | np.ndarray = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples and their cosines, nearest first, equal ones by number."""
-        sums = np.zeros(self.blocks * _BLOCK)
-        row = self.long[term]
-        short, row, heavy = term[row < 0], row[row >= 0], weight[row >= 0]
-        self._add(sums, weight[self.long[term] < 0], self.at[short], self.at[short + 1])
-        bound = sums.reshape(-1, _BLOCK).max(1) + heavy @ self.most[row]
-        order = np.argsort(-bound, kind="stable")
-        ids, cosines, least, a, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, 8
-        while a < len(order):
-            group = order[a:a + step]
-            # Sums in another order may differ in the last bits.
-            group = group[(bound[group] > 0) & ((len(ids) < k) | (bound[group] >= least - 1e-9))]
-            if not len(group):
-                break
-            cells = np.ix_(row, group)
-            self._add(sums, np.repeat(heavy, len(group)), self.cell[cells].ravel(),
-                      self.cell[np.ix_(row, group + 1)].ravel())
-            found = (np.sort(group)[:, None] * _BLOCK + np.arange(_BLOCK)).ravel()
-            found = found[(sums[found] > 0) & ~np.isin(found, without)]
-            if len(ids) == k:
-                found = found[sums[found] >= least - 1e-9]
-            ids, cosines = np.append(ids, found), np.append(cosines, sums[found])
+        return self.nearest_of([(term, weight)], k, [without])[0]
+
+    def nearest_of(self, queries: list[tuple], k: int, without: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """`nearest` of many queries; what comes out for one doesn't depend on the others."""
+        if not self.n:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        found = []
+        for a in range(0, len(queries), _TOGETHER):
+            found += self._together(queries[a:a + _TOGETHER], k, without[a:a + _TOGETHER] if without else None)
+        return found
+
+    def _rare_sums(self, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the terms without a common number add to each place."""
+        starts = self.at[term]
+        sizes = self.at[term + 1] - starts
+        place = gather(starts, sizes)
+        return np.bincount(self.rare_place[place], np.repeat(weight, sizes) * self.rare_weight[place], self.blocks * _BLOCK)
+
+    def _together(self, queries: list[tuple], k: int, without: list | None) -> list[tuple[np.ndarray, np.ndarray]]:
+        count, shape = len(queries), (len(queries), self.blocks, _BLOCK)
+        sums = np.empty((count, self.blocks * _BLOCK))
+        heavy = np.zeros((count, len(self.most)))
+        for i, (term, weight) in enumerate(queries):
+            number = self.common[term]
+            often = number >= 0
+            heavy[i, number[often]] = weight[often]
+            sums[i] = self._rare_sums(term[~often], weight[~often])
+        single = heavy.astype(np.float32)
+        bound = sums.reshape(shape).max(2) + single @ self.most
+        rank = np.argsort(np.argsort(-bound, 1, kind="stable"), 1)
+        near = np.zeros(shape, np.float32)
+        least, tops = np.zeros(count), [np.zeros(0, np.float32)] * count
+        a, step = 0, 2
+        while a < self.blocks:
+            want = (rank >= a) & (rank < a + step) & (bound > 0) & (bound >= least[:, None] - _MARGIN)
+            for block in np.flatnonzero(want.any(0)).tolist():
+                who = np.flatnonzero(want[:, block])
+                local, cells = self.dense[block]
+                near[who, block] = single.take(who, 0).take(local, 1) @ cells + sums.reshape(shape)[who, block]
+            for i in np.flatnonzero(want.any(1)).tolist():
+                if without is not None:
+                    gone = np.atleast_1d(without[i])
+                    near[i].reshape(-1)[self.place[gone[gone >= 0]]] = 0
+                values = near[i, want[i]].ravel()
+                tops[i] = np.append(tops[i], values[values > least[i]])
+                if len(tops[i]) >= k:
+                    tops[i] = np.partition(tops[i], len(tops[i]) - k)[-k:]
+                    least[i] = tops[i].min()
+            a, step = a + step, step * 4
+        found = []
+        for i in range(count):
+            row = near[i].reshape(-1)
+            at = np.flatnonzero((row > 0) & (row >= least[i] - _MARGIN))
+            ids = self.order[at]
+            sizes = self.heavy_at[ids + 1] - self.heavy_at[ids]
+            of = gather(self.heavy_at[ids], sizes)
+            cosines = sums[i, at] + np.bincount(np.repeat(np.arange(len(ids)), sizes),
+                                                heavy[i, self.heavy_number[of]] * self.heavy_weight[of], len(ids))
             best = np.lexsort((ids, -np.round(cosines, 9)))[:k]
-            ids, cosines = ids[best], cosines[best]
-            least = cosines[-1] if len(ids) else 0.0
-            a, step = a + step, step * 2
-        return ids, np.minimum(cosines, 1.0)
+            found.append((ids[best], np.minimum(cosines[best], 1.0)))
+        return found
 
 
 def _packed(values: np.ndarray) -> tuple:
@@ -217,17 +290,23 @@ class Search:
     def _weights(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
         return unit(np.log1p(count.astype(float)) * self.idf[term])
 
-    def _vote(self, index: BlockMaxIndex, term, count, without):
-        ids, cosines = index.nearest(term, self._weights(term, count), NEIGHBOURS, without)
-        pull = 1 / (NEARNESS + 1 - cosines)
-        return (pull @ self.toxic[ids] + PRIOR * self.share) / (pull.sum() + PRIOR), ids, cosines
-
-    def votes(self, term: np.ndarray, count: np.ndarray, without: int | np.ndarray = -1) -> tuple:
-        """The vote over all terms, the vote over leaning ones, and the nearest examples with their cosines."""
-        vote, ids, cosines = self._vote(self.all, term, count, without)
-        leans = self.lean[term]
-        second = self._vote(self.leaning, term[leans], count[leans], without)[0] if leans.any() else self.free
-        return vote, second, ids, cosines
+    def _votes(self, index: BlockMaxIndex, texts: list[tuple], without: list | None) -> list[tuple]:
+        found = index.nearest_of([(t, self._weights(t, n)) for t, n in texts], NEIGHBOURS, without)
+        pulls = [1 / (NEARNESS + 1 - cosines) for _, cosines in found]
+        return [((pull @ self.toxic[ids] + PRIOR * self.share) / (pull.sum() + PRIOR), ids, cosines)
+                for pull, (ids, cosines) in zip(pulls, found)]
+
+    def votes(self, texts: list[tuple], without: list | None = None) -> list[tuple]:
+        """Of each (terms, counts): the vote over all terms, the vote over leaning ones, and the nearest examples
+        with their cosines. `without` names examples that have no vote on it."""
+        leans = [self.lean[t] for t, _ in texts]
+        some = [i for i, lean in enumerate(leans) if lean.any()]
+        second = np.full(len(texts), self.free)
+        second[some] = [v for v, _, _ in self._votes(
+            self.leaning, [(texts[i][0][leans[i]], texts[i][1][leans[i]]) for i in some],
+            without and [without[i] for i in some])]
+        return [(vote, other, ids, cosines)
+                for (vote, ids, cosines), other in zip(self._votes(self.all, texts, without), second.tolist())]
 
 
 def _received(hashes, ids, toxic, at, lean, found, deltas, counts) -> Search:
@@ -258,19 +337,29 @@ class Model:
                 break
         self.curve = np.array([max(b[0], 0.1), max(b[1], 0.1), b[2]])
 
-    def score(self, term: np.ndarray, count: np.ndarray) -> tuple[float, list[int], list[float]]:
-        """Probability of toxicity, and the nearest examples with their cosines."""
-        if not len(term) or not self.both:
-            return self.free, [], []
-        key = term.tobytes() + count.tobytes()
-        if key not in self._memory:
-            if len(self._memory) > 2_000:
-                self._memory.clear()
-            search = self.shared.value
-            first, second, ids, cosines = search.votes(term, count)
+    def scores(self, texts: list[tuple]) -> list[tuple[float, list[int], list[float]]]:
+        """Of each (terms, counts): probability of toxicity, and the nearest examples with their cosines."""
+        if not self.both:
+            return [(self.free, [], [])] * len(texts)
+        if len(self._memory) > 2_000:
+            self._memory.clear()
+        search = self.shared.value
+        keys = [t.tobytes() + n.tobytes() for t, n in texts]
+        new = {key: text for key, text in zip(keys, texts) if len(text[0]) and key not in self._memory}
+        known = {key: self._memory[key] for key in keys if key in self._memory} | {b"": (self.free, [], [])}
+        for key, (first, second, ids, cosines) in zip(new, search.votes(list(new.values()))):
             odds = self.curve @ [_log_odds(first), _log_odds(second), 1.0]
-            self._memory[key] = float(1 / (1 + np.exp(-odds))), search.ids[ids].tolist(), cosines.tolist()
-        return self._memory[key]
+            known[key] = float(1 / (1 + np.exp(-odds))), search.ids[ids].tolist(), cosines.tolist()
+        self._memory.update(known)
+        return [known[key] for key in keys]
+
+    def scores_of(self, column: pa.Array) -> list[tuple[float, list[int], list[float]]]:
+        """`scores` of texts, null as empty."""
+        search, made = self.shared.value, []
+        counted = counted_terms(pc.fill_null(column, ""), search.table, len(search.idf))
+        while some := list(islice(counted, _TOGETHER)):
+            made += self.scores(some)
+        return made
 
 
 def _log_odds(p):
@@ -290,7 +379,7 @@ def _counted(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, at, hashes, _ in terms(batch.column(0)):
+            for first, at, hashes, _ in terms(batch.column(0), contexts=False):
                 owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
                 order = np.lexsort((owner, hashes))
                 h, o = hashes[order], owner[order]
@@ -386,8 +475,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             numbers = doc_ids.to_numpy()
             spans = zip(np.searchsorted(own.ids, numbers), np.searchsorted(own.ids, numbers, "right"))
             # Nobody votes on an example that has its own id.
-            made = [own.votes(*v, np.arange(*span))[:2] if len(v[0]) else (own.share, own.free)
-                    for v, span in zip(counted_terms(texts, own.table, size), spans)]
+            made, each = [], zip(counted_terms(texts, own.table, size), spans)
+            while some := list(islice(each, _TOGETHER)):
+                voted = own.votes([v for v, _ in some], [np.arange(*span) for _, span in some])
+                made += [m[:2] if len(v[0]) else (own.share, own.free) for m, (v, _) in zip(voted, some)]
             return [pa.array([m[i] for m in made], pa.float64()) for i in (0, 1)]
 
         return work
@@ -402,10 +493,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 def scored(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`df` with score (0 to 1), predicted (0 or 1) and evidence, the nearest examples and their cosines."""
     def prepare():
-        search = model.shared.value
-
         def work(column: pa.Array) -> list[pa.Array]:
-            made = [model.score(*v) for v in counted_terms(pc.fill_null(column, ""), search.table, len(search.idf))]
+            made = model.scores_of(column)
             near = [[{"example": i, "cosine": c} for i, c in zip(ids, cosines)] for _, ids, cosines in made]
             return [pa.array([m[0] for m in made], pa.float64()),
                     pa.array([int(m[0] >= 0.5) for m in made], pa.int32()),
@@ -435,11 +524,8 @@ def not_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     flag = unused(docs, "is_toxic")
 
     def prepare():
-        search = model.shared.value
-
         def work(column: pa.Array) -> list[pa.Array]:
-            made = counted_terms(pc.fill_null(column, ""), search.table, len(search.idf))
-            return [pa.array([model.score(*v)[0] >= 0.5 for v in made], pa.bool_())]
+            return [pa.array([score >= 0.5 for score, _, _ in model.scores_of(column)], pa.bool_())]
 
         return work
 
