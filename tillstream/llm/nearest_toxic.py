@@ -43,7 +43,7 @@ NEIGHBOURS, PRIOR, NEARNESS = 15, 1.0, 0.05
 _PREFIX = 6
 # Examples a block and groups of like ones; terms in more than one example of _COMMON are common; queries that are
 # searched together; error that products of single precision may have.
-_BLOCK, _GROUPS, _COMMON, _TOGETHER, _MARGIN = 256, 48, 32, 512, 2e-5
+_BLOCK, _GROUPS, _COMMON, _TOGETHER, _MARGIN = 256, 48, 24, 256, 2e-5
 # Tasks that find the examples' own votes.
 VOTERS = 48
 _PREFIX_SALT, _SIDE = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
@@ -115,32 +115,44 @@ class BlockMaxIndex:
     """
 
     def __init__(self, examples: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.n = len(examples)
+        self._build(np.concatenate(([0], np.cumsum([len(t) for t, _ in examples], dtype=np.int64))),
+                    np.concatenate([t.astype(np.int32) for t, _ in examples] + [np.zeros(0, np.int32)]),
+                    np.concatenate([w for _, w in examples] + [np.zeros(0)]), n_terms)
+
+    @classmethod
+    def of(cls, at: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> BlockMaxIndex:
+        """The index of examples whose terms and weights stand from at[i] to at[i + 1]."""
+        index = cls.__new__(cls)
+        index._build(at, term, weight, n_terms)
+        return index
+
+    def _build(self, at: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> None:
+        self.n = len(at) - 1
         self.blocks = -(-self.n // _BLOCK)
-        sizes = [len(t) for t, _ in examples]
-        term = np.concatenate([t.astype(np.int32) for t, _ in examples] + [np.zeros(0, np.int32)])
-        weight = np.concatenate([w for _, w in examples] + [np.zeros(0)])
-        owner = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
         often = np.flatnonzero(np.bincount(term, minlength=n_terms) > max(self.n // _COMMON, _BLOCK))
         self.common = np.full(n_terms, -1, np.int32)
         self.common[often] = np.arange(len(often))
-        number = self.common[term]
-
-        heavy = np.flatnonzero(number >= 0)
-        self.heavy_at = np.searchsorted(owner[heavy], np.arange(self.n + 1))
-        self.heavy_number, self.heavy_weight = number[heavy], weight[heavy]
-        self.order = self._alike(owner[heavy], len(often))
-        self.place = np.empty(self.n, np.int64)
+        owner = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(at))
+        is_heavy = self.common[term] >= 0
+        of_heavy = owner[is_heavy]
+        self.heavy_at = np.searchsorted(of_heavy, np.arange(self.n + 1))
+        self.heavy_number, self.heavy_weight = self.common[term[is_heavy]], weight[is_heavy]
+        self.order = self._alike(of_heavy, len(often))
+        self.place = np.empty(self.n, np.int32)
         self.place[self.order] = np.arange(self.n)
-        rare = np.flatnonzero(number < 0)
+        self._add_postings(np.flatnonzero(~is_heavy).astype(np.int32), owner, term, weight, n_terms)
+        del owner, is_heavy
+        self._add_blocks(self.place[of_heavy], len(often))
+
+    def _add_postings(self, rare: np.ndarray, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> None:
         rare = rare[np.argsort(term[rare], kind="stable")]
         self.at = np.concatenate(([0], np.cumsum(np.bincount(term[rare], minlength=n_terms))))
         self.rare_place, self.rare_weight = self.place[owner[rare]], weight[rare]
 
-        where = self.place[owner[heavy]]
-        by = np.argsort(where // _BLOCK, kind="stable")
+    def _add_blocks(self, where: np.ndarray, n_common: int) -> None:
+        by = np.argsort(where // _BLOCK, kind="stable").astype(np.int32)
         edges = np.searchsorted(where[by] // _BLOCK, np.arange(self.blocks + 1))
-        self.most = np.zeros((len(often), self.blocks), np.float32)
+        self.most = np.zeros((n_common, self.blocks), np.float32)
         self.dense = []
         for i, (a, b) in enumerate(zip(edges, edges[1:])):
             local, row = np.unique(self.heavy_number[by[a:b]], return_inverse=True)
@@ -274,18 +286,22 @@ class Search:
 
     @cached_property
     def all(self) -> BlockMaxIndex:
-        return self._index(self._examples())
+        return self._index(self.at, self.terms, self.counts)
 
     @cached_property
     def leaning(self) -> BlockMaxIndex:
-        return self._index((t[self.lean[t]], n[self.lean[t]]) for t, n in self._examples())
-
-    def _examples(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        at = self.at.tolist()
-        return ((self.terms[a:b], self.counts[a:b]) for a, b in zip(at, at[1:]))
-
-    def _index(self, examples) -> BlockMaxIndex:
-        return BlockMaxIndex([(t, self._weights(t, n)) for t, n in examples], len(self.hashes))
+        leans = np.flatnonzero(self.lean[self.terms])
+        return self._index(np.searchsorted(leans, self.at), self.terms[leans], self.counts[leans])
+
+    def _index(self, at: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> BlockMaxIndex:
+        weight = np.log1p(counts, dtype=float)
+        weight *= self.idf[terms]
+        for a in range(0, len(at) - 1, 256):  # lengths to one, a few hundred examples at once
+            edges = at[a:a + 257]
+            part = weight[edges[0]:edges[-1]]
+            owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+            part /= np.sqrt(np.bincount(owner, part ** 2, len(edges) - 1))[owner]
+        return BlockMaxIndex.of(at, terms, weight, len(self.hashes))
 
     def _weights(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
         return unit(np.log1p(count.astype(float)) * self.idf[term])
