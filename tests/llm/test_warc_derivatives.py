@@ -79,3 +79,33 @@ def test_elements_without_end_tags_hide_no_text():
         assert warc.readable(f"<p>a</p><{name}>x</{name}><p>b</p>") == "a\nb"
     assert warc.readable("a<svg/>b<svg>x</svg>c") == "a b c"
     assert warc.readable("<p>a</p><script>b<p>c</p>") == "a"
+
+
+def test_all_source_headers_and_digests_are_kept():
+    block = (b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nContent-Type: text/html\r\nset-cookie: b=2\r\n\r\n<p>x")
+    head = ("warc-type: response\r\nWARC-RECORD-ID: <urn:uuid:7>\r\nwarc-ip-address: 10.0.0.1\r\n"
+            "WARC-Concurrent-To: <urn:uuid:8>\r\nWARC-Concurrent-To: <urn:uuid:9>\r\n"
+            f"WARC-Block-Digest: {warc.digest(block)}\r\nWarc-Payload-Digest: {warc.digest(b'<p>x')}\r\n"
+            f"content-length: {len(block)}\r\n")
+    meta, text = warc.derived(f"WARC/1.1\r\n{head}\r\n".encode() + block + b"\r\n\r\n")
+    fields = [tuple(line.split(": ", 1)) for line in meta["block"].decode().split("\r\n") if line]
+    assert [v for k, v in fields if k == "http-set-cookie"] == ["a=1", "b=2"]
+    assert [f for f in fields if f[0].startswith("source-")] == [
+        ("source-warc-ip-address", "10.0.0.1"), ("source-warc-concurrent-to", "<urn:uuid:8>"),
+        ("source-warc-concurrent-to", "<urn:uuid:9>"), ("source-warc-block-digest", warc.digest(block)),
+        ("source-digest-valid", "yes"), ("source-block-digest-valid", "yes")]
+    for made in (meta, text):
+        assert made["refers_to"] == "<urn:uuid:7>" and made["source_digest"] == warc.digest(b"<p>x")
+        assert dict(made["headers"])["WARC-Source-Block-Digest"] == warc.digest(block)
+    wrong = warc.derived(response(b"x", **{"WARC-Block-Digest": "sha1:NO"}))[0]
+    assert b"source-block-digest-valid: no" in wrong["block"]
+
+
+def test_charset_from_the_whole_head():
+    late = b"<html><head><script>" + b"x" * 5000 + b"</script><meta charset=latin-1></head><body><p>\xe9"
+    plain = "HTTP/1.1 200 OK\r\nContent-Type: text/html"
+    assert warc.derived(response(late, plain))[1]["block"].decode() == "é"
+    in_body = "<head></head><body><p>é &lt;meta charset=latin-1</p><meta charset=latin-1>".encode()
+    assert warc.derived(response(in_body, plain))[1]["block"].decode() == "é <meta charset=latin-1"
+    equiv = b"<META http-equiv=Content-Type content='text/html; charset=latin-1'><p>\xe9"
+    assert warc.derived(response(equiv, plain))[1]["block"].decode() == "é"

@@ -3,12 +3,17 @@
 A response record is parsed into its WARC headers, the HTTP head and the payload. Two records come of it:
 `metadata` (application/warc-fields) with what the head, the title, the language and the links say, and
 `conversion` (text/plain) with the readable text. Both refer to the response by its record id, keep its
-target, date and payload digest, and have digests of their own blocks. Their ids are made from the source
+target, date and payload digest, and have digests of their own blocks. Every header of the source stands
+in the metadata, as often and in the order it came: HTTP headers as http-..., those of the WARC record
+that no header of the derivative states as source-..., its block digest with a mark whether it holds. Names
+of headers count in any case. Their ids are made from the source
 id, so building them again gives the same records; the conversion's id stands in the metadata as well.
 
 Defined results: null or malformed records, and records that are no responses, have no derivatives; an
 empty payload has an empty conversion; a wrong source digest is kept and marked; unknown character sets
-are read as UTF-8 with replacements; repeated records have repeated derivatives.
+are read as UTF-8 with replacements; of a repeated header that may stand once, the first counts; repeated
+records have repeated derivatives; an empty table has none. Columns of the input with the name of an output,
+in any case, are left out.
 """
 
 from __future__ import annotations
@@ -45,6 +50,10 @@ _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 _LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _CHARSET = re.compile(rb"charset\s*=\s*[\"']?([\w-]+)", re.I)
+_META_CHARSET = re.compile(rb"<meta\b[^>]*?\bcharset\s*=\s*[\"']?\s*([\w-]+)", re.I)
+_HEAD_END = re.compile(rb"</head\s*>|<body[\s>]", re.I)
+# Headers of a source that its derivatives' own headers state.
+_STATED = {"warc-type", "warc-record-id", "warc-target-uri", "warc-date", "warc-payload-digest", "content-length"}
 
 
 def digest(data: bytes) -> str:
@@ -57,11 +66,16 @@ def serialised(headers: dict[str, str], block: bytes) -> bytes:
     return f"WARC/1.1\r\n{head}\r\n".encode() + block + b"\r\n\r\n"
 
 
-def _fields(head: bytes) -> tuple[str, dict[str, str]]:
-    """The first line and the fields of a head; folded lines go on the line before."""
+def _fields(head: bytes) -> tuple[str, list[tuple[str, str]]]:
+    """The first line and the fields of a head, all in their order; folded lines go on the line before."""
     lines = re.sub(rb"\r?\n[ \t]+", b" ", head).decode("utf-8", "replace").replace("\r\n", "\n").split("\n")
     pairs = (line.partition(":") for line in lines[1:] if ":" in line)
-    return lines[0], {k.strip(): v.strip() for k, _, v in pairs}
+    return lines[0], [(k.strip(), v.strip()) for k, _, v in pairs]
+
+
+def _firsts(pairs: list[tuple[str, str]]) -> dict[str, str]:
+    """The first value of each field, by its name in lower case."""
+    return {k.lower(): v for k, v in reversed(pairs)}
 
 
 def _split(data: bytes) -> tuple[bytes, bytes]:
@@ -69,14 +83,20 @@ def _split(data: bytes) -> tuple[bytes, bytes]:
     return (data[:at.start()], data[at.end():]) if at else (data, b"")
 
 
-def parsed(record: bytes) -> tuple[dict[str, str], bytes] | None:
-    """Headers and block of a record, or None where it is malformed."""
+def fields_and_block(record: bytes) -> tuple[list[tuple[str, str]], bytes] | None:
+    """All headers of a record in their order, and its block; None where it is malformed."""
     head, rest = _split(record)
-    version, headers = _fields(head)
-    length = headers.get("Content-Length", "")
-    if not version.startswith("WARC/") or not length.isdigit() or int(length) > len(rest):
+    version, pairs = _fields(head)
+    length = _firsts(pairs).get("content-length", "")
+    if not version.startswith("WARC/") or not re.fullmatch("[0-9]+", length) or int(length) > len(rest):
         return None
-    return headers, rest[:int(length)]
+    return pairs, rest[:int(length)]
+
+
+def parsed(record: bytes) -> tuple[dict[str, str], bytes] | None:
+    """Headers by name and block of a record, or None where it is malformed."""
+    found = fields_and_block(record)
+    return found and (dict(found[0]), found[1])
 
 
 def _visible(page: str) -> str:
@@ -118,7 +138,10 @@ def readable(page: str) -> str:
 
 
 def _decoded(payload: bytes, content_type: str) -> str:
-    found = _CHARSET.search(content_type.encode()) or _CHARSET.search(payload[:2048])
+    found = _CHARSET.search(content_type.encode())
+    if not found:
+        end = _HEAD_END.search(payload)
+        found = _META_CHARSET.search(payload, 0, end.start() if end else len(payload))
     try:
         return payload.decode(found[1].decode() if found else "utf-8", "replace")
     except LookupError:
@@ -127,22 +150,25 @@ def _decoded(payload: bytes, content_type: str) -> str:
 
 def derived(record: bytes | None) -> list[dict]:
     """The metadata and the conversion record of a response."""
-    found = parsed(record) if record else None
-    if not found or found[0].get("WARC-Type") != "response" or not found[0].get("WARC-Record-ID"):
+    found = fields_and_block(record) if record else None
+    headers = _firsts(found[0]) if found else {}
+    if headers.get("warc-type") != "response" or not headers.get("warc-record-id"):
         return []
-    headers, block = found
+    pairs, block = found
     head, payload = _split(block)
     status, http = _fields(head)
-    kinds = {k.lower(): v for k, v in http.items()}
-    source, own = headers["WARC-Record-ID"], digest(payload)
-    claimed = headers.get("WARC-Payload-Digest", own)
-    page = _decoded(payload, kinds.get("content-type", ""))
+    source, own = headers["warc-record-id"], digest(payload)
+    claimed = headers.get("warc-payload-digest", own)
+    page = _decoded(payload, _firsts(http).get("content-type", ""))
     title, lang = _TITLE.search(page), _LANG.search(page)
     ids = {k: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{source}#{k}')}>" for k in ("metadata", "conversion")}
     text = readable(page).encode()
     about = [("conversion", ids["conversion"]), ("conversion-digest", digest(text)), ("http-status", status)]
-    about += [(f"http-{k.lower()}", v) for k, v in http.items()]
+    about += [(f"http-{k.lower()}", v) for k, v in http]
+    about += [(f"source-{k.lower()}", v) for k, v in pairs if k.lower() not in _STATED]
     about += [("source-digest-valid", "yes" if claimed == own else "no")]
+    if "warc-block-digest" in headers:
+        about += [("source-block-digest-valid", "yes" if headers["warc-block-digest"] == digest(block) else "no")]
     about += [(k, _SPACES.sub(" ", html.unescape(m[1])).strip()) for k, m in (("title", title), ("language", lang)) if m]
     about += [("outlink", html.unescape("".join(m))) for m in _LINK.findall(page)]
     fields_block = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in about).encode()
@@ -150,13 +176,14 @@ def derived(record: bytes | None) -> list[dict]:
     for kind, content, kind_of_content in (("metadata", fields_block, "application/warc-fields"),
                                            ("conversion", text, "text/plain; charset=utf-8")):
         made = {"WARC-Type": kind, "WARC-Record-ID": ids[kind], "WARC-Refers-To": source}
-        kept = {"WARC-Target-URI": headers.get("WARC-Target-URI"), "WARC-Date": headers.get("WARC-Date"),
-                "WARC-Refers-To-Date": headers.get("WARC-Date"), "WARC-Source-Payload-Digest": claimed}
+        kept = {"WARC-Target-URI": headers.get("warc-target-uri"), "WARC-Date": headers.get("warc-date"),
+                "WARC-Refers-To-Date": headers.get("warc-date"), "WARC-Source-Payload-Digest": claimed,
+                "WARC-Source-Block-Digest": headers.get("warc-block-digest")}
         made |= {k: v for k, v in kept.items() if v is not None}
         made |= {"WARC-Block-Digest": digest(content), "Content-Type": kind_of_content,
                  "Content-Length": str(len(content))}
         out.append(dict(zip(_NAMES, (
-            kind, ids[kind], source, headers.get("WARC-Target-URI"), headers.get("WARC-Date"), claimed,
+            kind, ids[kind], source, headers.get("warc-target-uri"), headers.get("warc-date"), claimed,
             made["WARC-Block-Digest"], len(content), list(made.items()), content))))
     return out
 
