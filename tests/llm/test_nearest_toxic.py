@@ -103,3 +103,68 @@ def test_search_travels_whole(text_spark):
     copy = pickle.loads(pickle.dumps(search))
     assert all(np.array_equal(getattr(search, k), getattr(copy, k))
                for k in ("hashes", "found", "idf", "lean", "ids", "toxic", "at", "terms", "counts"))
+
+
+def test_blocks_of_common_terms_against_brute_force():
+    """Terms in hundreds of examples go through blocks; many queries at once, some without examples of their own."""
+    rng = np.random.default_rng(5)
+    examples, n, terms = [], 3000, 400
+    for i in range(n):
+        share = 0.3 * np.where(np.arange(terms) % 4 == i % 4, 1.0, 0.1)
+        share[:200] /= 20
+        term = np.flatnonzero(rng.random(terms) < share)
+        weight = np.log1p(rng.integers(1, 5, len(term)).astype(float))
+        examples.append((term, weight / max(np.sqrt((weight ** 2).sum()), 1e-9)))
+    examples[700:760] = [examples[3]] * 60
+    index = nearest_toxic.BlockMaxIndex(examples, terms)
+    assert index.blocks > 8 and 100 < (index.common >= 0).sum() < terms
+    dense = np.zeros((n, terms))
+    for i, (term, weight) in enumerate(examples):
+        dense[i, term] = weight
+    asked = list(range(0, n, 5)) + [700]
+    without = [np.array([q, (q + 1) % n]) if q % 2 else -1 for q in asked]
+    found = index.nearest_of([examples[q] for q in asked], 15, without)
+    for q, gone, (ids, cosines) in zip(asked, without, found):
+        cosine = np.round(dense @ dense[q], 9)
+        if q % 2:
+            cosine[gone] = 0
+        order = np.lexsort((np.arange(n), -cosine))[:15]
+        order = order[cosine[order] > 0]
+        assert ids.tolist() == order.tolist() and np.allclose(cosines, cosine[order])
+        alone = index.nearest(*examples[q], 15, gone)
+        assert np.array_equal(alone[0], ids) and np.array_equal(alone[1], cosines)
+
+
+def test_votes_and_scores_against_a_plain_version(text_spark):
+    docs, labels = planted(text_spark)
+    model = nearest_toxic.fit(docs, labels.where(~nearest_toxic.held_out()))
+    search = model.shared.value
+
+    def vectors(bounds, terms, counts, only=None):
+        rows = np.zeros((len(bounds) - 1, len(search.hashes)))
+        for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            rows[i, terms[a:b]] = np.log1p(counts[a:b]) * np.log1p(len(search.ids) / search.found[terms[a:b]])
+        if only is not None:
+            rows[:, ~only] = 0
+        return rows / np.maximum(np.sqrt((rows ** 2).sum(1, keepdims=True)), 1e-12)
+
+    def vote(cosine):
+        near = np.lexsort((np.arange(len(cosine)), -np.round(cosine, 9)))[:nearest_toxic.NEIGHBOURS]
+        near = near[cosine[near] > 0]
+        pull = 1 / (nearest_toxic.NEARNESS + 1 - np.minimum(cosine[near], 1))
+        prior = nearest_toxic.PRIOR
+        return (pull @ search.toxic[near] + prior * search.share) / (pull.sum() + prior)
+
+    rows = docs.orderBy("doc_id").limit(60).toArrow()
+    texts = list(nearest_toxic.counted_terms(rows["text"].combine_chunks(), search.table, len(search.hashes)))
+    at = np.concatenate(([0], np.cumsum([len(t) for t, _ in texts])))
+    asked = [at, *(np.concatenate([v[i] for v in texts]) for i in (0, 1))]
+    kept = [search.at, search.terms, search.counts]
+    pairs = [vectors(*asked, only) @ vectors(*kept, only).T for only in (None, search.lean)]
+    odds = lambda p: np.log(np.clip(p, 1e-6, 1 - 1e-6) / (1 - np.clip(p, 1e-6, 1 - 1e-6)))
+    scored = {r.doc_id: r for r in nearest_toxic.scored(docs, model).collect()}
+    for i, doc_id in enumerate(rows["doc_id"].to_pylist()):
+        first, second = vote(pairs[0][i]), vote(pairs[1][i]) if search.lean[texts[i][0]].any() else search.free
+        plain = 1 / (1 + np.exp(-(model.curve @ [odds(first), odds(second), 1.0])))
+        assert abs(scored[doc_id].score - plain) < 1e-9
+        assert np.allclose([e.cosine for e in scored[doc_id].evidence], -np.sort(-pairs[0][i])[:15])
