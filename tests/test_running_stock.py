@@ -2,7 +2,10 @@
 
 import os
 import random
+import re
 import shutil
+from collections import Counter
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -84,3 +87,36 @@ def test_odd_lines(spark):
     assert rows(running_stock.levels(found), "product_id", "current_stock") == [("n", 50), (None, 79)]
     assert running_stock.alerts(found).count() == 0
     assert running_stock.running_stock(lines.limit(0), opening(spark)).count() == 0
+
+
+def test_a_table_is_taken_as_the_processor_would(spark):
+    """Against the stream's own rule, window by window; many products need no state or call to Python each."""
+    draw, rules = random.Random(5), StockRules()
+    start = T0.replace(second=0, microsecond=0)
+    sold = [(draw.choice(["a", "b", "c", "x", "y", None]), draw.choice([1, 7, 12, None]), start + timedelta(seconds=draw.randrange(900)))
+            for _ in range(90)]
+    lines = spark.createDataFrame(sold + [("z", 90, start)], "product_id string, quantity int, timestamp timestamp")
+    found = running_stock.running_stock(lines, opening(spark), rules)
+    assert not re.search("Python|Pandas|StateIn", found._jdf.queryExecution().executedPlan().toString())
+    keeper, want = running_stock.StockKeeper(rules), []
+    for product in {p for p, _, _ in sold} | {"z"}:
+        known = {"a": ("Ant", "C", 80, 0), "b": ("Bee", "C", 70, 6), "c": ("Cat", "C", 90, 0)}.get(product)
+        state = [*known, True, 0, 0] if known else [f"Product {product}", "General", rules.initial, 0, False, 0, 0]
+        units = Counter()
+        for p, n, at in sold + [("z", 90, start)]:
+            if p == product:
+                units[at.replace(second=0)] += n or 0
+        want += [keeper._taken(product, state, at, units[at]) for at in sorted(units)]
+        want.append(keeper._row("level", product, state, *keeper._left(state, state[5], state[6]), max(units)))
+    columns = [c.split()[0] for c in running_stock.CHANGES.split(", ")]
+    assert found.columns == columns
+    assert rows(found) == sorted((tuple(w[c] for c in columns) for w in want if w), key=str)
+    assert {w["kind"] for w in want if w} == {"alert", "level"}
+
+
+def test_openings_listed_twice_or_without_a_stock(spark):
+    lines = spark.createDataFrame([("a", 2, T0), ("d", 5, T0)], "product_id string, quantity int, timestamp timestamp")
+    status = opening(spark).union(opening(spark)).union(
+        spark.createDataFrame([("d", None, None, None, None, None, T0)], STATUS))
+    assert rows(running_stock.levels(running_stock.running_stock(lines, status)), *LEVEL) == [
+        ("a", "Ant", "C", 78, 0, 78), ("d", "Product d", "General", 75, 0, 75)]

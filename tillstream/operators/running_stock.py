@@ -8,8 +8,12 @@ its level, open windows included.
 Lines are summed by window and product within each Arrow batch before they are shuffled, so a best-seller reaches its
 state as a few rows a task, and its state holds one number for each open window.
 
-Over a table all windows are taken at the end of the input. Defined results: lines without a time or of a window that was
-taken already are left out; a product without lines has no row; a product that `status` lacks starts at the initial level.
+Over a table all windows are taken at the end of the input. The state after each window is then a running sum over the
+product's windows in order, which starts from its row of `status`: one shuffle by product and a sort, without calls to Python.
+
+Defined results: lines without a time or of a window that was taken already are left out; a product without lines has no
+row; a product that `status` lacks starts at the initial level; of several `status` rows of a product a table takes the first
+by name, category and stock; one without a stock starts at the initial level.
 """
 
 from __future__ import annotations
@@ -20,10 +24,10 @@ from datetime import timedelta
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from tillstream.operators.inventory import _default_name
+from tillstream.operators.inventory import _default_name, stock_movements
 from tillstream.settings import StockRules
 
 # Tasks get the class itself, so this package need not be installed where they run.
@@ -54,9 +58,7 @@ def partial_movements(lines: DataFrame, rules: StockRules = StockRules()) -> Dat
 class StockKeeper(StatefulProcessor):
     """Takes movements from the stock of one product."""
 
-    def __init__(self, rules: StockRules = StockRules(), to_the_end: bool = False):
-        """`to_the_end`: take all windows once the input ends, as that of a table does."""
-        self.to_the_end = to_the_end
+    def __init__(self, rules: StockRules = StockRules()):
         self.initial, self.threshold = rules.initial, rules.threshold
         count, unit = rules.window.split()
         self.window = timedelta(**{unit.rstrip("s") + "s": int(count)})
@@ -94,28 +96,22 @@ class StockKeeper(StatefulProcessor):
         added: dict = {}
         for part in rows:
             for start, sold in part.groupby("window_start").sold_quantity.sum().items():
-                if self.to_the_end or (start + self.window).timestamp() * 1000 > passed:
+                if (start + self.window).timestamp() * 1000 > passed:
                     added[start] = added.get(start, 0) + int(sold)
         if not added:
             return
         state = self._state(product)
-        if self.to_the_end:
-            made = [self._taken(product, state, start, added[start]) for start in sorted(added)]
-            current, available = self._left(state, state[5], state[6])
-        else:
-            made = []
-            for start, sold in added.items():
-                at = (start.to_pydatetime(),)
-                if self.open.containsKey(at):
-                    sold += self.open.getValue(at)[0]
-                else:
-                    self.handle.registerTimer(int((start + self.window).timestamp() * 1000))
-                self.open.updateValue(at, (sold,))
-            waiting = [units for _, (units,) in self.open.iterator()]
-            current, available = self._left(state, state[5] + sum(waiting), state[6] + len(waiting))
+        for start, sold in added.items():
+            at = (start.to_pydatetime(),)
+            if self.open.containsKey(at):
+                sold += self.open.getValue(at)[0]
+            else:
+                self.handle.registerTimer(int((start + self.window).timestamp() * 1000))
+            self.open.updateValue(at, (sold,))
+        waiting = [units for _, (units,) in self.open.iterator()]
+        current, available = self._left(state, state[5] + sum(waiting), state[6] + len(waiting))
         self.stock.update(tuple(state))
-        made.append(self._row("level", product, state, current, available, max(added)))
-        yield pd.DataFrame([row for row in made if row])
+        yield pd.DataFrame([self._row("level", product, state, current, available, max(added))])
 
     def _taken(self, product: str, state: list, start, units: int) -> dict | None:
         """Takes a window's units off; the alert, if this raises one."""
@@ -139,17 +135,63 @@ class StockKeeper(StatefulProcessor):
             yield pd.DataFrame([raised])
 
 
+def _opening(status: DataFrame) -> DataFrame:
+    return status.select("product_id", F.coalesce("product_name", _default_name()).alias("product_name"),
+                         F.coalesce("category", F.lit("General")).alias("category"), "current_stock",
+                         F.coalesce("reserved_stock", F.lit(0)).cast("bigint").alias("reserved_stock"))
+
+
 def running_stock(lines: DataFrame, status: DataFrame, rules: StockRules = StockRules()) -> DataFrame:
     """Levels and alerts (`CHANGES`) as the lines of a stream come in, from the stock in `status`."""
-    moves = partial_movements(lines, rules)
-    if lines.isStreaming:
-        moves = moves.withWatermark("window_start", rules.watermark)
-    opening = status.select("product_id", F.coalesce("product_name", _default_name()).alias("product_name"),
-                            F.coalesce("category", F.lit("General")).alias("category"), "current_stock",
-                            F.coalesce("reserved_stock", F.lit(0)).cast("bigint").alias("reserved_stock"))
+    if not lines.isStreaming:
+        return _over_table(lines, status, rules)
+    moves = partial_movements(lines, rules).withWatermark("window_start", rules.watermark)
     return moves.groupBy("product_id").transformWithStateInPandas(
-        statefulProcessor=StockKeeper(rules, not lines.isStreaming), outputStructType=CHANGES, outputMode="Update", timeMode="EventTime",
-        initialState=opening.groupBy("product_id"))
+        statefulProcessor=StockKeeper(rules), outputStructType=CHANGES, outputMode="Update", timeMode="EventTime",
+        initialState=_opening(status).groupBy("product_id"))
+
+
+def _over_table(lines: DataFrame, status: DataFrame, rules: StockRules) -> DataFrame:
+    """What `StockKeeper` ends with when all windows of all lines are taken, in order."""
+    moves = stock_movements(lines, rules.window).select(
+        "product_id", "window_start", F.coalesce("sold_quantity", F.lit(0)).alias("units"))
+    rows = moves.unionByName(_opening(status).withColumn("listed", F.lit(True)), allowMissingColumns=True)
+    # A product's opening stands before its windows.
+    in_order = Window.partitionBy("product_id").orderBy(
+        F.asc_nulls_first("window_start"), "product_name", "category", "current_stock", "reserved_stock")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opened = F.first(F.when(F.col("listed"), F.struct("product_name", "category", "current_stock", "reserved_stock")),
+                     ignorenulls=True).over(so_far)
+    state = rows.select(
+        "product_id", "window_start", "units", opened.alias("opened"), F.sum("units").over(so_far).alias("sold"),
+        F.count("window_start").over(so_far).alias("taken"), F.lead("window_start").over(in_order).isNull().alias("last"),
+    ).where("window_start IS NOT NULL").select(
+        "product_id", "window_start", "units", "sold", "taken", "last",
+        F.when(F.col("opened").isNull(), F.concat(F.lit("Product "), F.coalesce("product_id", F.lit("None"))))
+        .otherwise(F.col("opened.product_name")).alias("product_name"),
+        F.coalesce("opened.category", F.lit("General")).alias("category"),
+        F.col("opened.current_stock").isNotNull().alias("known"),
+        F.coalesce("opened.current_stock", F.lit(rules.initial)).cast("bigint").alias("opening"),
+        F.coalesce("opened.reserved_stock", F.lit(0)).cast("bigint").alias("reserved"))
+    known, left, none = F.col("known"), F.col("opening") - F.col("sold"), F.lit(0).cast("bigint")
+    after = F.greatest(left - F.col("reserved"), none)
+    before = F.greatest(left + F.col("units") - F.col("reserved"), none)
+    crossed = (after < rules.threshold) & (known | (F.col("taken") > 1)) & (
+        (before >= rules.threshold) | (~known & (F.col("taken") == 2)))
+    # The first movement of an unknown product is taken off unclamped.
+    fresh = F.when(F.col("taken") == 1, left).otherwise(F.greatest(left, none))
+
+    def change(kind: str, current: Column, available: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), current.alias("current_stock"), available.alias("available_stock"))
+
+    made = F.array(
+        F.when(crossed, change("alert", after, after)),
+        F.when(F.col("last"), change("level", F.when(known, F.greatest(left, none)).otherwise(fresh),
+                                     F.when(known, after).otherwise(fresh))))
+    return state.where(F.col("last") | crossed).withColumn("change", F.explode(made)).where("change IS NOT NULL").select(
+        "change.kind", "product_id", "product_name", "category", "change.current_stock",
+        F.col("reserved").alias("reserved_stock"), "change.available_stock", F.lit(rules.threshold).alias("threshold"),
+        F.col("window_start").alias("event_time"))
 
 
 def levels(changes: DataFrame) -> DataFrame:
