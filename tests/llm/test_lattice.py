@@ -103,3 +103,36 @@ def test_odd_rows(odd_rows):
         (0, 1), (1, 27_001), (2, 1), (3, 1), (3, 2), (3, 2), (4, 2), (5, 3)]
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in found)
     assert lattice.probabilities(odd_rows.limit(0), PATH, rounds=1).count() == 0
+
+
+def test_sources_are_found_in_all_training_documents(text_spark):
+    """Against plain expectation maximisation over 5 000 texts; a source of a few texts is told apart as well."""
+    draw, names = np.random.default_rng(3), "abcdefgh"
+    texts = [" ".join(f"{names[i % 5]}{n}" for n in draw.integers(0, 9, 12)) for i in range(4_990)]
+    texts += [" ".join(f"rare{n}" for n in draw.integers(0, 9, 12)) for _ in range(10)]
+    docs = text_spark.createDataFrame([(t, i % 50 == 1) for i, t in enumerate(texts)], "text string, held_out boolean")
+    sources, counts = lattice.find_sources(docs)
+    learned = [words(t) for i, t in enumerate(texts) if i % 50 != 1]
+    assert counts.count() == len(learned)
+
+    spelled = sorted({w for t in learned for w in t})
+    hashes = lattice.word_hashes(pa.array([w.encode() for w in spelled], pa.binary()))
+    assert sorted(sources.markers.tolist()) == sorted(hashes.tolist())
+    place = {h: i for i, h in enumerate(sources.markers.tolist())}
+    at = {w: place[h] for w, h in zip(spelled, hashes.tolist())}
+    rows = np.zeros((len(learned), len(at)))
+    for i, text in enumerate(learned):
+        for w in text:
+            rows[i, at[w]] += 1
+    # One more pass over all texts moves hardly anything: the distributions are those of all.
+    fit = rows @ (sources.words.T / lattice._UNIT) + sources.weight / lattice._UNIT
+    share = np.exp(fit - fit.max(1, keepdims=True))
+    share /= share.sum(1, keepdims=True)
+    uses = share.T @ rows + 0.05
+    large = uses.sum(1) > 1000
+    assert large.sum() == 5 and np.allclose(
+        np.exp(sources.words[large] / lattice._UNIT), (uses / uses.sum(1, keepdims=True))[large], atol=1e-3)
+    assert np.allclose(np.exp(sources.weight / lattice._UNIT), (share.sum(0) + 1) / (len(rows) + len(uses)), atol=1e-3)
+    rare, others = set(fit[-10:].argmax(1)), set(fit[:-10].argmax(1))
+    assert not rare & others and others == set(np.flatnonzero(large))
+    assert lattice.document_counts(counts, sources).tolist() == np.bincount(fit.argmax(1), minlength=len(uses)).tolist()

@@ -13,8 +13,9 @@ all. A text's probability is the sum over sources, and over all paths of each on
 
 Documents look up the `HOT` most frequent words in a table sent to all tasks; their other words meet the
 complete table in a join, as rows of (document, word, number), so no task holds all words or all
-documents of a word. Sources are found in a bounded sample of training documents, by the expectation
-maximisation of a mixture of word distributions; all counts cover all documents.
+documents of a word. Sources are found in all training documents, by the expectation maximisation of a
+mixture of distributions of the most frequent words; it starts from contexts of words that are least alike,
+and each pass sums whole numbers, so no order of rows changes it.
 
 Defined results: null and empty texts have their end as only token; words of any length are taken whole;
 any byte string has a probability, since single bytes are pieces; a row without an id is not learned from;
@@ -34,9 +35,13 @@ from tillstream.session import stage
 
 # Words whose values all tasks hold: about 16 MB.
 HOT = 200_000
-# Sources; training documents (on average) and most frequent words by which they are told apart.
-COMPONENTS, SAMPLE, MARKERS = 8, 2_000, 2_000
+# Sources; the most frequent words by which they are told apart, and those whose contexts they start from.
+COMPONENTS, MARKERS, LEADS = 8, 2_000, 256
+# Passes over all training documents at most; the share of words that changes sources below which they end.
+PASSES, SETTLED = 12, 1e-3
 ROUNDS = 3
+# Logarithms and shares are whole multiples of its inverse where sums must be exact.
+_UNIT = 1 << 20
 # The start weights count as so many observations.
 PRIOR = 1000.0
 END = b"</s>"
@@ -183,16 +188,19 @@ def _spelled(small: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arra
         pa.large_binary(), len(sizes), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
 
 
+def word_hashes(spelled: pa.Array) -> np.ndarray:
+    spelled = spelled.cast(pa.large_binary())
+    at = np.frombuffer(spelled.buffers()[1], np.int64)[spelled.offset:spelled.offset + len(spelled) + 1]
+    data = np.frombuffer(spelled.buffers()[2] or b"", np.uint8)
+    return span_hashes(data, at[:-1], at[1:])
+
+
 class WordTable:
     """Numbers of some words by their hashes."""
 
-    def __init__(self, spelled: pa.Array):
-        spelled = spelled.cast(pa.large_binary())
-        at = np.frombuffer(spelled.buffers()[1], np.int64)[spelled.offset:spelled.offset + len(spelled) + 1]
-        data = np.frombuffer(spelled.buffers()[2] or b"", np.uint8)
-        keys = span_hashes(data, at[:-1], at[1:])
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
+    def __init__(self, hashes: np.ndarray):
+        self.order = np.argsort(hashes)
+        self.keys = hashes[self.order]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The number of each word, or -1."""
@@ -205,64 +213,142 @@ class WordTable:
 class Sources:
     """Which source a text most likely comes from, by its counts of the marker words."""
 
-    def __init__(self, markers: pa.Array, counts: np.ndarray):
-        """`counts`: a row of marker counts for each document of the sample."""
-        self.table = WordTable(markers)
-        rows = counts[counts.sum(1) > 0]
-        # Seeds far from each other: next comes whoever is least like all seeds so far.
-        unit = np.sqrt(rows / np.maximum(rows.sum(1, keepdims=True), 1))
-        like, seeds = np.zeros(len(rows)), []
-        for _ in range(min(COMPONENTS, len(rows))):
-            seeds.append(int(like.argmin()) if seeds else int((unit @ unit.sum(0)).argmax()))
-            like = np.maximum(like, unit @ unit[seeds[-1]])
-        n = max(len(seeds), 1)
-        self.words = np.log(unit[seeds] ** 2 + 1e-4) if seeds else np.zeros((1, counts.shape[1]))
-        self.weight = np.full(n, -np.log(n))
-        for _ in range(30 if seeds else 0):
-            fit = rows @ self.words.T + self.weight
-            owned = np.exp(fit - fit.max(1, keepdims=True))
-            owned /= owned.sum(1, keepdims=True)
-            uses = owned.T @ rows + 0.05
-            self.words = np.log(uses / uses.sum(1, keepdims=True))
-            self.weight = np.log((owned.sum(0) + 1) / (len(rows) + n))
+    def __init__(self, markers: np.ndarray, words: np.ndarray, weight: np.ndarray):
+        """`markers`: hashes of the marker words; `words`: a row of their shares for each source; `weight`: the sources' shares."""
+        self.markers, self.table = markers, WordTable(markers)
+        # Whole numbers, whose sums are exact in any order.
+        self.words, self.weight = np.rint(np.log(words) * _UNIT), np.rint(np.log(weight) * _UNIT)
+
+    def fit(self, owner: np.ndarray, marker: np.ndarray, n: np.ndarray | int, rows: int) -> np.ndarray:
+        """Logarithms, in units, of the joint probability of each row and source."""
+        return np.stack([np.bincount(owner, w[marker] * n, rows) + p for w, p in zip(self.words, self.weight)], 1)
 
     def of(self, owner: np.ndarray, keys: np.ndarray, number: np.ndarray, rows: int) -> np.ndarray:
         """The source of each row, from the distinct words' `keys` and the words' `number` among them."""
         marker = self.table.find(keys)[number]
         known = marker >= 0
-        fit = [np.bincount(owner[known], w[marker[known]], rows) + p for w, p in zip(self.words, self.weight)]
-        return np.argmax(fit, axis=0)
+        return self.fit(owner[known], marker[known], 1, rows).argmax(1)
+
+
+def _marker_words(train: DataFrame) -> np.ndarray:
+    """Hashes of the most frequent words of all training texts, the most frequent first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, bounds in chunks(batch.column(0), 1 << 20):
+                _, _, _, _, distinct, _, number = _distinct_words(data, bounds)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(distinct.view(np.int64)), pa.array(np.bincount(number, minlength=len(distinct)))], names=["word", "n"])
 
+    counts = train.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return counts.orderBy(F.desc("n"), "word").limit(MARKERS).select("word").toArrow()["word"].to_numpy().view(np.uint64)
 
-def find_sources(docs: DataFrame) -> Sources:
-    """Sources of a sample of the training documents, about `SAMPLE` of them."""
-    train = docs.where("NOT held_out")
-    rate = SAMPLE / max(train.count(), 1)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    sample = stage(train.where(draw < rate).select("text", "held_out"), "source-sample")
-    counts = word_counts(sample, None)
-    markers = counts.orderBy(F.desc("n_all"), "word").limit(MARKERS).select("word").toArrow()["word"].combine_chunks()
-    table = WordTable(markers)
+
+def _marker_counts(train: DataFrame, markers: np.ndarray) -> DataFrame:
+    """(marker, n) of every training text: numbers of its marker words, rising, and how often each occurs."""
+    shared = train.sparkSession.sparkContext.broadcast(markers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, size = WordTable(shared.value), max(len(shared.value), 1)
         for batch in batches:
             for first, last, data, bounds in chunks(batch.column(0)):
-                small, starts, ends, rows, distinct, at, number = _distinct_words(data, bounds)
+                _, _, _, rows, distinct, _, number = _distinct_words(data, bounds)
                 place = table.find(distinct)[number]
                 owner = np.repeat(np.arange(last - first), np.diff(rows))
-                made = [np.unique(place[(owner == i) & (place >= 0)], return_counts=True) for i in range(last - first)]
+                cells, n = np.unique((owner * size + place)[place >= 0], return_counts=True)
+                owner, marker = np.divmod(cells, size)
+                at = pa.array(np.searchsorted(owner, np.arange(last - first + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([m[k] for m in made], pa.list_(pa.int64())) for k in (0, 1)], names=["marker", "n"])
+                    [pa.ListArray.from_arrays(at, pa.array(v.astype(np.int32))) for v in (marker, n)], names=["marker", "n"])
 
-    # No more than the sample, as numbers of markers.
-    found = sample.select("text").mapInArrow(run, "marker array<long>, n array<long>").collect()
-    matrix = np.zeros((len(found), len(markers)), np.float32)
-    for i, row in enumerate(sorted(found)):
-        matrix[i, row.marker] = row.n
-    return Sources(markers, matrix)
+    return train.mapInArrow(run, "marker array<int>, n array<int>")
 
 
-def word_counts(docs: DataFrame, sources: Sources | None) -> DataFrame:
+def _cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, markers and counts of a batch of `_marker_counts`."""
+    sizes = batch.column(0).value_lengths().to_numpy()
+    return (np.repeat(np.arange(batch.num_rows), sizes), *(c.flatten().to_numpy() for c in batch.columns))
+
+
+def _summed(counts: DataFrame, shape: tuple[int, ...], add) -> np.ndarray:
+    """The sum of what `add(batch, into)` adds over all batches: whole numbers, one row a cell and task."""
+    size = int(np.prod(shape))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        into = np.zeros(size)
+        for batch in batches:
+            add(batch, into.reshape(shape))
+        used = np.flatnonzero(into)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(into[used].astype(np.int64))], names=["cell", "n"])
+
+    out = np.zeros(size)
+    found = counts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape(shape)
+
+
+def _contexts(counts: DataFrame, leads: int) -> np.ndarray:
+    """For each of the most frequent words, the summed shares of these words in all texts that have it."""
+    def add(batch: pa.RecordBatch, into: np.ndarray) -> None:
+        owner, marker, n = _cells(batch)
+        some = marker < leads
+        owner, marker, n = owner[some], marker[some], n[some]
+        for a in range(0, batch.num_rows, 1024):
+            span = slice(*np.searchsorted(owner, (a, a + 1024)))
+            times = np.zeros((1024, leads), np.float32)
+            times[owner[span] - a, marker[span]] = n[span]
+            shares = np.rint(times / np.maximum(times.sum(1, keepdims=True), 1) * 1024)
+            into += (times > 0).astype(np.float32).T @ shares
+
+    return _summed(counts, (leads, leads), add)
+
+
+def _seeds(contexts: np.ndarray, size: int) -> np.ndarray:
+    """Start distributions of `size` markers: contexts far from each other, next the one least like all seeds so far."""
+    rows = contexts[contexts.sum(1) > 0]
+    unit = np.sqrt(rows / np.maximum(rows.sum(1, keepdims=True), 1))
+    like, seeds = np.zeros(len(rows)), []
+    for _ in range(min(COMPONENTS, len(rows))):
+        seeds.append(int(like.argmin()) if seeds else int((unit @ unit.sum(0)).argmax()))
+        like = np.maximum(like, unit @ unit[seeds[-1]])
+    words = np.full((max(len(seeds), 1), size), 1e-4)
+    words[:len(seeds), :contexts.shape[1]] += unit[seeds] ** 2
+    return words
+
+
+def _owned(counts: DataFrame, sources: Sources) -> tuple[np.ndarray, np.ndarray]:
+    """Expected uses of each marker by each source, and expected documents of each source, over all training texts."""
+    shared, size = counts.sparkSession.sparkContext.broadcast(sources), len(sources.markers)
+
+    def add(batch: pa.RecordBatch, into: np.ndarray) -> None:
+        own, (owner, marker, n) = shared.value, _cells(batch)
+        fit = own.fit(owner, marker, n, batch.num_rows) / _UNIT
+        share = np.exp(fit - fit.max(1, keepdims=True))
+        share = np.rint(share / share.sum(1, keepdims=True) * _UNIT)
+        into[:, size] += share.sum(0)
+        for k, part in enumerate(share.T):
+            into[k, :size] += np.bincount(marker, part[owner] * n, size)
+
+    made = _summed(counts, (len(sources.words), size + 1), add) / _UNIT
+    return made[:, :size], made[:, size]
+
+
+def find_sources(docs: DataFrame) -> tuple[Sources, DataFrame]:
+    """Sources of all training documents, and these as counts of the marker words."""
+    train = docs.where("NOT held_out").select("text")
+    markers = _marker_words(train)
+    counts = stage(_marker_counts(train, markers), "marker-counts")
+    words = _seeds(_contexts(counts, min(LEADS, len(markers))), len(markers))
+    sources, uses = Sources(markers, words, np.full(len(words), 1 / len(words))), None
+    for _ in range(PASSES if len(words) > 1 else 0):
+        before, (uses, documents) = uses, _owned(counts, sources)
+        smooth = uses + 0.05
+        sources = Sources(markers, smooth / smooth.sum(1, keepdims=True), (documents + 1) / (documents.sum() + len(words)))
+        if before is not None and abs(uses - before).sum() <= SETTLED * uses.sum():
+            break
+    return sources, counts
+
+
+def word_counts(docs: DataFrame, sources: Sources) -> DataFrame:
     """(word, n_all, n_train, n_0, n_1 ...) of every distinct word: in all documents, in training ones, and
     in those of each source. `docs` has text and held_out."""
     shared = docs.sparkSession.sparkContext.broadcast(sources)
@@ -275,7 +361,7 @@ def word_counts(docs: DataFrame, sources: Sources | None) -> DataFrame:
                 small, starts, ends, rows, distinct, at, number = _distinct_words(data, bounds)
                 owner = np.repeat(np.arange(last - first), np.diff(rows))
                 learned = train[first + owner]
-                source = own.of(owner, distinct, number, last - first)[owner] if own else np.zeros(len(owner), np.int64)
+                source = own.of(owner, distinct, number, last - first)[owner]
                 cell, where = np.unique(source * len(distinct) + number, return_inverse=True)
                 kind, word = np.divmod(cell, max(len(distinct), 1))
                 yield pa.RecordBatch.from_arrays([
@@ -286,28 +372,19 @@ def word_counts(docs: DataFrame, sources: Sources | None) -> DataFrame:
 
     found = docs.select("text", "held_out").mapInArrow(run, "word binary, source int, n_all long, n_train long")
     each = [F.sum(F.when(F.col("source") == k, F.col("n_train")).otherwise(0)).alias(f"n_{k}")
-            for k in range(len(sources.weight) if sources else 0)]
+            for k in range(len(sources.weight))]
     return found.groupBy("word").agg(F.sum("n_all").alias("n_all"), F.sum("n_train").alias("n_train"), *each)
 
 
-def document_counts(docs: DataFrame, sources: Sources) -> np.ndarray:
-    """Training documents of each source."""
-    shared = docs.sparkSession.sparkContext.broadcast(sources)
+def document_counts(counts: DataFrame, sources: Sources) -> np.ndarray:
+    """Training documents of each source, from their counts of marker words."""
+    shared = counts.sparkSession.sparkContext.broadcast(sources)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, total = shared.value, np.zeros(len(shared.value.weight), np.int64)
-        for batch in batches:
-            for first, last, data, bounds in chunks(batch.column(0)):
-                _, _, _, rows, distinct, _, number = _distinct_words(data, bounds)
-                owner = np.repeat(np.arange(last - first), np.diff(rows))
-                total += np.bincount(own.of(owner, distinct, number, last - first), minlength=len(total))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["source", "n"])
+    def add(batch: pa.RecordBatch, into: np.ndarray) -> None:
+        owner, marker, n = _cells(batch)
+        into += np.bincount(shared.value.fit(owner, marker, n, batch.num_rows).argmax(1), minlength=len(into))
 
-    out = np.zeros(len(sources.weight))
-    for row in docs.where("NOT held_out").select("text").mapInArrow(run, "source long, n long").groupBy("source").agg(
-            F.sum("n").alias("n")).collect():
-        out[row.source] = row.n
-    return out
+    return _summed(counts, (len(sources.weight),), add)
 
 
 def fitted(counts: DataFrame, path: str, rounds: int = ROUNDS) -> tuple[list[bytes], np.ndarray]:
@@ -401,7 +478,7 @@ class HotWords:
     """Values of the most frequent words."""
 
     def __init__(self, rows: pa.Table, n: int):
-        self.table = WordTable(rows["word"].combine_chunks())
+        self.table = WordTable(word_hashes(rows["word"].combine_chunks()))
         self.n_train = rows["n_train"].to_numpy()
         self.logs = [rows[f"l_{k}"].to_numpy() for k in range(n)]
 
@@ -453,8 +530,8 @@ def _parts(docs: DataFrame, hot: HotWords) -> DataFrame:
 def probabilities(docs: DataFrame, path: str, rounds: int = ROUNDS, hot: int = HOT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     rows = docs.select("doc_id", "text", held_out().alias("held_out"), F.xxhash64("text").alias("text_hash"))
-    sources = find_sources(rows)
-    documents = document_counts(rows, sources)
+    sources, markers = find_sources(rows)
+    documents = document_counts(markers, sources)
     counts = stage(word_counts(rows, sources), "word-counts")
     pieces, weights = fitted(counts, path, rounds)
     values = word_values(counts, pieces, weights)
