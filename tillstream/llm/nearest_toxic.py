@@ -43,7 +43,10 @@ NEIGHBOURS, PRIOR, NEARNESS = 15, 1.0, 0.05
 _PREFIX = 6
 # Examples a block and groups of like ones; terms in more than one example of _COMMON are common; queries that are
 # searched together; error that products of single precision may have.
-_BLOCK, _GROUPS, _COMMON, _TOGETHER, _MARGIN = 256, 48, 24, 256, 2e-5
+_BLOCK, _GROUPS, _COMMON, _TOGETHER, _MARGIN = 128, 48, 24, 256, 2e-5
+_POSTING = np.dtype([("place", "<i4"), ("weight", "<f8")])
+# Bytes that are cut into words at once: their arrays stay in the processor's cache.
+_AT_ONCE = 1 << 16
 # Tasks that find the examples' own votes.
 VOTERS = 48
 _PREFIX_SALT, _SIDE = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
@@ -52,7 +55,7 @@ _PREFIX_SALT, _SIDE = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428D
 def terms(column: pa.Array, contexts: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, row bounds, term hashes, context hashes if wanted): each word's two terms stand side by side."""
     lower = pc.utf8_lower(column.cast(pa.large_string()))
-    for first, _, data, bounds in chunks(lower):
+    for first, _, data, bounds in chunks(lower, _AT_ONCE):
         starts, ends, rows = words(data, bounds, ALPHANUMERIC)
         data = lowered(data)
         whole = span_hashes(data, starts, ends)
@@ -76,17 +79,24 @@ class TermTable:
     def __init__(self, hashes: np.ndarray):
         self.order = np.argsort(hashes)
         self.sorted = hashes[self.order]
-        self.seen = np.zeros(1 << 20, bool)
-        self.seen[self.sorted >> np.uint64(44)] = True
+        # Where the terms with each value of the first 20 bits begin.
+        self.first = np.zeros((1 << 20) + 1, np.int32)
+        np.cumsum(np.bincount((hashes >> np.uint64(44)).astype(np.int64), minlength=1 << 20), out=self.first[1:])
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the known terms and their numbers."""
-        maybe = np.flatnonzero(self.seen[hashes >> np.uint64(44)])
-        if not len(self.sorted):
-            return maybe, maybe
-        at = np.minimum(np.searchsorted(self.sorted, hashes[maybe]), len(self.sorted) - 1)
-        hit = self.sorted[at] == hashes[maybe]
-        return maybe[hit], self.order[at[hit]]
+        group = (hashes >> np.uint64(44)).astype(np.int64)
+        at, end = self.first[group], self.first[group + 1]
+        open_ = np.flatnonzero(at < end)
+        at, end, own = at[open_], end[open_], hashes[open_]
+        number = np.full(len(hashes), -1)
+        while len(open_):
+            hit = self.sorted[at] == own
+            number[open_[hit]] = self.order[at[hit]]
+            left = np.flatnonzero(~hit & (at + 1 < end))
+            open_, at, end, own = open_[left], at[left] + 1, end[left], own[left]
+        known = np.flatnonzero(number >= 0)
+        return known, number[known]
 
 
 def counted_terms(column: pa.Array, table: TermTable, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -129,7 +139,7 @@ class BlockMaxIndex:
     def _build(self, at: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> None:
         self.n = len(at) - 1
         self.blocks = -(-self.n // _BLOCK)
-        often = np.flatnonzero(np.bincount(term, minlength=n_terms) > max(self.n // _COMMON, _BLOCK))
+        often = np.flatnonzero(np.bincount(term, minlength=n_terms) > max(self.n // _COMMON, 2 * _BLOCK))
         self.common = np.full(n_terms, -1, np.int32)
         self.common[often] = np.arange(len(often))
         owner = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(at))
@@ -147,7 +157,9 @@ class BlockMaxIndex:
     def _add_postings(self, rare: np.ndarray, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> None:
         rare = rare[np.argsort(term[rare], kind="stable")]
         self.at = np.concatenate(([0], np.cumsum(np.bincount(term[rare], minlength=n_terms))))
-        self.rare_place, self.rare_weight = self.place[owner[rare]], weight[rare]
+        postings = np.empty(len(rare), _POSTING)
+        postings["place"], postings["weight"] = self.place[owner[rare]], weight[rare]
+        self.rare = postings.view(np.uint8)  # slices of bytes are joined fastest
 
     def _add_blocks(self, where: np.ndarray, n_common: int) -> None:
         by = np.argsort(where // _BLOCK, kind="stable").astype(np.int32)
@@ -196,10 +208,11 @@ class BlockMaxIndex:
 
     def _rare_sums(self, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """What the terms without a common number add to each place."""
-        starts = self.at[term]
-        sizes = self.at[term + 1] - starts
-        place = gather(starts, sizes)
-        return np.bincount(self.rare_place[place], np.repeat(weight, sizes) * self.rare_weight[place], self.blocks * _BLOCK)
+        if not len(term):
+            return np.zeros(self.blocks * _BLOCK)
+        starts, ends, size = self.at[term], self.at[term + 1], _POSTING.itemsize
+        postings = np.concatenate([self.rare[a:b] for a, b in zip((starts * size).tolist(), (ends * size).tolist())]).view(_POSTING)
+        return np.bincount(postings["place"], np.repeat(weight, ends - starts) * postings["weight"], self.blocks * _BLOCK)
 
     def _together(self, queries: list[tuple], k: int, without: list | None) -> list[tuple[np.ndarray, np.ndarray]]:
         count, shape = len(queries), (len(queries), self.blocks, _BLOCK)
@@ -246,56 +259,86 @@ class BlockMaxIndex:
         return found
 
 
-def _packed(values: np.ndarray) -> tuple:
-    """Whole numbers in few bytes: like bytes of neighbouring ones side by side, compressed."""
-    flat = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T)
-    return values.dtype.str, flat.nbytes, pa.compress(flat.tobytes(), "zstd", asbytes=True)
+def _packed(terms: np.ndarray, counts: np.ndarray) -> bytes:
+    """Rising terms as steps, and their counts, in few bytes: like bytes side by side, compressed."""
+    numbers = np.concatenate((np.diff(terms, prepend=0), counts)).astype(np.int32)
+    return pa.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
 
 
-def _unpacked(kind: str, size: int, data: bytes) -> np.ndarray:
-    flat = np.frombuffer(pa.decompress(data, size, "zstd", asbytes=True), np.uint8)
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(flat.reshape(width, size // width).T).ravel().view(kind)
+def _unpacked(size: int, data: bytes) -> np.ndarray:
+    """Terms and counts, `size` of each."""
+    flat = np.frombuffer(pa.decompress(data, 8 * size, "zstd", asbytes=True), np.uint8)
+    made = np.array(flat.reshape(4, -1).T, order="C").ravel().view(np.int32).reshape(2, size)
+    np.cumsum(made[0], out=made[0])
+    return made
 
 
 class Search:
     """The examples, by all terms and by the leaning ones.
 
-    It travels as the examples' terms and counts; each process builds the indexes when it first needs them.
+    It travels as the examples' packed terms and counts, which the driver never unpacks; each process builds the
+    indexes when it first needs them.
     """
 
     def __init__(self, hashes: np.ndarray, found: np.ndarray, lean: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
-                 at: np.ndarray, terms: np.ndarray, counts: np.ndarray):
-        """`found`: examples with each term; `lean`: whether it leans. Example i, by rising id, has the
-        terms and counts from at[i] to at[i + 1]."""
+                 plain: np.ndarray, sizes: np.ndarray, packed: pa.Array):
+        """`found`: examples with each term; `lean`: whether it leans. Example i, by rising id, has sizes[i]
+        terms in packed[i]; `plain`: none of them leans."""
         self.hashes, self.found, self.lean, self.ids, self.toxic = hashes, found, lean, ids, toxic
-        self.at, self.terms, self.counts = at, terms, counts
+        self.plain, self.sizes, self.packed = plain, sizes, packed
         self.idf = np.log1p(len(ids) / found)
         self.share = float(toxic.mean()) if len(ids) else 0.0
-        leaning = np.diff(np.concatenate(([0], np.cumsum(lean[terms])))[at])
-        self.free = float((toxic[leaning == 0].sum() + self.share) / ((leaning == 0).sum() + 1))
+        self.free = float((toxic[plain].sum() + self.share) / (plain.sum() + 1))
 
     def __reduce__(self):
-        deltas = np.diff(self.terms, prepend=np.int32(0)).astype(np.int32)
-        return _received, (self.hashes, self.ids, self.toxic, self.at, np.packbits(self.lean), *map(
-            _packed, (self.found, deltas, self.counts)))
+        return Search, (self.hashes, self.found, self.lean, self.ids, self.toxic, self.plain, self.sizes, self.packed)
+
+    @property
+    def at(self) -> np.ndarray:
+        """Example i has the terms and counts from at[i] to at[i + 1]."""
+        return np.concatenate(([0], np.cumsum(self.sizes, dtype=np.int64)))
+
+    @property
+    def terms(self) -> np.ndarray:
+        return self._vectors()[0]
+
+    @property
+    def counts(self) -> np.ndarray:
+        return self._vectors()[1]
+
+    def _vectors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and counts of all examples."""
+        at = self.at.tolist()
+        terms, counts = np.empty(at[-1], np.int32), np.empty(at[-1], np.int32)
+        for a, b, one in zip(at, at[1:], self.packed):
+            terms[a:b], counts[a:b] = _unpacked(b - a, one.as_py())
+        return terms, counts
 
     @cached_property
     def table(self) -> TermTable:
         return TermTable(self.hashes)
 
-    @cached_property
+    @property
     def all(self) -> BlockMaxIndex:
-        return self._index(self.at, self.terms, self.counts)
+        return self._indexes[0]
 
-    @cached_property
+    @property
     def leaning(self) -> BlockMaxIndex:
-        leans = np.flatnonzero(self.lean[self.terms])
-        return self._index(np.searchsorted(leans, self.at), self.terms[leans], self.counts[leans])
+        return self._indexes[1]
 
-    def _index(self, at: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> BlockMaxIndex:
+    @cached_property
+    def _indexes(self) -> tuple[BlockMaxIndex, BlockMaxIndex]:
+        at, (terms, counts) = self.at, self._vectors()
+        leans = np.flatnonzero(self.lean[terms])
+        few = self._index(np.searchsorted(leans, at), terms[leans], np.log1p(counts[leans], dtype=float))
         weight = np.log1p(counts, dtype=float)
-        weight *= self.idf[terms]
+        del counts
+        return self._index(at, terms, weight), few
+
+    def _index(self, at: np.ndarray, terms: np.ndarray, weight: np.ndarray) -> BlockMaxIndex:
+        """From logarithms of counts, which become weights."""
+        for a in range(0, len(terms), 1 << 20):
+            weight[a:a + (1 << 20)] *= self.idf[terms[a:a + (1 << 20)]]
         for a in range(0, len(at) - 1, 256):  # lengths to one, a few hundred examples at once
             edges = at[a:a + 257]
             part = weight[edges[0]:edges[-1]]
@@ -325,11 +368,6 @@ class Search:
                 for (vote, ids, cosines), other in zip(self._votes(self.all, texts, without), second.tolist())]
 
 
-def _received(hashes, ids, toxic, at, lean, found, deltas, counts) -> Search:
-    return Search(hashes, _unpacked(*found), np.unpackbits(lean, count=len(hashes)).astype(bool), ids, toxic, at,
-                  np.cumsum(_unpacked(*deltas), dtype=np.int32), _unpacked(*counts))
-
-
 class Model:
     """The search, which tasks get as a broadcast, and its calibration."""
 
@@ -464,20 +502,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
         def work(column: pa.Array) -> list[pa.Array]:
             made = list(counted_terms(column, table, len(hashes)))
-            return [pa.array([v[i].astype(np.int32) for v in made], pa.list_(pa.int32())) for i in (0, 1)]
+            return [pa.array([not lean[t].any() for t, _ in made], pa.bool_()),
+                    pa.array([len(t) for t, _ in made], pa.int32()), pa.array([_packed(*v) for v in made], pa.binary())]
 
         return work
 
-    # No more than the sample: ids, labels, and numbers of terms.
-    made = with_arrow(examples, ["text"], fields(terms="array<int>", counts="array<int>"), counting).select(
-        "doc_id", "toxic", F.xxhash64("text").alias("h"), "terms", "counts").toArrow().sort_by(
+    # No more than the sample: ids, labels, and packed numbers of terms.
+    made = with_arrow(examples, ["text"], fields(plain="boolean", size="int", packed="binary"), counting).select(
+        "doc_id", "toxic", F.xxhash64("text").alias("h"), "plain", "size", "packed").toArrow().sort_by(
         [("doc_id", "ascending"), ("h", "ascending")]).combine_chunks()
-    ids = made["doc_id"].to_numpy()
-    flat = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in (made["terms"], made["counts"])]
-    at = flat[0].offsets.to_numpy() if len(ids) else np.zeros(1, np.int32)
-    search = Search(hashes, every["n"].to_numpy(), lean, ids, made["toxic"].to_numpy().astype(float), at,
-                    *(c.values.to_numpy() for c in flat))
-    del made, every, flat
+    packed = made["packed"].chunk(0) if len(made) else pa.array([], pa.binary())
+    search = Search(hashes, every["n"].to_numpy(), lean, made["doc_id"].to_numpy(), made["toxic"].to_numpy().astype(float),
+                    made["plain"].to_numpy(), made["size"].to_numpy(), packed)
+    del made, every, packed
     shared = docs.sparkSession.sparkContext.broadcast(search)
     model = Model(search, shared)
     if not model.both:
